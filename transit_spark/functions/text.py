@@ -21,8 +21,9 @@ def variant_key(direction: str, variant: str) -> Column:
 
 
 def format_pct(col: str | Column) -> Column:
+    """One decimal; exact ties go to the even digit, as in Python's ``.1%``."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.when(c.isNotNull(), F.format_string("%.1f%%", c.cast("double") * 100))
+    return F.when(c.isNotNull(), F.format_string("%.1f%%", F.bround(c.cast("double") * 100, 1)))
 
 
 def parse_pct(col: str | Column) -> Column:

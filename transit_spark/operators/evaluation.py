@@ -124,15 +124,15 @@ def qq_points(df: DataFrame, col: str, n: int | None = None, cells: int = 1000)
     borders = values.agg(F.percentile_approx("v", step, 10 * cells).alias("b")).first()["b"] or []
     block = F.size(F.filter(F.lit(borders), lambda b: b <= F.col("v"))) if borders else F.lit(0)
 
-    ranked = running_total(values, [], ["v"], "c", block)
-    size = values.agg(F.sum("c").alias("n")).scalar()
-    count = size.cast("double")
+    size = values.agg(F.sum("c").cast("double").alias("n")).scalar()
+    ranked = running_total(values, [], ["v"], "c", block).withColumn("_n", size)
+    count = F.col("_n")
     start, end = F.col("_total") - F.col("c"), F.col("_total") - 1
     if n is None:
         # A run of equal values may be very long: expand it in two steps.
-        parts = ranked.select("v", end.alias("end"), F.explode(F.sequence(start, end, F.lit(RUN_PART))).alias("from"))
+        parts = ranked.select("v", end.alias("end"), "_n", F.explode(F.sequence(start, end, F.lit(RUN_PART))).alias("from"))
         upto = F.least(F.col("from") + (RUN_PART - 1), F.col("end"))
-        points = parts.select(F.col("v").alias("value"), F.explode(F.sequence(F.col("from"), upto)).alias("position"))
+        points = parts.select("_n", F.col("v").alias("value"), F.explode(F.sequence(F.col("from"), upto)).alias("position"))
     else:
         # The i-th of n samples sits at floor(i * (N - 1) / (n - 1)); keep those inside this run.
         gap = (count - 1) / F.lit(float(n - 1))
@@ -144,7 +144,7 @@ def qq_points(df: DataFrame, col: str, n: int | None = None, cells: int = 1000)
         )
         run = F.array_distinct(F.filter(sample, lambda p: (p >= start) & (p <= end)))
         wanted = F.when(count <= n, F.sequence(start, end)).otherwise(run)
-        points = ranked.select(F.col("v").alias("value"), F.explode(wanted).alias("position"))
+        points = ranked.select("_n", F.col("v").alias("value"), F.explode(wanted).alias("position"))
     i = F.col("position") + 1
     plotting = (
         F.when(i == 1, F.lit(1.0) - F.pow(F.lit(0.5), F.lit(1.0) / count))

@@ -62,8 +62,9 @@ def exact_quantiles(df: DataFrame, value: str, probs, keys=(), accuracy: int = 1
         joined.select(
             *keys,
             "_c",
-            F.explode(F.filter(F.array(*[wanted(i, p) for i, p in enumerate(probs)]), lambda x: x.isNotNull())).alias("w"),
+            F.explode(F.array(*[wanted(i, p) for i, p in enumerate(probs)])).alias("w"),
         )
+        .where(F.col("w").isNotNull())
         .groupBy(*keys, F.col("w.prob").alias("prob"), F.col("w.n").alias("n"), F.col("w.cell").alias("cell"))
         .agg(F.sum("_c").alias("c"))
     )

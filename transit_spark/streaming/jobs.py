@@ -124,11 +124,12 @@ def freshness(df: DataFrame, event: str, stored: str, as_of: str) -> DataFrame:
     ).withColumn("p95_lag", p95)
 
 
-def run_once(sdf: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """Processes what is there and returns the result as a table (tests and small catch-ups)."""
+def run_once(sdf: DataFrame, path: str) -> DataFrame:
+    """Processes what is there, appends it to parquet below ``path`` and reads that back."""
     query = (
-        sdf.writeStream.format("memory").queryName(name).outputMode(mode)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        sdf.writeStream.format("parquet").outputMode("append")
+        .option("path", f"{path}/rows").option("checkpointLocation", f"{path}/log")
+        .trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return sdf.sparkSession.table(name)
+    return sdf.sparkSession.read.schema(sdf.schema).parquet(f"{path}/rows")
