@@ -74,37 +74,30 @@ def interval_pieces(intervals: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
-def stab(points: DataFrame, time: str, pieces: DataFrame, keys, partial: dict, total: dict) -> DataFrame:
-    """Aggregates, for each distinct (keys, time), over the intervals that hold the time.
-
-    ``partial`` aggregates the intervals sharing a piece (combined on the map side); ``total``
-    combines those partial values over the pieces a time lies in. Times without any interval are
-    absent from the result.
-    """
-    keys = list(keys)
-    per_piece = pieces.groupBy(*keys, "_level", "_node").agg(*[a.alias(n) for n, a in partial.items()])
+def look_up(points: DataFrame, time: str, pieces: DataFrame) -> DataFrame:
+    """Each distinct time of ``points`` with every row of ``pieces`` that holds it."""
     look = (
-        points.select(*keys, time).distinct()
+        points.select(time).distinct()
         .withColumn("_micros", epoch_micros(time))
         .withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(TOP_LEVEL))))
         .withColumn("_node", F.expr("shiftright(_micros, _level)"))
+        .drop("_micros")
     )
-    hits = look.join(per_piece, [*keys, "_level", "_node"])
-    return hits.groupBy(*keys, time).agg(*[a.alias(n) for n, a in total.items()])
+    return look.join(pieces, ["_level", "_node"])
 
 
 def join_active_events(df: DataFrame, events: DataFrame) -> DataFrame:
     """nearby_events: events whose closed interval holds the row's time; event_impact_factor: the
     largest impact among them (1.0 without any)."""
     has_impact = "impact_factor" in events.columns
-    partial = {"_n": F.count(F.lit(1))}
-    total = {"_n": F.sum("_n")}
-    if has_impact:
-        partial["_impact"] = F.max("impact_factor")
-        total["_impact"] = F.max("_impact")
     cols = ["start_time", "end_time", *(["impact_factor"] if has_impact else [])]
-    pieces = interval_pieces(events.select(*cols), "start_time", "end_time")
-    active = stab(df, "time", pieces, [], partial, total)
+    # Events sharing a piece are combined on the map side, and times are looked up once each.
+    per_piece = interval_pieces(events.select(*cols), "start_time", "end_time").groupBy("_level", "_node").agg(
+        F.count(F.lit(1)).alias("_n"), *([F.max("impact_factor").alias("_impact")] if has_impact else [])
+    )
+    active = look_up(df, "time", per_piece).groupBy("time").agg(
+        F.sum("_n").alias("_n"), *([F.max("_impact").alias("_impact")] if has_impact else [])
+    )
     joined = df.join(active, "time", "left")
     impact = F.when(F.col("_n").isNotNull(), F.col("_impact")) if has_impact else F.lit(None)
     return joined.select(
@@ -173,9 +166,9 @@ def event_factor(df: DataFrame, kind: str = "event") -> DataFrame:
 def event_proximity(df: DataFrame, stops: DataFrame, events: DataFrame, km: float = 2.0) -> DataFrame:
     """event_nearby and event_distance of the nearest active event within ``km`` of the row's stop.
 
-    Stops meet events on a grid whose cells are at least ``km`` wide, so a stop looks at 3x3 cells.
-    What is left are the (stop, event) pairs in reach; their intervals are then looked up by time as
-    in ``join_active_events``, per stop.
+    Stops meet event places on a grid whose cells are at least ``km`` wide, so a stop looks at 3x3
+    cells. Which places are active at which time is looked up once per distinct time, not per row of
+    ``df``; both together give the nearest active place per stop and time.
     """
     lat_cell = km / 110.0
     lng_cell = km / 105.0
@@ -190,13 +183,17 @@ def event_proximity(df: DataFrame, stops: DataFrame, events: DataFrame, km: floa
         .select("*", *cell(F.col("_lat"), F.col("_lng")), F.explode(around).alias("_d"))
         .withColumns({"_y": F.col("_y") + F.col("_d.y"), "_x": F.col("_x") + F.col("_d.x")})
     )
-    # Events with the same place and times cannot be told apart here: one of them is enough.
-    spots = events.select("start_time", "end_time", "latitude", "longitude").distinct()
-    spots = spots.select("*", *cell(F.col("latitude"), F.col("longitude")))
-    distance = haversine(F.col("_lat"), F.col("_lng"), F.col("latitude"), F.col("longitude"))
-    reach = places.join(spots, ["_y", "_x"]).withColumn("_km", distance).where(F.col("_km") <= km)
-    pieces = interval_pieces(reach.select("route", "stop", "start_time", "end_time", "_km"), "start_time", "end_time")
-    near = stab(df, "time", pieces, ["route", "stop"], {"_km": F.min("_km")}, {"event_distance": F.min("_km")})
+    venue = ["_vlat", "_vlng"]
+    held = events.select(F.col("latitude").alias("_vlat"), F.col("longitude").alias("_vlng"), "start_time", "end_time")
+    venues = held.select(*venue).distinct().select("*", *cell(F.col("_vlat"), F.col("_vlng")))
+    distance = haversine(F.col("_lat"), F.col("_lng"), F.col("_vlat"), F.col("_vlng"))
+    reach = places.join(venues, ["_y", "_x"]).withColumn("_km", distance).where(F.col("_km") <= km)
+    pieces = interval_pieces(held.join(reach.select(*venue).distinct(), venue, "left_semi"), "start_time", "end_time")
+    busy = look_up(df, "time", pieces.select(*venue, "_level", "_node").distinct()).select(*venue, "time").distinct()
+    near = (
+        reach.select("route", "stop", *venue, "_km").join(busy, venue)
+        .groupBy("route", "stop", "time").agg(F.min("_km").alias("event_distance"))
+    )
     return df.join(near, ["route", "stop", "time"], "left").withColumn(
         "event_nearby", F.col("event_distance").isNotNull().cast("int")
     )

@@ -19,7 +19,7 @@ from transit_spark.functions.temporal import epoch_micros, plus_minutes
 from transit_spark.operators.evaluation import EPS, error_frame, metrics
 from transit_spark.operators.scaling import fit_scaler, scale, unscale
 from transit_spark.operators.series import fill_both, in_chunks, tail, with_positions
-from transit_spark.session import cut_lineage
+from transit_spark.session import stage
 
 DEFAULTS = C.ForecastDefaults()
 SERIES = ("route", "stop")
@@ -55,7 +55,7 @@ def fill_series(df: DataFrame, features=C.FORECAST_FEATURES, keys=SERIES, order=
 def prepare_series(df: DataFrame, features=C.FORECAST_FEATURES, keys=SERIES, order=("time",), target: str = C.TARGET):
     """(scaled frame with ``split``, scaler). Fills per series; fits on the training rows only."""
     cols = available_features(df, features, target)
-    labelled = time_split(fill_series(df, features, keys, order, target), keys, order)
+    labelled = stage(time_split(fill_series(df, features, keys, order, target), keys, order))
     params = fit_scaler(labelled.where(F.col("split") == "train"), cols, "minmax", "series_minmax")
     return scale(labelled, params), params
 
@@ -204,7 +204,7 @@ def forecast(model, latest: DataFrame, n: int = DEFAULTS.future_steps, minutes:
                 }
             ).drop("prediction")
             if i % every == 0 and i < n:
-                state = cut_lineage(state)
+                state = stage(state)
         done = state
     return _steps(done, keys, minutes)
 
@@ -226,6 +226,7 @@ def _steps(done: DataFrame, keys, minutes: int) -> DataFrame:
 
 def fit_ensemble(train: DataFrame, n: int = DEFAULTS.ensemble, seed: int = 42, **options) -> list:
     """Models of ``n`` bootstrap samples of the windows."""
+    train = stage(train)
     return [fit_forecaster(train.sample(True, 1.0, seed + i), **options) for i in range(n)]
 
 
@@ -327,7 +328,7 @@ def tune(data: DataFrame, grid: list[dict], folds: int = 3) -> DataFrame:
     """
     spark = data.sparkSession
     part = F.floor(F.col("start") * (folds + 1) / F.col("series_rows"))
-    labelled = data.withColumn("_part", part)
+    labelled = stage(data.withColumn("_part", part))
     results = []
     for number, options in enumerate(grid):
         for k in range(1, folds + 1):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from transit_spark.config import NEVER_AUTO_SCALED
 from transit_spark.operators.series import with_positions
-from transit_spark.operators.summary import quantile_columns, to_long
+from transit_spark.operators.summary import column_stats, quantile_columns, to_long
 
 METHODS = ("minmax", "standard", "robust")
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -30,24 +30,18 @@ def fit_scaler(df: DataFrame, cols=None, method: str = "minmax", name: str | Non
     if method not in METHODS:
         raise ValueError(f"unknown normalization method: {method}")
     cols = list(numeric_columns(df) if cols is None else cols)
-    long = to_long(df, cols)
-    stats = long.groupBy("column").agg(
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.avg("value").alias("mean"),
-        F.stddev_pop("value").alias("std"),
-    )
+    wanted = {"min": F.min, "max": F.max}
+    if method == "standard":
+        wanted |= {"mean": F.avg, "std": F.stddev_pop}
+    stats = column_stats(df, cols, wanted)
     if method == "robust":
-        quartiles = quantile_columns(long, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["column"])
+        quartiles = quantile_columns(to_long(df, cols), "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["column"])
         stats = stats.join(quartiles, "column", "left")
     else:
         stats = stats.withColumns({q: F.lit(None).cast("double") for q in ("q25", "q50", "q75")})
     center = {"minmax": "min", "standard": "mean", "robust": "q50"}[method]
-    spread = {
-        "minmax": F.col("max") - F.col("min"),
-        "standard": F.col("std"),
-        "robust": F.col("q75") - F.col("q25"),
-    }[method]
+    spread = {"minmax": ("max", "min"), "standard": ("std", None), "robust": ("q75", "q25")}[method]
+    spread = F.col(spread[0]) - (F.col(spread[1]) if spread[1] else F.lit(0.0))
     return stats.select(
         F.lit(name or f"features_{method}").alias("name"),
         "column",

@@ -37,47 +37,57 @@ def _keyed(keys) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.lit(True))
 
 
+def _cut(df: DataFrame, keys, order, block: Column | None) -> tuple[DataFrame, list[str]]:
+    """(frame whose key columns are packed with the block into ``_g``, order inside a block).
+
+    A packed key is never NULL itself: rows with NULL keys join like all others, and the planner adds
+    no null filters to one side only, so both sides of the joins below can share their input's
+    shuffle.
+    """
+    packed = F.struct(*keys, _block_of(order, block).alias("block")).alias("_g")
+    rest = [c for c in df.columns if c not in keys]
+    return df.select(packed, *rest), [c for c in order if c not in keys]
+
+
+def _restored(cut: DataFrame, columns, keys, *added) -> DataFrame:
+    return cut.select(*[F.col(f"_g.{c}").alias(c) if c in keys else F.col(c) for c in columns], *added)
+
+
+def _blocks(summary: DataFrame, keys) -> tuple[DataFrame, object]:
+    """One row per block with its series unpacked, and the window over a series' blocks."""
+    names = {f"_key_{k}": F.col(f"_g.{k}") for k in keys}
+    return summary.withColumns(names | {"_at": F.col("_g.block")}), Window.partitionBy(*names)
+
+
 def with_positions(df: DataFrame, keys, order, block: Column | None = None) -> DataFrame:
     """Adds ``_pos`` (1-based position in the series) and ``_size`` (rows of the series).
 
     ``order`` must be a total order inside a series; ``block`` must not decrease along it.
     """
     keys = list(keys)
-    cut = df.withColumn("_block", _block_of(order, block))
-    counts = cut.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_rows"))
-    run = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
+    cut, inner = _cut(df, keys, order, block)
+    counts, series = _blocks(cut.groupBy("_g").agg(F.count(F.lit(1)).alias("_rows")), keys)
+    run = series.orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     offsets = counts.select(
-        *keys,
-        "_block",
+        "_g",
         (F.sum("_rows").over(run) - F.col("_rows")).alias("_before"),
-        F.sum("_rows").over(Window.partitionBy(*keys)).alias("_size"),
-    )
-    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
-    return (
-        cut.withColumn("_row", F.row_number().over(inside))
-        .join(offsets, [*keys, "_block"], "left")
-        .withColumn("_pos", F.coalesce(F.col("_before"), F.lit(0)) + F.col("_row"))
-        .drop("_block", "_row", "_before")
-        .select(*df.columns, "_pos", "_size")
+        F.sum("_rows").over(series).alias("_size"),
     )
+    row = F.row_number().over(Window.partitionBy("_g").orderBy(*inner))
+    placed = cut.withColumn("_row", row).join(offsets, "_g", "left")
+    return _restored(placed, df.columns, keys, (F.col("_before") + F.col("_row")).alias("_pos"), "_size")
 
 
 def running_total(df: DataFrame, keys, order, value: str, block: Column) -> DataFrame:
     """Adds ``_total``: inclusive running sum of ``value`` along ``order``."""
     keys = list(keys)
-    cut = df.withColumn("_block", block)
-    sums = cut.groupBy(*keys, "_block").agg(F.sum(value).alias("_sum"))
-    run = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*keys, "_block", F.coalesce(F.sum("_sum").over(run), F.lit(0)).alias("_before"))
-    inside = (
-        Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return (
-        cut.withColumn("_inner", F.sum(value).over(inside))
-        .join(offsets, [*keys, "_block"], "left")
-        .withColumn("_total", F.col("_inner") + F.col("_before"))
-        .select(*df.columns, "_total")
-    )
+    cut, inner = _cut(df, keys, order, block)
+    sums, series = _blocks(cut.groupBy("_g").agg(F.sum(value).alias("_sum")), keys)
+    run = series.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_g", F.coalesce(F.sum("_sum").over(run), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_g").orderBy(*inner).rowsBetween(Window.unboundedPreceding, 0)
+    summed = cut.withColumn("_inner", F.sum(value).over(inside)).join(offsets, "_g", "left")
+    return _restored(summed, df.columns, keys, (F.col("_inner") + F.col("_before")).alias("_total"))
 
 
 def in_chunks(placed: DataFrame, keys, before: int = 0, after: int = 0, size: int = CHUNK_ROWS):
@@ -108,22 +118,22 @@ def with_neighbours(
     """Adds ``_pos`` and, per column, ``_prev_<c>`` and ``_next_<c>``: ``struct(pos, value)`` of the
     nearest non-null value at or before / at or after the row (``strict``: not the row itself)."""
     keys = list(keys)
-    cut = df.withColumn("_block", _block_of(order, block))
-    inside = Window.partitionBy(*keys, "_block")
-    rows = cut.withColumn("_row", F.row_number().over(inside.orderBy(*order)))
+    cut, inner = _cut(df, keys, order, block)
+    inside = Window.partitionBy("_g")
+    rows = cut.withColumn("_row", F.row_number().over(inside.orderBy(*inner)))
 
     def known(c: str, pos: Column) -> Column:
         return F.when(F.col(c).isNotNull(), F.struct(pos.alias("pos"), F.col(c).alias("value")))
 
     row = F.col("_row").cast("long")
-    ends = rows.groupBy(*keys, "_block").agg(
+    ends = rows.groupBy("_g").agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.min(known(c, row)).alias(f"_first_{c}") for c in cols],
         *[F.max(known(c, row)).alias(f"_last_{c}") for c in cols],
     )
-    series = Window.partitionBy(*keys)
-    back = series.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = series.orderBy(F.col("_block").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ends, series = _blocks(ends, keys)
+    back = series.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = series.orderBy(F.col("_at").desc()).rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("_before")
 
     def shifted(name: str) -> Column:
@@ -134,8 +144,7 @@ def with_neighbours(
         )
 
     carry = ends.withColumn("_before", F.coalesce(F.sum("_rows").over(back), F.lit(0))).select(
-        *keys,
-        "_block",
+        "_g",
         "_before",
         *[F.last(shifted(f"_last_{c}"), True).over(back).alias(f"_carry_prev_{c}") for c in cols],
         *[F.last(shifted(f"_first_{c}"), True).over(ahead).alias(f"_carry_next_{c}") for c in cols],
@@ -143,16 +152,14 @@ def with_neighbours(
     edge = -1 if strict else 0
     upto = inside.orderBy("_row").rowsBetween(Window.unboundedPreceding, edge)
     onward = inside.orderBy(F.col("_row").desc()).rowsBetween(Window.unboundedPreceding, edge)
-    placed = rows.join(carry, [*keys, "_block"], "left").withColumn(
-        "_pos", F.coalesce(before, F.lit(0)) + F.col("_row")
-    )
+    placed = rows.join(carry, "_g", "left").withColumn("_pos", before + F.col("_row"))
     pos = F.col("_pos")
     nearest = {}
     for c in cols:
         here = known(c, pos)
         nearest[f"_prev_{c}"] = F.coalesce(F.last(here, True).over(upto), F.col(f"_carry_prev_{c}"))
         nearest[f"_next_{c}"] = F.coalesce(F.last(here, True).over(onward), F.col(f"_carry_next_{c}"))
-    return placed.withColumns(nearest).select(*df.columns, "_pos", *nearest)
+    return _restored(placed.withColumns(nearest), df.columns, keys, "_pos", *nearest)
 
 
 def _filled(df: DataFrame, keys, order, cols, block, value) -> DataFrame:

@@ -137,17 +137,26 @@ def stops_per_route(df: DataFrame) -> DataFrame:
     return per_route.agg((F.sum("n") / F.count("route")).alias("stops_per_route"))
 
 
+def column_stats(df: DataFrame, cols, stats: dict) -> DataFrame:
+    """One row per column. All columns are aggregated side by side in one pass, then turned."""
+    wide = df.agg(
+        *[f(F.col(c).cast("double")).alias(f"{name}_{i}") for i, c in enumerate(cols) for name, f in stats.items()]
+    )
+    rows = F.array(
+        *[
+            F.struct(F.lit(c).alias("column"), *[F.col(f"{name}_{i}").alias(name) for name in stats])
+            for i, c in enumerate(cols)
+        ]
+    )
+    return wide.select(F.inline(rows))
+
+
 def describe(df: DataFrame, cols) -> DataFrame:
     """count, mean, std, min, exact quartiles and max, one row per column."""
-    long = to_long(df, cols)
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    moments = column_stats(
+        df, cols, {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     )
-    quartiles = quantile_columns(long, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["column"])
+    quartiles = quantile_columns(to_long(df, cols), "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["column"])
     return moments.join(quartiles, "column", "left")
 
 

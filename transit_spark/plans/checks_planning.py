@@ -15,6 +15,7 @@ from transit_spark.operators.scaling import fit_scaler, scale, unscale
 from transit_spark.plans.checks_features import r6
 from transit_spark.plans.flows import candidate_timetables, plan_day
 from transit_spark.plans.registry import check, rounded
+from transit_spark.session import stage
 
 SERIES = ["route", "stop"]
 
@@ -61,14 +62,19 @@ def f4(fx):
 
 
 def _route_windows(fx, length: int = 8):
-    totals = su.demand_by_time(fx.demand).withColumn("total_demand", F.col("total_demand").cast("double"))
+    totals = stage(su.demand_by_time(fx.demand).withColumn("total_demand", F.col("total_demand").cast("double")))
     return totals, fc.windows(totals, ["total_demand"], length, 1, 1, ["route"])
 
 
+def _stop_windows(fx):
+    """Training windows of all stops: a stored table, models read it several times."""
+    return stage(fc.windows(fx.demand, ["passengers"], 12, 2, 1, SERIES))
+
+
 @check("F5_global_model")
 def f5(fx):
     """One linear model over the windows of all stops, predictions for every window."""
-    w = fc.windows(fx.demand, ["passengers"], 12, 2, 1, SERIES)
+    w = _stop_windows(fx)
     model = fc.fit_forecaster(w)
     return rounded(fc.predict(model, w).select(*SERIES, "time", "y", "prediction"), 4)
 
@@ -105,14 +111,14 @@ def f8(fx):
 @check("F8_ensemble_interval")
 def f8b(fx):
     """Three bootstrap models, mean and 95 % interval per window."""
-    w = fc.windows(fx.demand, ["passengers"], 12, 2, 1, SERIES)
+    w = _stop_windows(fx)
     return rounded(fc.predict_interval(fc.fit_ensemble(w), w).select(*SERIES, "time", "predicted", "lower", "upper"), 3)
 
 
 @check("F9_latest_prediction")
 def f9(fx):
     """Prediction from the last full window of each stop."""
-    w = fc.windows(fx.demand, ["passengers"], 12, 2, 1, SERIES)
+    w = _stop_windows(fx)
     full, _ = fc.predict_latest(fc.fit_forecaster(w), fx.demand, ["passengers"], 12)
     return rounded(full, 4)
 
@@ -145,7 +151,7 @@ def f11(fx):
 @check("F12_save_load_model")
 def f12(fx):
     """A saved and reloaded model predicts what the original did."""
-    w = fc.windows(fx.demand, ["passengers"], 12, 2, 1, SERIES)
+    w = _stop_windows(fx)
     path = fx.fresh_dir() + "/forecaster"
     fc.save_model(fc.fit_forecaster(w), ["passengers"], path)
     model, features = fc.load_model(path)
@@ -377,8 +383,8 @@ def k7(fx):
 
 
 def _fixed_trips(fx):
-    slots = sc.slot_demand(fx.slot_input)
-    return sc.trip_loads(sc.fixed_timetable(slots), slots)
+    slots = stage(sc.slot_demand(fx.slot_input))
+    return stage(sc.trip_loads(sc.fixed_timetable(slots), slots))
 
 
 def _kpi_sql(source: str, key: str | None = None) -> str:
@@ -409,9 +415,10 @@ def k8b(fx):
       (SELECT count(*) AS n, sum(wait_minutes) / sum(served_passengers) AS w, avg(served_passengers / 50) AS l FROM v_final_loads) b)""",
 )
 def k9(fx):
-    slots = sc.slot_demand(fx.slot_input)
-    half = sc.trip_loads(candidate_timetables(fx.demand, (2,)), slots)
-    return rounded(sc.compare(sc.schedule_kpis(half), sc.schedule_kpis(_fixed_trips(fx))))
+    slots = stage(sc.slot_demand(fx.slot_input))
+    half = stage(sc.trip_loads(candidate_timetables(slots, (2,)), slots))
+    fixed = stage(sc.trip_loads(sc.fixed_timetable(slots), slots))
+    return rounded(sc.compare(sc.schedule_kpis(half), sc.schedule_kpis(fixed)))
 
 
 @check(

@@ -12,6 +12,7 @@ from transit_spark.operators import forecast as fc
 from transit_spark.plans import flows
 from transit_spark.plans.checks_features import LABELS, r6
 from transit_spark.plans.registry import check, rounded
+from transit_spark.session import stage
 from transit_spark.sources import documents as dc
 from transit_spark.sources import pages as pg
 from transit_spark.sources import tables as tb
@@ -285,7 +286,7 @@ def m4(fx):
 @check("M5_stream_latest")
 def m5(fx):
     """Scores of the last full window per stop, kept over the batches of a stream."""
-    w = fc.windows(fx.demand, ["passengers"], 12, 2, 1, ["route", "stop"])
+    w = stage(fc.windows(fx.demand, ["passengers"], 12, 2, 1, ["route", "stop"]))
     model = fc.fit_forecaster(w)
     base = fx.fresh_dir()
     scorer = st.LatestScorer(
@@ -372,11 +373,11 @@ def p1b(fx):
 @check(
     "P2_process_gps",
     "SELECT seq, route, bus_id, time, CAST(hour(time) AS INT) AS hour, "
-    + ", ".join(f"round((v.{c} - p.{c}_lo) / (p.{c}_hi - p.{c}_lo), 6) + 0.0 AS {c}" for c in C.GPS_NUMERIC)
+    + ", ".join(f"round((v.{c} - p.{c}_lo) / (p.{c}_hi - p.{c}_lo), 9) + 0.0 AS {c}" for c in C.GPS_NUMERIC)
     + " FROM v_gps v, (SELECT " + ", ".join(f"min({c}) AS {c}_lo, max({c}) AS {c}_hi" for c in C.GPS_NUMERIC) + " FROM v_gps) p",
 )
 def p2(fx):
-    return rounded(flows.process_gps(fx.gps_raw).data.select("seq", "route", "bus_id", "time", "hour", *C.GPS_NUMERIC))
+    return rounded(flows.process_gps(fx.gps_raw).data.select("seq", "route", "bus_id", "time", "hour", *C.GPS_NUMERIC), 9)
 
 
 def _dataset(fx, **options):

@@ -6,12 +6,13 @@ table, so its size follows the table's.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from transit_spark.session import stage, work_dir
+
 SPARK = {
     "S": "STRING",
     "TS": "TIMESTAMP_NTZ",
@@ -159,17 +160,6 @@ def spark_view(spark: SparkSession, name: str, source: DataFrame) -> DataFrame:
         spark.catalog.dropTempView(view)
 
 
-def work_dir(spark: SparkSession) -> str:
-    """A fresh folder all executors can see: below the cluster's checkpoint folder, or a local
-    temporary one when the session is local."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/transit-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="run-transit-")
-    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-
-
 class Fixtures:
     """The driver's tables and the views derived from them, as lazy frames."""
 
@@ -252,11 +242,13 @@ class Fixtures:
         from transit_spark.operators.series import lag_features
 
         lagged = lag_features(self.demand, "passengers", [1], ["route", "stop"], ["time"])
-        return lagged.select(
+        pairs = lagged.select(
             "route", "stop", "time", "seq",
             F.col("passengers").cast("double").alias("actual"),
             F.col("passengers_lag_1").cast("double").alias("predicted"),
         )
+        # Forecasts are a stored table; scores read them several times.
+        return stage(pairs)
 
     @cached_property
     def slot_input(self) -> DataFrame:

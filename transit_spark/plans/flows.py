@@ -17,6 +17,7 @@ from transit_spark.operators.context import contextual_features
 from transit_spark.operators.scaling import categorical_columns, encode, fit_labels, fit_scaler, numeric_columns, scale
 from transit_spark.operators.series import series_features
 from transit_spark.operators.summary import demand_by_time
+from transit_spark.session import stage
 from transit_spark.sources.tables import StageStats, save_dataset, write_tables
 
 IDENTIFIERS = ("time", "route", "stop", *C.DEMAND_COUNTS)
@@ -54,11 +55,13 @@ def process_demand(
 ) -> Processed:
     """Features, then label codes for text columns and scaling of the numeric ones.
 
-    The numeric columns are listed before encoding, so label codes stay unscaled.
+    The numeric columns are listed before encoding, so label codes stay unscaled. Fitting reads the
+    features again, so they are staged: joined once, then scanned by column.
     """
     df = demand_features(demand, stops, weather, events, **options)
     if not normalize:
         return Processed(df)
+    df = stage(df)
     kept = df.drop(*IDENTIFIERS, *order)
     # The column lists are explicit, so hour and month are scaled as well.
     numeric = [c for c, t in kept.dtypes if t not in ("string", "timestamp_ntz", "timestamp", "date", "boolean")]
@@ -73,6 +76,7 @@ def process_gps(gps: DataFrame, normalize: bool = True, method: str = "minmax")
     df = temporal_features(clean_gps(gps))
     if not normalize:
         return Processed(df)
+    df = stage(df)
     scaler = fit_scaler(df, [c for c in C.GPS_NUMERIC if c in df.columns], method)
     return Processed(scale(df, scaler), scaler)
 
@@ -147,19 +151,19 @@ class DayPlan:
 
 def plan_day(demand: DataFrame, length: int = 8, steps: int = 96, per_route: bool = True, fleet: int = sc.SERVICE.fleet) -> DayPlan:
     """Forecast each route's total demand, pick timetables and headways, compare with the fixed one."""
-    totals = demand_by_time(demand).withColumn("total_demand", F.col("total_demand").cast("double"))
+    totals = stage(demand_by_time(demand).withColumn("total_demand", F.col("total_demand").cast("double")))
     train = fc.windows(totals, ["total_demand"], length, 1, 1, ["route"])
     latest, _ = fc.latest_windows(totals, ["total_demand"], length, ["route"])
     if per_route:
         predicted = fc.forecast_per_route(fc.fit_per_route(train, length), latest, steps)
     else:
         predicted = fc.forecast(fc.fit_forecaster(train), latest, steps)
-    predicted = predicted.withColumn("predicted_demand", F.col("predicted_demand").cast("int"))
-    slots = sc.slot_demand(predicted)
+    predicted = stage(predicted.withColumn("predicted_demand", F.col("predicted_demand").cast("int")))
+    slots = stage(sc.slot_demand(predicted))
     best = sc.best_schedule(candidate_timetables(slots), slots)
     chosen = candidate_timetables(slots).join(best.select("route", "day", "candidate"), ["route", "candidate"])
-    trips = sc.trip_loads(chosen, slots)
-    fixed = sc.trip_loads(sc.fixed_timetable(slots), slots)
+    trips = stage(sc.trip_loads(chosen, slots))
+    fixed = stage(sc.trip_loads(sc.fixed_timetable(slots), slots))
     ours, others = sc.schedule_kpis(trips), sc.schedule_kpis(fixed)
     hourly = predicted.groupBy("route").agg((F.sum("predicted_demand") / (steps / 4)).alias("demand"))
     headways = sc.apply_fleet_limit(sc.best_headway(sc.headway_grid(hourly)), fleet)

@@ -201,4 +201,7 @@ def with_views(sql: str) -> str:
     if not order:
         return sql.strip()
     ctes = ",\n".join(f"{name} AS MATERIALIZED ({LIB[name].strip()})" for name in order)
-    return f"WITH {ctes}\n{sql.strip()}"
+    body = sql.strip()
+    if body.startswith("WITH "):
+        return f"WITH {ctes},\n{body[5:]}"
+    return f"WITH {ctes}\n{body}"

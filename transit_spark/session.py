@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,20 +30,23 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, memory: st
     )
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the folder the cluster names; only a local session may fall back to a temporary one."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
+def work_dir(spark: SparkSession) -> str:
+    """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``. Only a local
+    session that names none may use a temporary folder of its machine."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-checkpoint-"))
-    else:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        return f"{shared.rstrip('/')}/transit-{uuid.uuid4().hex}"
+    if spark.sparkContext.master.startswith("local"):
+        return tempfile.mkdtemp(prefix="run-transit-")
+    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def stage(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Writes ``df`` to the shared folder and reads it back.
+
+    For results that are read more than once: they are computed once, a lost executor does not
+    bring the whole history back, and later reads still prune columns and push filters down.
+    """
+    target = f"{path or work_dir(df.sparkSession)}/stage"
+    df.write.mode("overwrite").parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)

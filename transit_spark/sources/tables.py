@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from transit_spark import schemas as S
+from transit_spark.session import stage
 
 DAY = "day"
 
@@ -182,8 +183,15 @@ def upsert_table(incoming: DataFrame, name: str, ts: str = "time") -> None:
     base = name.split(".")[-1]
     fresh = _stored_shape(incoming, base)
     touched = spark.table(name).join(fresh.select(DAY).distinct(), DAY, "left_semi").select(*fresh.columns)
-    merged = upsert(touched, fresh, S.STORED_KEYS[base], ts).select(*fresh.columns)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    # Staged first: a table cannot be read and overwritten by one statement.
+    merged = stage(upsert(touched, fresh, S.STORED_KEYS[base], ts).select(*fresh.columns))
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        merged.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
 
 
 class StageStats:

@@ -70,6 +70,8 @@ class LatestScorer:
         self.length, self.keys, self.order = length, list(keys), list(order)
 
     def _previous(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        if batch_id == 0:
+            return None
         try:
             return spark.read.parquet(f"{self.state_path}/batch={batch_id - 1}")
         except AnalysisException:
