@@ -19,7 +19,9 @@ def _col(c: str | Column) -> Column:
 
 def to_time(df: DataFrame, cols) -> DataFrame:
     """Coerce columns to TIMESTAMP_NTZ; text that is no timestamp becomes NULL."""
-    return df.withColumns({c: F.col(c).try_cast("timestamp_ntz") for c in cols})
+    types = dict(df.dtypes)
+    other = {c: F.col(c).try_cast("timestamp_ntz") for c in cols if types[c] != "timestamp_ntz"}
+    return df.withColumns(other) if other else df
 
 
 def minute_of_day(ts: str | Column) -> Column:
@@ -50,7 +52,7 @@ def epoch_micros(ts: str | Column) -> Column:
     seconds = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long") * 86400 + (
         F.hour(ts) * 3600 + F.minute(ts) * 60
     )
-    within = F.expr("0") + F.extract(F.lit("SECOND"), ts).cast("decimal(8,6)") * 1000000
+    within = F.extract(F.lit("SECOND"), ts) * 1000000
     return seconds * 1000000 + within.cast("long")
 
 

@@ -74,11 +74,11 @@ def interval_pieces(intervals: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
-def look_up(points: DataFrame, time: str, pieces: DataFrame) -> DataFrame:
-    """Each distinct time of ``points`` with every row of ``pieces`` that holds it."""
+def look_up(times: DataFrame, pieces: DataFrame) -> DataFrame:
+    """Each distinct ``time`` with every row of ``pieces`` that holds it."""
     look = (
-        points.select(time).distinct()
-        .withColumn("_micros", epoch_micros(time))
+        times.select("time").distinct()
+        .withColumn("_micros", epoch_micros("time"))
         .withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(TOP_LEVEL))))
         .withColumn("_node", F.expr("shiftright(_micros, _level)"))
         .drop("_micros")
@@ -86,16 +86,20 @@ def look_up(points: DataFrame, time: str, pieces: DataFrame) -> DataFrame:
     return look.join(pieces, ["_level", "_node"])
 
 
-def join_active_events(df: DataFrame, events: DataFrame) -> DataFrame:
+def join_active_events(df: DataFrame, events: DataFrame, times: DataFrame | None = None) -> DataFrame:
     """nearby_events: events whose closed interval holds the row's time; event_impact_factor: the
-    largest impact among them (1.0 without any)."""
+    largest impact among them (1.0 without any).
+
+    ``times`` may name a cheaper frame that has every time of ``df`` (and perhaps more), such as the
+    raw table ``df`` was cleaned from.
+    """
     has_impact = "impact_factor" in events.columns
     cols = ["start_time", "end_time", *(["impact_factor"] if has_impact else [])]
     # Events sharing a piece are combined on the map side, and times are looked up once each.
     per_piece = interval_pieces(events.select(*cols), "start_time", "end_time").groupBy("_level", "_node").agg(
         F.count(F.lit(1)).alias("_n"), *([F.max("impact_factor").alias("_impact")] if has_impact else [])
     )
-    active = look_up(df, "time", per_piece).groupBy("time").agg(
+    active = look_up(df if times is None else times, per_piece).groupBy("time").agg(
         F.sum("_n").alias("_n"), *([F.max("_impact").alias("_impact")] if has_impact else [])
     )
     joined = df.join(active, "time", "left")
@@ -114,11 +118,13 @@ def commute_flag(df: DataFrame) -> DataFrame:
     return df.withColumn("is_commute_time", F.coalesce(busy & weekday, F.lit(False)).cast("int"))
 
 
-def contextual_features(df: DataFrame, weather: DataFrame | None = None, events: DataFrame | None = None) -> DataFrame:
+def contextual_features(
+    df: DataFrame, weather: DataFrame | None = None, events: DataFrame | None = None, times: DataFrame | None = None
+) -> DataFrame:
     if weather is not None:
         df = weather_features(join_weather(df, weather))
     if events is not None:
-        df = join_active_events(df, events)
+        df = join_active_events(df, events, times)
     return commute_flag(df)
 
 
@@ -163,7 +169,7 @@ def event_factor(df: DataFrame, kind: str = "event") -> DataFrame:
     return df.withColumn("demand_factor", factor)
 
 
-def event_proximity(df: DataFrame, stops: DataFrame, events: DataFrame, km: float = 2.0) -> DataFrame:
+def event_proximity(df: DataFrame, stops: DataFrame, events: DataFrame, km: float = 2.0, times: DataFrame | None = None) -> DataFrame:
     """event_nearby and event_distance of the nearest active event within ``km`` of the row's stop.
 
     Stops meet event places on a grid whose cells are at least ``km`` wide, so a stop looks at 3x3
@@ -189,7 +195,7 @@ def event_proximity(df: DataFrame, stops: DataFrame, events: DataFrame, km: floa
     distance = haversine(F.col("_lat"), F.col("_lng"), F.col("_vlat"), F.col("_vlng"))
     reach = places.join(venues, ["_y", "_x"]).withColumn("_km", distance).where(F.col("_km") <= km)
     pieces = interval_pieces(held.join(reach.select(*venue).distinct(), venue, "left_semi"), "start_time", "end_time")
-    busy = look_up(df, "time", pieces.select(*venue, "_level", "_node").distinct()).select(*venue, "time").distinct()
+    busy = look_up(df if times is None else times, pieces.select(*venue, "_level", "_node").distinct()).select(*venue, "time").distinct()
     near = (
         reach.select("route", "stop", *venue, "_km").join(busy, venue)
         .groupBy("route", "stop", "time").agg(F.min("_km").alias("event_distance"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from transit_spark import config as C
 from transit_spark.functions.spatial import center_features, stop_features
-from transit_spark.functions.temporal import temporal_features
+from transit_spark.functions.temporal import temporal_features, to_time
 from transit_spark.operators import forecast as fc
 from transit_spark.operators import schedule as sc
 from transit_spark.operators.cleaning import clean_demand, clean_events, clean_gps, clean_weather
@@ -45,7 +45,7 @@ def demand_features(
             df = center_features(df)
         df = stop_features(df, stops, stops_on)
     if weather is not None or events is not None:
-        df = contextual_features(df, weather, events)
+        df = contextual_features(df, weather, events, to_time(demand.select("time"), ["time"]))
     return df
 
 

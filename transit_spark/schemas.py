@@ -2,29 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
 RAW = {
-    "routes": _struct("route string, num_stops int, num_buses int"),
-    "stops": _struct("route string, stop string, stop_order int, latitude double, longitude double"),
-    "demand": _struct(
+    "routes": ("route string, num_stops int, num_buses int"),
+    "stops": ("route string, stop string, stop_order int, latitude double, longitude double"),
+    "demand": (
         "route string, stop string, time timestamp_ntz, boarding_count int, alighting_count int, "
         "passengers int, hour int, day_of_week int, is_weekend int, is_peak_hour int"
     ),
-    "gps": _struct(
+    "gps": (
         "route string, bus_id string, time timestamp_ntz, latitude double, longitude double, "
         "speed double, heading double"
     ),
-    "weather": _struct(
+    "weather": (
         "time timestamp_ntz, temperature double, humidity double, rain_mm double, "
         "wind_speed double, conditions string"
     ),
-    "events": _struct(
+    "events": (
         "event_id bigint, name string, event_type string, location string, latitude double, "
         "longitude double, start_time timestamp_ntz, end_time timestamp_ntz, "
         "expected_attendance int, impact_factor double"

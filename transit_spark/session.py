@@ -25,6 +25,8 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, memory: st
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # Small test data would otherwise be coalesced into one task per stage.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-warehouse-"))
         .getOrCreate()
     )
