@@ -268,18 +268,38 @@ def with_position(df: DataFrame, keys, order, name: str = "position", block=None
 
 
 def even_sample(df: DataFrame, order, n: int, block: Column | None = None) -> DataFrame:
-    """``n`` evenly spaced rows of the ordered frame; all rows when there are at most ``n``."""
-    placed = with_positions(df, [], order, block)
-    if n < 2:
-        return placed.where(F.col("_pos") <= n).select(*df.columns)
-    index, step = F.col("_pos") - 1, (F.col("_size") - 1) / F.lit(float(n - 1))
-    near = F.floor(index / step)
-    chosen = reduce(
-        lambda a, b: a | b,
-        [
-            (near + d).between(0, n - 1)
-            & (F.when(near + d == n - 1, F.col("_size") - 1).otherwise(F.floor((near + d) * step)) == index)
-            for d in (0, 1)
-        ],
+    """``n`` evenly spaced rows of the ordered frame; all rows when there are at most ``n``.
+
+    Blocks (a minute by default) are only counted; rows are ranked in the at most ``n`` blocks that
+    hold a sample.
+    """
+    if block is None:
+        ts = F.col(order[0])
+        midnight = ts.cast("date").cast("timestamp_ntz")
+        block = midnight + F.make_dt_interval(F.lit(0), F.hour(ts), F.minute(ts), F.lit(0))
+    cut = df.withColumn("_block", block)
+    counts = cut.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows"))
+    run = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
+    spans = counts.select("_block", "_rows", F.sum("_rows").over(run).alias("_end"))
+    size = spans.agg(F.max("_end").alias("n")).scalar()
+    spans = spans.withColumns({"_size": size, "_start": F.col("_end") - F.col("_rows")})
+
+    def sample(i: Column) -> Column:
+        step = (F.col("_size") - 1) / F.lit(float(max(n - 1, 1)))
+        return F.when((i == n - 1) & (i > 0), F.col("_size") - 1).otherwise(F.floor(i * step))
+
+    # The samples that may fall into a block: positions grow with i, so their numbers are a range.
+    scale = F.lit(float(max(n - 1, 1))) / F.greatest(F.col("_size") - 1, F.lit(1))
+    first = F.greatest(F.floor(F.col("_start") * scale) - 1, F.lit(0))
+    last = F.least(F.ceil(F.col("_end") * scale) + 1, F.lit(n - 1))
+    numbers = F.sequence(F.least(first, last), last)
+    inside = F.filter(
+        F.array_distinct(F.transform(numbers, sample)), lambda p: (p >= F.col("_start")) & (p < F.col("_end"))
+    )
+    wanted = spans.withColumn("_wanted", inside).where((F.size("_wanted") > 0) | (F.col("_size") <= n))
+    row = F.row_number().over(Window.partitionBy("_block").orderBy(*order))
+    ranked = cut.join(wanted.select("_block", "_start", "_size", "_wanted"), "_block").withColumn(
+        "_index", F.col("_start") + row - 1
     )
-    return placed.where((F.col("_size") <= n) | chosen).select(*df.columns)
+    chosen = (F.col("_size") <= n) | F.array_contains("_wanted", F.col("_index"))
+    return ranked.where(chosen).select(*df.columns)

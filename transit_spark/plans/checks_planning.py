@@ -262,7 +262,29 @@ def e4(fx):
     return ev.residuals(fx.forecast)
 
 
-@check("E5_qq_points")
+def _poly_sql(coefficients, x: str) -> str:
+    text = repr(coefficients[0])
+    for c in coefficients[1:]:
+        text = f"({text} * {x} + {c!r}::DOUBLE)"
+    return text
+
+
+def _inverse_normal_sql(p: str) -> str:
+    def tail(q: str) -> str:
+        t = f"sqrt(-2 * ln({q}))"
+        return f"({_poly_sql(ev.INV_C, t)} / {_poly_sql((*ev.INV_D, 1.0), t)})"
+
+    r = f"(({p} - 0.5) * ({p} - 0.5))"
+    body = f"({_poly_sql(ev.INV_A, r)} * ({p} - 0.5) / {_poly_sql((*ev.INV_B, 1.0), r)})"
+    return f"CASE WHEN {p} < {ev.INV_TAIL} THEN {tail(p)} WHEN {p} > {1 - ev.INV_TAIL} THEN -{tail(f'(1 - {p})')} ELSE {body} END"
+
+
+@check(
+    "E5_qq_points",
+    f"""SELECT position, value, round({_inverse_normal_sql('p')}, 6) AS theoretical FROM (
+      SELECT i - 1 AS position, error AS value, CASE WHEN i = 1 THEN 1 - pow(0.5, 1.0 / n) WHEN i = n THEN pow(0.5, 1.0 / n) ELSE (i - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END AS p
+      FROM (SELECT error, row_number() OVER (ORDER BY error) AS i, count(*) OVER () AS n FROM v_errors))""",
+)
 def e5(fx):
     """Ordered errors against normal quantiles, all points."""
     errors = ev.error_frame(fx.forecast.where(F.col("predicted").isNotNull()))

@@ -73,10 +73,8 @@ def save_table(df: DataFrame, name: str, if_exists: str = "append") -> int:
     out = _stored_shape(df, base) if declared else df
     timed = DAY in out.columns and declared and base in S.TIME_PARTITIONED
     if timed:
-        # A day's rows meet in few tasks, so a day does not end up in one file per task; the salt
-        # keeps one big day from landing in a single task.
-        salt = F.pmod(F.xxhash64(*[c for c in out.columns if c != DAY]), F.lit(8))
-        out = out.repartition(DAY, salt)
+        # Few files per day, while adaptive execution splits a big day over many tasks.
+        out = out.hint("rebalance", F.col(DAY))
     modes = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
     if if_exists not in modes:
         raise ValueError(f"unknown if_exists: {if_exists}")
