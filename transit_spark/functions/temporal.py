@@ -2,17 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transit_spark.config import HOLIDAY_DATES
 
-MORNING_PEAK = (7, 8)
-EVENING_PEAK = (16, 17)
-
-
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -75,57 +69,46 @@ def align_time(df: DataFrame, col: str = "time", tz: str = "+07:00", minutes: in
     return df.withColumn(col, floor_time(local, minutes))
 
 
-def time_of_day(hour: Column) -> Column:
-    """Right-closed bins (-1,6] (6,12] (12,18] (18,24]."""
-    return (
-        F.when(hour <= 6, "night")
-        .when(hour <= 12, "morning")
-        .when(hour <= 18, "afternoon")
-        .when(hour <= 24, "evening")
-    )
+# Right-closed hour bins (-1,6] (6,12] (12,18] (18,24].
+TIME_OF_DAY = """
+    CASE WHEN hour <= 6 THEN 'night' WHEN hour <= 12 THEN 'morning'
+         WHEN hour <= 18 THEN 'afternoon' WHEN hour <= 24 THEN 'evening' END"""
 
-
-def rush_hour_intensity(hour: Column, weekday: Column) -> Column:
-    base = F.when(weekday >= 5, 0.3).otherwise(1.0)
-    share = (
-        F.when(hour.isin(8, 17), 1.0)
-        .when(hour.between(7, 9) | hour.between(16, 18), 0.8)
-        .when(hour.isin(6, 15), 0.5)
-        .otherwise(0.2)
-    )
-    return base * share
+RUSH_HOUR_INTENSITY = """
+    (CASE WHEN day_of_week >= 5 THEN 0.3D ELSE 1.0D END)
+    * (CASE WHEN hour IN (8, 17) THEN 1.0D
+            WHEN hour BETWEEN 7 AND 9 OR hour BETWEEN 16 AND 18 THEN 0.8D
+            WHEN hour IN (6, 15) THEN 0.5D ELSE 0.2D END)"""
 
 
 def temporal_features(df: DataFrame, time_col: str = "time", holidays=HOLIDAY_DATES) -> DataFrame:
     """Calendar, peak, cyclic and holiday columns of ``time_col``."""
-    ts = F.col(time_col)
-    base = df.withColumns(
-        {
-            "hour": F.hour(ts),
-            "day_of_week": F.weekday(ts),
-            "day_of_month": F.dayofmonth(ts),
-            "month": F.month(ts),
-            "week_of_year": F.weekofyear(ts),
-            "quarter": F.quarter(ts),
-        }
-    )
-    hour, dow = F.col("hour"), F.col("day_of_week")
-    return base.withColumns(
-        {
-            "is_weekend": (dow >= 5).cast("int"),
-            "is_peak_hour": hour.isin(*MORNING_PEAK, *EVENING_PEAK).cast("int"),
-            "is_morning_peak": hour.isin(*MORNING_PEAK).cast("int"),
-            "is_evening_peak": hour.isin(*EVENING_PEAK).cast("int"),
-            "time_of_day": time_of_day(hour),
-            "hour_sin": F.sin(hour * (2 * math.pi) / 24),
-            "hour_cos": F.cos(hour * (2 * math.pi) / 24),
-            "dow_sin": F.sin(dow * (2 * math.pi) / 7),
-            "dow_cos": F.cos(dow * (2 * math.pi) / 7),
-            "time_since_midnight": minute_of_day(ts),
-            "is_holiday": ts.cast("date").isin(*holidays).cast("int"),
-            "rush_hour_intensity": rush_hour_intensity(hour, dow),
-        }
-    )
+    ts = f"`{time_col}`"
+    days = ", ".join(f"DATE '{day}'" for day in holidays) or "NULL"
+    calendar = {
+        "hour": f"hour({ts})",
+        "day_of_week": f"weekday({ts})",
+        "day_of_month": f"dayofmonth({ts})",
+        "month": f"month({ts})",
+        "week_of_year": f"weekofyear({ts})",
+        "quarter": f"quarter({ts})",
+    }
+    derived = {
+        "is_weekend": "CAST(day_of_week >= 5 AS INT)",
+        "is_peak_hour": "CAST(hour IN (7, 8, 16, 17) AS INT)",
+        "is_morning_peak": "CAST(hour IN (7, 8) AS INT)",
+        "is_evening_peak": "CAST(hour IN (16, 17) AS INT)",
+        "time_of_day": TIME_OF_DAY,
+        "hour_sin": "sin(2 * pi() * hour / 24)",
+        "hour_cos": "cos(2 * pi() * hour / 24)",
+        "dow_sin": "sin(2 * pi() * day_of_week / 7)",
+        "dow_cos": "cos(2 * pi() * day_of_week / 7)",
+        "time_since_midnight": f"hour * 60 + minute({ts})",
+        "is_holiday": f"CAST(CAST({ts} AS DATE) IN ({days}) AS INT)",
+        "rush_hour_intensity": RUSH_HOUR_INTENSITY,
+    }
+    based = df.withColumns({c: F.expr(text) for c, text in calendar.items()})
+    return based.withColumns({c: F.expr(text) for c, text in derived.items()})
 
 
 def time_spine(df: DataFrame, keys, start: str, end: str, minutes: int = 15) -> DataFrame:

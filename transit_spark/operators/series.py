@@ -122,43 +122,39 @@ def with_neighbours(
     inside = Window.partitionBy("_g")
     rows = cut.withColumn("_row", F.row_number().over(inside.orderBy(*inner)))
 
-    def known(c: str, pos: Column) -> Column:
-        return F.when(F.col(c).isNotNull(), F.struct(pos.alias("pos"), F.col(c).alias("value")))
+    def known(c: str, pos: str) -> str:
+        return f"CASE WHEN `{c}` IS NOT NULL THEN struct({pos} AS pos, `{c}` AS value) END"
 
-    row = F.col("_row").cast("long")
+    row = "CAST(_row AS BIGINT)"
     ends = rows.groupBy("_g").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.min(known(c, row)).alias(f"_first_{c}") for c in cols],
-        *[F.max(known(c, row)).alias(f"_last_{c}") for c in cols],
+        F.expr("count(1) AS _rows"),
+        *[F.expr(f"min({known(c, row)}) AS `_first_{c}`") for c in cols],
+        *[F.expr(f"max({known(c, row)}) AS `_last_{c}`") for c in cols],
     )
     ends, series = _blocks(ends, keys)
     back = series.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     ahead = series.orderBy(F.col("_at").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("_before")
 
     def shifted(name: str) -> Column:
-        end = F.col(name)
-        return F.when(
-            end.isNotNull(),
-            F.struct((end["pos"] + before).alias("pos"), end["value"].alias("value")),
-        )
+        """The block's outermost known value, with its position in the whole series."""
+        moved = f"struct(`{name}`.pos + _before AS pos, `{name}`.value AS value)"
+        return F.expr(f"last(CASE WHEN `{name}` IS NOT NULL THEN {moved} END, true)")
 
     carry = ends.withColumn("_before", F.coalesce(F.sum("_rows").over(back), F.lit(0))).select(
         "_g",
         "_before",
-        *[F.last(shifted(f"_last_{c}"), True).over(back).alias(f"_carry_prev_{c}") for c in cols],
-        *[F.last(shifted(f"_first_{c}"), True).over(ahead).alias(f"_carry_next_{c}") for c in cols],
+        *[shifted(f"_last_{c}").over(back).alias(f"_carry_prev_{c}") for c in cols],
+        *[shifted(f"_first_{c}").over(ahead).alias(f"_carry_next_{c}") for c in cols],
     )
     edge = -1 if strict else 0
     upto = inside.orderBy("_row").rowsBetween(Window.unboundedPreceding, edge)
     onward = inside.orderBy(F.col("_row").desc()).rowsBetween(Window.unboundedPreceding, edge)
-    placed = rows.join(carry, "_g", "left").withColumn("_pos", before + F.col("_row"))
-    pos = F.col("_pos")
+    placed = rows.join(carry, "_g", "left").withColumn("_pos", F.expr("_before + _row"))
     nearest = {}
     for c in cols:
-        here = known(c, pos)
-        nearest[f"_prev_{c}"] = F.coalesce(F.last(here, True).over(upto), F.col(f"_carry_prev_{c}"))
-        nearest[f"_next_{c}"] = F.coalesce(F.last(here, True).over(onward), F.col(f"_carry_next_{c}"))
+        here = F.expr(f"last({known(c, '_pos')}, true)")
+        nearest[f"_prev_{c}"] = F.coalesce(here.over(upto), F.col(f"_carry_prev_{c}"))
+        nearest[f"_next_{c}"] = F.coalesce(here.over(onward), F.col(f"_carry_next_{c}"))
     return _restored(placed.withColumns(nearest), df.columns, keys, "_pos", *nearest)
 
 
