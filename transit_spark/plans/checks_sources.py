@@ -28,6 +28,16 @@ def s1(fx):
     return rounded(tb.read_table(fx.spark, path, "gps"))
 
 
+@check(
+    "S3_flatten_route_variants",
+    """SELECT o_orderkey AS route_id, CASE o_orderkey % 2 WHEN 0 THEN 'outbound' ELSE 'inbound' END AS direction_name, unnest([o_custkey, o_custkey + 1]) AS variant_id,
+      unnest(['To ' || o_orderpriority, '']) AS variant_name, unnest(['', 'Alpha']) AS start_stop, unnest(['', 'Stop ' || o_custkey]) AS end_stop,
+      unnest([CAST(1000 + o_custkey AS DOUBLE) + 0.5, 900]) AS distance_m, unnest([CAST(30 + o_custkey % 40 AS DOUBLE), 25]) AS running_minutes FROM orders WHERE o_orderstatus <> 'F'""",
+)
+def s3v(fx):
+    return dc.flatten_route_variants(fx.view("variant_docs"))
+
+
 @check(
     "S3_flatten_route_stops",
     """SELECT DISTINCT route_id, direction, variant_id, CASE direction WHEN 1 THEN 'outbound' ELSE 'inbound' END || '_' || CAST(variant_id AS VARCHAR) AS variant_key,
@@ -94,6 +104,18 @@ def s8(fx):
     return fx.spark.table(f"{db}.gps_traces").groupBy("day").agg(F.count(F.lit(1)).alias("n"))
 
 
+@check(
+    "S8_unique_keys",
+    """SELECT time, route_id, bus_id, speed FROM (SELECT time, route AS route_id, bus_id, seq, round(speed,6) AS speed FROM v_gps)
+    QUALIFY row_number() OVER (PARTITION BY time, bus_id ORDER BY seq) = 1""",
+)
+def s8b(fx):
+    db = _database(fx)
+    tb.create_tables(fx.spark, db)
+    tb.save_table(fx.gps.unionByName(fx.gps), f"{db}.gps_traces", unique=True, order=["seq"])
+    return rounded(fx.spark.table(f"{db}.gps_traces").select("time", "route_id", "bus_id", "speed"))
+
+
 @check(
     "S9_load_table",
     """SELECT time, route_id, bus_id, speed FROM (SELECT time, route AS route_id, bus_id, round(speed,6) AS speed FROM v_gps)

@@ -109,6 +109,14 @@ VIEWS = {
               '{{"lat":[10.'||CAST(10 + o_custkey % 90 AS {S})||',10.5,10.'||CAST(10 + o_orderkey % 90 AS {S})||'],"lng":[106.'||CAST(10 + o_custkey % 80 AS {S})||',106.5,106.'||CAST(10 + o_orderkey % 80 AS {S})||']}}' END AS path_json
         FROM {orders}""",
     ),
+    "variant_docs": (
+        "orders",
+        """SELECT o_orderkey AS route_id, CAST(1 + o_orderkey % 2 AS INT) AS direction,
+            CASE o_orderstatus WHEN 'F' THEN 'null' ELSE
+              '[{{"RouteId":"'||CAST(o_orderkey AS {S})||'","RouteVarId":'||CAST(o_custkey AS {S})||',"RouteVarName":"To '||o_orderpriority||'","Distance":'||CAST(1000 + o_custkey AS {S})||'.5,"RunningTime":'||CAST(30 + o_custkey % 40 AS {S})||'}},'||
+              '{{"RouteVarId":'||CAST(o_custkey + 1 AS {S})||',"StartStop":"Alpha","EndStop":"Stop '||CAST(o_custkey AS {S})||'","Distance":900,"RunningTime":25}}]' END AS vars_json
+        FROM {orders}""",
+    ),
     "weather_docs": (
         "events",
         """SELECT event_id AS id, '{{"dt_txt":"2024-01-'||lpad(CAST(1 + event_id % 28 AS {S}), 2, '0')||' '||lpad(CAST(event_id % 24 AS {S}), 2, '0')||':00:00",'||

@@ -77,6 +77,10 @@ DATASET_TABLES = {
 STORED_NAMES = {"route": "route_id", "stop": "stop_id", "order": "stop_order"}
 
 STOP_DOC = "array<struct<Name: string, Code: string, Lat: double, Lng: double, AddressNo: string, Street: string, Routes: string, Status: string, StopType: string>>"
+VARIANT_DOC = (
+    "array<struct<RouteId: string, RouteVarId: bigint, RouteVarName: string, Distance: double, "
+    "RunningTime: double, StartStop: string, EndStop: string>>"
+)
 PATH_DOC = "struct<lat: array<double>, lng: array<double>>"
 WEATHER_DOC = (
     "struct<dt_txt: string, main: struct<temp: double, humidity: double, pressure: double>, "

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transit_spark.functions.text import variant_key
-from transit_spark.schemas import PATH_DOC, STOP_DOC, WEATHER_DOC
+from transit_spark.functions.text import direction_name, variant_key
+from transit_spark.schemas import PATH_DOC, STOP_DOC, VARIANT_DOC, WEATHER_DOC
 
 EMPTY_BODIES = ("", "null", "[]", "{}")
 
@@ -26,6 +26,21 @@ def split_usable(df: DataFrame, body: str = "stops_json", status: str = "status"
     return df.groupBy(label.alias("outcome")).agg(F.count(F.lit(1)).alias("documents"))
 
 
+def flatten_route_variants(df: DataFrame) -> DataFrame:
+    """One row per variant of each (route, direction); absent names become ''."""
+    variant = F.explode(F.from_json("vars_json", VARIANT_DOC)).alias("v")
+    return df.select("route_id", "direction", variant).select(
+        "route_id",
+        direction_name("direction").alias("direction_name"),
+        F.col("v.RouteVarId").alias("variant_id"),
+        F.coalesce(F.col("v.RouteVarName"), F.lit("")).alias("variant_name"),
+        F.coalesce(F.col("v.StartStop"), F.lit("")).alias("start_stop"),
+        F.coalesce(F.col("v.EndStop"), F.lit("")).alias("end_stop"),
+        F.col("v.Distance").alias("distance_m"),
+        F.col("v.RunningTime").alias("running_minutes"),
+    )
+
+
 def flatten_route_stops(df: DataFrame) -> DataFrame:
     """One row per stop of each (route, direction, variant); exact repeats removed."""
     stop = F.explode(F.from_json("stops_json", STOP_DOC)).alias("s")

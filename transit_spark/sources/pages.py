@@ -60,7 +60,7 @@ def extract_attributes(pages: DataFrame, labels: dict[str, str], key: str = "pag
 
 def extract_stops(pages: DataFrame, skip_terminals: bool = False, direction_word: str | None = None, key: str = "page_id") -> DataFrame:
     """(page, direction, stop_order, stop_name) of the stop rows below each direction heading."""
-    sections = pages.select(key, F.explode(F.slice(F.split("html", "(?i)<h3"), 2, 1_000_000)).alias("section"))
+    sections = pages.select(key, F.explode(F.filter(F.split("html", "(?i)<h3"), lambda _, i: i > 0)).alias("section"))
     heads = sections.select(
         key,
         _text(F.regexp_extract("section", r"(?is)^[^>]*>(.*?)</h3>", 1)).alias("direction"),

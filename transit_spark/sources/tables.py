@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from transit_spark import schemas as S
+from transit_spark.operators.series import head
 from transit_spark.session import stage
 
 DAY = "day"
@@ -65,11 +66,25 @@ def _stored_shape(df: DataFrame, name: str) -> DataFrame:
     return df.select(*cols)
 
 
-def save_table(df: DataFrame, name: str, if_exists: str = "append") -> int:
-    """Appends to, replaces or refuses an existing table; returns the rows saved."""
+def unique_rows(df: DataFrame, name: str, order=None) -> DataFrame:
+    """First row per key of a declared table. Parquet tables enforce no keys, so this runs before a
+    write; the per-partition limit keeps repeated keys out of the shuffle."""
+    keys = S.STORED_KEYS[name]
+    source = {new: old for old, new in S.STORED_NAMES.items() if old in df.columns and new not in df.columns}
+    present = [source.get(k, k) for k in keys]
+    return head(df, present, 1, order or [c for c in df.columns if c not in present])
+
+
+def save_table(df: DataFrame, name: str, if_exists: str = "append", unique: bool = False, order=None) -> int:
+    """Appends to, replaces or refuses an existing table; returns the rows saved.
+
+    ``unique`` keeps one row per key of a declared table, the first along ``order``.
+    """
     base = name.split(".")[-1]
     spark = df.sparkSession
     declared = base in S.STORED
+    if unique and declared:
+        df = unique_rows(df, base, order)
     out = _stored_shape(df, base) if declared else df
     timed = DAY in out.columns and declared and base in S.TIME_PARTITIONED
     if timed:
