@@ -46,13 +46,15 @@ def next_stop_distance(stops: DataFrame) -> DataFrame:
     )
 
 
-def stop_features(df: DataFrame, stops: DataFrame, on=("stop",)) -> DataFrame:
+def stop_features(df: DataFrame, stops: DataFrame, on=("stop",), distances: DataFrame | None = None) -> DataFrame:
     """Stop coordinates, order, progress along the route and distance to the next stop.
 
     Joining on the stop name alone fans out when two routes share a name; pass
-    ``on=('route', 'stop')`` to avoid that.
+    ``on=('route', 'stop')`` to avoid that. ``distances`` is a ready result of
+    ``next_stop_distance``.
     """
     on = list(on)
+    distances = next_stop_distance(stops) if distances is None else distances
     coords = stops.select(
         *on, F.col("latitude").alias("stop_lat"), F.col("longitude").alias("stop_lng"), "stop_order"
     )
@@ -61,5 +63,5 @@ def stop_features(df: DataFrame, stops: DataFrame, on=("stop",)) -> DataFrame:
         df.join(coords, on, "left")
         .join(totals, "route", "left")
         .withColumn("route_progress", F.try_divide(F.col("stop_order"), F.col("total_stops")))
-        .join(next_stop_distance(stops), ["route", "stop"], "left")
+        .join(distances, ["route", "stop"], "left")
     )

@@ -86,28 +86,37 @@ def look_up(times: DataFrame, pieces: DataFrame) -> DataFrame:
     return look.join(pieces, ["_level", "_node"])
 
 
-def join_active_events(df: DataFrame, events: DataFrame, times: DataFrame | None = None) -> DataFrame:
-    """nearby_events: events whose closed interval holds the row's time; event_impact_factor: the
-    largest impact among them (1.0 without any).
+def active_events(times: DataFrame, events: DataFrame) -> DataFrame:
+    """(time, active_count, active_impact) of each distinct time some event is active at.
 
-    ``times`` may name a cheaper frame that has every time of ``df`` (and perhaps more), such as the
-    raw table ``df`` was cleaned from.
+    Events sharing a piece are combined on the map side, and each time is looked up once.
     """
     has_impact = "impact_factor" in events.columns
     cols = ["start_time", "end_time", *(["impact_factor"] if has_impact else [])]
-    # Events sharing a piece are combined on the map side, and times are looked up once each.
+    impact = F.max("impact_factor") if has_impact else F.max(F.lit(None).cast("double"))
     per_piece = interval_pieces(events.select(*cols), "start_time", "end_time").groupBy("_level", "_node").agg(
-        F.count(F.lit(1)).alias("_n"), *([F.max("impact_factor").alias("_impact")] if has_impact else [])
+        F.count(F.lit(1)).alias("n"), impact.alias("impact")
     )
-    active = look_up(df if times is None else times, per_piece).groupBy("time").agg(
-        F.sum("_n").alias("_n"), *([F.max("_impact").alias("_impact")] if has_impact else [])
+    return look_up(times, per_piece).groupBy("time").agg(
+        F.sum("n").alias("active_count"), F.max("impact").alias("active_impact")
     )
-    joined = df.join(active, "time", "left")
-    impact = F.when(F.col("_n").isNotNull(), F.col("_impact")) if has_impact else F.lit(None)
-    return joined.select(
+
+
+def join_active_events(
+    df: DataFrame, events: DataFrame, times: DataFrame | None = None, active: DataFrame | None = None
+) -> DataFrame:
+    """nearby_events: events whose closed interval holds the row's time; event_impact_factor: the
+    largest impact among them (1.0 without any).
+
+    ``times`` may name a cheaper frame that has every time of ``df`` (and perhaps more), such as the
+    raw table ``df`` was cleaned from. ``active`` is a ready result of ``active_events``.
+    """
+    if active is None:
+        active = active_events(df if times is None else times, events)
+    return df.join(active, "time", "left").select(
         *df.columns,
-        F.coalesce(F.col("_n"), F.lit(0)).cast("int").alias("nearby_events"),
-        F.coalesce(impact, F.lit(1.0)).cast("double").alias("event_impact_factor"),
+        F.coalesce(F.col("active_count"), F.lit(0)).cast("int").alias("nearby_events"),
+        F.coalesce(F.col("active_impact"), F.lit(1.0)).alias("event_impact_factor"),
     )
 
 
@@ -119,12 +128,12 @@ def commute_flag(df: DataFrame) -> DataFrame:
 
 
 def contextual_features(
-    df: DataFrame, weather: DataFrame | None = None, events: DataFrame | None = None, times: DataFrame | None = None
+    df: DataFrame, weather: DataFrame | None = None, events: DataFrame | None = None, active: DataFrame | None = None
 ) -> DataFrame:
     if weather is not None:
         df = weather_features(join_weather(df, weather))
     if events is not None:
-        df = join_active_events(df, events, times)
+        df = join_active_events(df, events, active=active)
     return commute_flag(df)
 
 

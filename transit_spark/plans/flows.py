@@ -8,16 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transit_spark import config as C
-from transit_spark.functions.spatial import center_features, stop_features
+from transit_spark.functions.spatial import center_features, next_stop_distance, stop_features
 from transit_spark.functions.temporal import temporal_features, to_time
 from transit_spark.operators import forecast as fc
 from transit_spark.operators import schedule as sc
 from transit_spark.operators.cleaning import clean_demand, clean_events, clean_gps, clean_weather
-from transit_spark.operators.context import contextual_features
+from transit_spark.operators.context import active_events, contextual_features
 from transit_spark.operators.scaling import categorical_columns, encode, fit_labels, fit_scaler, numeric_columns, scale
 from transit_spark.operators.series import series_features
 from transit_spark.operators.summary import demand_by_time
-from transit_spark.session import stage
+from transit_spark.session import stage, stage_all
 from transit_spark.sources.tables import StageStats, save_dataset, write_tables
 
 IDENTIFIERS = ("time", "route", "stop", *C.DEMAND_COUNTS)
@@ -36,16 +36,29 @@ def demand_features(
     demand: DataFrame, stops: DataFrame | None = None, weather: DataFrame | None = None, events: DataFrame | None = None,
     lags=(), windows=(), target: str = C.TARGET, stops_on=("stop",),
 ) -> DataFrame:
-    """Cleaned demand with temporal, spatial and contextual (and, on request, lag) features."""
+    """Cleaned demand with temporal, spatial and contextual (and, on request, lag) features.
+
+    The small sides (weather, active events per time, stop distances) are staged first. Their true
+    sizes are then known when the joins are planned: those below Spark's broadcast threshold leave
+    the demand rows where they are, larger ones are joined by shuffling.
+    """
+    sides: dict[str, DataFrame] = {}
+    if stops is not None:
+        sides |= {"stops": stops, "distances": next_stop_distance(stops)}
+    if weather is not None:
+        sides["weather"] = weather
+    if events is not None:
+        sides["active"] = active_events(to_time(demand.select("time"), ["time"]), events)
+    sides = stage_all(sides)
     df = temporal_features(clean_demand(demand))
     if lags or windows:
         df = series_features(df, target, lags, windows, ["route", "stop"], ["time"])
     if stops is not None:
         if {"latitude", "longitude"} <= set(df.columns):
             df = center_features(df)
-        df = stop_features(df, stops, stops_on)
+        df = stop_features(df, sides["stops"], stops_on, sides["distances"])
     if weather is not None or events is not None:
-        df = contextual_features(df, weather, events, to_time(demand.select("time"), ["time"]))
+        df = contextual_features(df, sides.get("weather"), events, sides.get("active"))
     return df
 
 

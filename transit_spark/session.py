@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +53,11 @@ def stage(df: DataFrame, path: str | None = None) -> DataFrame:
     target = f"{path or work_dir(df.sparkSession)}/stage"
     df.write.mode("overwrite").parquet(target)
     return df.sparkSession.read.schema(df.schema).parquet(target)
+
+
+def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Stages independent frames side by side."""
+    if not frames:
+        return {}
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return dict(zip(frames, pool.map(stage, frames.values())))
