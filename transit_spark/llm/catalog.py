@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from transit_spark.llm import pieces, sharding, simhash
+from transit_spark.llm import language, packing, pieces, quality, sharding, simhash
 
-MODULES = (pieces, simhash, sharding)
+MODULES = (pieces, quality, language, simhash, packing, sharding)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

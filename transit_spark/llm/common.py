@@ -64,3 +64,19 @@ def with_offsets(rows: DataFrame, block: str, keys: list[str], local: str, out:
     before = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, block, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     return rows.join(offsets, [*keys, block]).withColumn(out, F.col("_before") + F.col(local)).drop("_before")
+
+
+def sample_ids(rows: DataFrame, id_column: str, group: str, per_group: int) -> list[tuple]:
+    """At most ``per_group`` (id, group) pairs of every group, in the order of the ids' hash, which is free of
+    the partitioning. Each task passes on ``per_group`` rows of a group at most."""
+    from pyspark.sql import Window
+
+    order = Window.partitionBy("_group").orderBy(F.xxhash64("_id"), "_id")
+    ids = rows.select(F.col(id_column).alias("_id"), F.col(group).alias("_group")).where("_id IS NOT NULL AND _group IS NOT NULL")
+    return [tuple(r) for r in ids.withColumn("_turn", F.row_number().over(order)).where(F.col("_turn") <= per_group).select("_id", "_group").collect()]
+
+
+def rows_with_ids(docs: DataFrame, id_column: str, ids: list) -> DataFrame:
+    """The rows of ``docs`` with one of a bounded list of ids, by a join whose small side Spark measures."""
+    wanted = docs.sparkSession.createDataFrame([(i,) for i in sorted(set(ids))], f"_wanted {dict(docs.dtypes)[id_column]}")
+    return docs.join(wanted, docs[id_column] == wanted["_wanted"], "left_semi")
