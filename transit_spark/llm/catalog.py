@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from transit_spark.llm import language, lines, near_vectors, neighbours, packing, pieces, quality, sharding, simhash
+from transit_spark.llm import language, licenses, lines, near_vectors, neighbours, packing, pieces, quality, sharding, simhash
 
-MODULES = (pieces, quality, near_vectors, language, simhash, neighbours, lines, packing, sharding)
+MODULES = (pieces, licenses, quality, near_vectors, language, simhash, neighbours, lines, packing, sharding)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
