@@ -82,7 +82,7 @@ RUSH_HOUR_INTENSITY = """
 
 
 def temporal_features(df: DataFrame, time_col: str = "time", holidays=HOLIDAY_DATES) -> DataFrame:
-    """Calendar, peak, cyclic and holiday columns of ``time_col``."""
+    """Calendar, peak, cyclic and holiday columns of ``time_col``. Without a time the flags are 0, the rest is NULL."""
     ts = f"`{time_col}`"
     days = ", ".join(f"DATE '{day}'" for day in holidays) or "NULL"
     calendar = {
@@ -94,17 +94,17 @@ def temporal_features(df: DataFrame, time_col: str = "time", holidays=HOLIDAY_DA
         "quarter": f"quarter({ts})",
     }
     derived = {
-        "is_weekend": "CAST(day_of_week >= 5 AS INT)",
-        "is_peak_hour": "CAST(hour IN (7, 8, 16, 17) AS INT)",
-        "is_morning_peak": "CAST(hour IN (7, 8) AS INT)",
-        "is_evening_peak": "CAST(hour IN (16, 17) AS INT)",
+        "is_weekend": "CAST(coalesce(day_of_week >= 5, false) AS INT)",
+        "is_peak_hour": "CAST(coalesce(hour IN (7, 8, 16, 17), false) AS INT)",
+        "is_morning_peak": "CAST(coalesce(hour IN (7, 8), false) AS INT)",
+        "is_evening_peak": "CAST(coalesce(hour IN (16, 17), false) AS INT)",
         "time_of_day": TIME_OF_DAY,
         "hour_sin": "sin(2 * pi() * hour / 24)",
         "hour_cos": "cos(2 * pi() * hour / 24)",
         "dow_sin": "sin(2 * pi() * day_of_week / 7)",
         "dow_cos": "cos(2 * pi() * day_of_week / 7)",
         "time_since_midnight": f"hour * 60 + minute({ts})",
-        "is_holiday": f"CAST(CAST({ts} AS DATE) IN ({days}) AS INT)",
+        "is_holiday": f"CAST(coalesce(CAST({ts} AS DATE) IN ({days}), false) AS INT)",
         "rush_hour_intensity": RUSH_HOUR_INTENSITY,
     }
     based = df.withColumns({c: F.expr(text) for c, text in calendar.items()})

@@ -32,12 +32,30 @@ def parse_pct(col: str | Column) -> Column:
 
 
 def unescape_html(c: Column) -> Column:
-    """The five common entities; the ampersand comes last so nothing is unescaped twice."""
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+    """Numbered entities and the common named ones; the ampersand comes last so nothing is unescaped twice."""
+    # A numbered ampersand becomes the named one, which waits for the last step.
+    c = F.regexp_replace(c, r"&#0*38;|&#[xX]0*26;", "&amp;")
+    pieces = F.split(F.regexp_replace(c, r"(&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});)", "\u0000$1\u0000"), "\u0000")
+
+    def piece(p: Column) -> Column:
+        digits = F.regexp_extract(p, r"^&#([0-9]{1,7});$", 1)
+        hexed = F.regexp_extract(p, r"^&#[xX]([0-9a-fA-F]{1,6});$", 1)
+        code = F.when(digits != "", digits.try_cast("int")).when(hexed != "", F.conv(hexed, 16, 10).try_cast("int"))
+        raw = F.unhex(F.lpad(F.hex(code), 8, "0"))
+        sound = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.when(sound, F.decode(raw, "UTF-32")).otherwise(p)
+
+    c = F.when(F.contains(c, F.lit("&#")), F.array_join(F.transform(pieces, piece), "")).otherwise(c)
+    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
         c = F.replace(c, F.lit(entity), F.lit(char))
     return c
 
 
+def trimmed(c: Column) -> Column:
+    """Blanks of any kind at both ends removed."""
+    return F.regexp_replace(c, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
+
+
 def plain_text(c: Column) -> Column:
     """Markup removed, blanks at both ends removed."""
     return F.regexp_replace(F.regexp_replace(c, "<[^>]*>", ""), r"^\s+|\s+$", "")

@@ -32,6 +32,11 @@ def dedupe_first(df: DataFrame, keys, order=("seq",)) -> DataFrame:
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
+def _known(df: DataFrame, c: str) -> Column:
+    """The column with NaN as NULL: NaN would compare as larger than everything."""
+    return F.when(~F.isnan(c), F.col(c)) if dict(df.dtypes)[c] in ("float", "double") else F.col(c)
+
+
 def clamp_negative(df: DataFrame, cols=C.DEMAND_COUNTS, lo=C.MIN_PASSENGERS) -> DataFrame:
     return df.withColumns(
         {c: F.when(F.col(c) < lo, F.lit(lo)).otherwise(F.col(c)) for c in _present(df, cols)}
@@ -39,12 +44,12 @@ def clamp_negative(df: DataFrame, cols=C.DEMAND_COUNTS, lo=C.MIN_PASSENGERS) ->
 
 
 def drop_above(df: DataFrame, cols=C.DEMAND_COUNTS, hi=C.MAX_PASSENGERS) -> DataFrame:
-    keep = [F.coalesce(F.col(c) <= hi, F.lit(True)) for c in _present(df, cols)]
+    keep = [F.coalesce(_known(df, c) <= hi, F.lit(True)) for c in _present(df, cols)]
     return df.where(reduce(lambda a, b: a & b, keep, F.lit(True)))
 
 
 def drop_outside(df: DataFrame, col: str, lo, hi) -> DataFrame:
-    return df.where(F.coalesce(F.col(col).between(lo, hi), F.lit(True)))
+    return df.where(F.coalesce(_known(df, col).between(lo, hi), F.lit(True)))
 
 
 def in_bounds(df: DataFrame, box: C.Box = C.Box()) -> DataFrame:
@@ -56,7 +61,7 @@ def in_bounds(df: DataFrame, box: C.Box = C.Box()) -> DataFrame:
 
 
 def clip(df: DataFrame, col: str, lo, hi) -> DataFrame:
-    c = F.col(col)
+    c = _known(df, col)
     return df.withColumn(col, F.when(c < lo, F.lit(lo)).when(c > hi, F.lit(hi)).otherwise(c))
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transit_spark.functions.spatial import haversine
+from transit_spark.functions.spatial import EARTH_RADIUS_KM, haversine
 from transit_spark.functions.temporal import epoch_micros, floor_time
 
 WEATHER_COLS = ("temperature", "humidity", "rain_mm", "wind_speed", "conditions")
@@ -181,34 +181,37 @@ def event_factor(df: DataFrame, kind: str = "event") -> DataFrame:
 def event_proximity(df: DataFrame, stops: DataFrame, events: DataFrame, km: float = 2.0, times: DataFrame | None = None) -> DataFrame:
     """event_nearby and event_distance of the nearest active event within ``km`` of the row's stop.
 
-    Stops meet event places on a grid whose cells are at least ``km`` wide, so a stop looks at 3x3
-    cells. Which places are active at which time is looked up once per distinct time, not per row of
-    ``df``; both together give the nearest active place per stop and time.
+    Stops meet event places in cubes of space that are ``km`` wide, so a stop looks at 3x3x3 cubes
+    wherever it lies. Only the (route, stop, time) that occur in ``df`` then meet the places near their
+    stop, and those that are busy at that time stay.
     """
-    lat_cell = km / 110.0
-    lng_cell = km / 105.0
 
     def cell(lat: Column, lng: Column) -> list[Column]:
-        return [F.floor(lat / lat_cell).alias("_y"), F.floor(lng / lng_cell).alias("_x")]
-
-    around = F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y in (-1, 0, 1) for x in (-1, 0, 1)])
+        # A straight line is never longer than the way over the surface; the slack covers rounding.
+        width = km * (1 + 1e-9) / EARTH_RADIUS_KM
+        lat, lng = F.radians(lat), F.radians(lng)
+        return [
+            F.floor(x / width).alias(name)
+            for x, name in ((F.cos(lat) * F.cos(lng), "_x"), (F.cos(lat) * F.sin(lng), "_y"), (F.sin(lat), "_z"))
+        ]
+
+    steps = (-1, 0, 1)
+    around = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(z).alias("z")) for x in steps for y in steps for z in steps])
     places = (
         stops.select("route", "stop", F.col("latitude").alias("_lat"), F.col("longitude").alias("_lng"))
         .distinct()
         .select("*", *cell(F.col("_lat"), F.col("_lng")), F.explode(around).alias("_d"))
-        .withColumns({"_y": F.col("_y") + F.col("_d.y"), "_x": F.col("_x") + F.col("_d.x")})
+        .withColumns({c: F.col(c) + F.col(f"_d.{c[1]}") for c in ("_x", "_y", "_z")})
     )
     venue = ["_vlat", "_vlng"]
     held = events.select(F.col("latitude").alias("_vlat"), F.col("longitude").alias("_vlng"), "start_time", "end_time")
     venues = held.select(*venue).distinct().select("*", *cell(F.col("_vlat"), F.col("_vlng")))
     distance = haversine(F.col("_lat"), F.col("_lng"), F.col("_vlat"), F.col("_vlng"))
-    reach = places.join(venues, ["_y", "_x"]).withColumn("_km", distance).where(F.col("_km") <= km)
+    reach = places.join(venues, ["_x", "_y", "_z"]).withColumn("_km", distance).where(F.col("_km") <= km)
     pieces = interval_pieces(held.join(reach.select(*venue).distinct(), venue, "left_semi"), "start_time", "end_time")
     busy = look_up(df if times is None else times, pieces.select(*venue, "_level", "_node").distinct()).select(*venue, "time").distinct()
-    near = (
-        reach.select("route", "stop", *venue, "_km").join(busy, venue)
-        .groupBy("route", "stop", "time").agg(F.min("_km").alias("event_distance"))
-    )
+    asked = df.select("route", "stop", "time").distinct().join(reach.select("route", "stop", *venue, "_km"), ["route", "stop"])
+    near = asked.join(busy, [*venue, "time"]).groupBy("route", "stop", "time").agg(F.min("_km").alias("event_distance"))
     return df.join(near, ["route", "stop", "time"], "left").withColumn(
         "event_nearby", F.col("event_distance").isNotNull().cast("int")
     )

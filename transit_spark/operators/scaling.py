@@ -11,7 +11,7 @@ from transit_spark.operators.summary import column_stats, quantile_columns, to_l
 
 METHODS = ("minmax", "standard", "robust")
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
-MAX_INLINE_CLASSES = 1000
+MAX_ONE_HOT = 1000
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -113,20 +113,14 @@ def fit_labels(df: DataFrame, cols) -> DataFrame:
 def encode(df: DataFrame, labels: DataFrame, cols=None) -> DataFrame:
     """Replaces each value by its code; a value not seen in fitting gets code 0.
 
-    A handful of classes become a literal map (no shuffle of ``df``); beyond
-    ``MAX_INLINE_CLASSES`` the label table is joined instead.
+    The label table is joined once per column; Spark broadcasts it where its size allows. A column
+    without fitted labels is an error.
     """
+    fitted = sorted(r["column"] for r in labels.select("column").distinct().collect())
+    wanted = fitted if cols is None else list(cols)
+    if unknown := [c for c in wanted if c not in fitted]:
+        raise ValueError(f"no labels were fitted for columns: {unknown}")
     columns = list(df.columns)
-    few = labels.limit(MAX_INLINE_CLASSES + 1).collect()
-    if len(few) <= MAX_INLINE_CLASSES:
-        maps: dict[str, list] = {}
-        for r in few:
-            maps.setdefault(r["column"], []).extend((F.lit(r["value"]), F.lit(r["code"])))
-        wanted = list(maps) if cols is None else list(cols)
-        return df.withColumns(
-            {c: F.coalesce(F.try_element_at(F.create_map(*maps[c]), _as_class(c)), F.lit(0)) for c in wanted}
-        )
-    wanted = cols or [r["column"] for r in labels.select("column").distinct().collect()]
     for c in wanted:
         classes = labels.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
         df = (
@@ -137,11 +131,15 @@ def encode(df: DataFrame, labels: DataFrame, cols=None) -> DataFrame:
     return df.select(*columns)
 
 
-def one_hot(df: DataFrame, cols, drop_first: bool = False) -> DataFrame:
-    """Boolean column per sorted category, original column dropped, missing → all false."""
+def one_hot(df: DataFrame, cols, drop_first: bool = False, most: int = MAX_ONE_HOT) -> DataFrame:
+    """Boolean column per sorted category, original column dropped, missing → all false.
+
+    More than ``most`` categories are an error: each would be a column of the result.
+    """
     for c in [c for c in cols if c in df.columns]:
-        # One output column per category, so the result's own width bounds this list.
-        values = sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().collect())
+        values = sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().limit(most + 1).collect())
+        if len(values) > most:
+            raise ValueError(f"{c} has more than {most} categories")
         kept = values[1:] if drop_first else values
         df = df.withColumns({f"{c}_{v}": F.coalesce(F.col(c) == F.lit(v), F.lit(False)) for v in kept}).drop(c)
     return df
@@ -157,7 +155,9 @@ def load_params(spark: SparkSession, path: str) -> DataFrame | None:
 
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

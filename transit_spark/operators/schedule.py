@@ -84,8 +84,14 @@ def score_trips(schedule: DataFrame, demand: DataFrame, capacity: int = SERVICE.
 
 
 def _loads_for(schedule: DataFrame, loads: DataFrame) -> DataFrame:
-    keys = ["route", "day", "slot"] if "day" in schedule.columns else ["route", "slot"]
-    return schedule.join(loads, keys)
+    """Every trip of every day with demand on its route; a trip that meets no demand row serves nobody."""
+    if "day" not in schedule.columns:
+        schedule = schedule.join(loads.select("route", "day").distinct(), "route", "left")
+    keys = ["route", "day", "slot"]
+    added = [c for c in loads.columns if c not in keys]
+    names = [*keys, *[c for c in schedule.columns if c not in keys], *added]
+    met = schedule.join(loads, keys, "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in added})
+    return met.select(*names)
 
 
 def trip_loads(schedule: DataFrame, demand: DataFrame, capacity: int = SERVICE.capacity, max_wait: int = SERVICE.max_wait, slot_minutes: int = SERVICE.slot_minutes) -> DataFrame:

@@ -91,9 +91,11 @@ def running_total(df: DataFrame, keys, order, value: str, block: Column) -> Data
 
 
 def in_chunks(placed: DataFrame, keys, before: int = 0, after: int = 0, size: int = CHUNK_ROWS):
-    """(rows with ``_chunk`` and ``_halo``, window over one chunk). Needs ``_pos``."""
-    if max(before, after) >= size:
-        raise ValueError("the frame must be smaller than a chunk")
+    """(rows with ``_chunk`` and ``_halo``, window over one chunk). Needs ``_pos``.
+
+    A chunk is several times as long as the frame reaches, so each row is copied to its neighbours only.
+    """
+    size = max(size, 4 * max(before, after))
     index = F.col("_pos") - 1
     chunk, inner = F.floor(index / size), index % size
 

@@ -33,9 +33,9 @@ def exact_quantiles(df: DataFrame, value: str, probs, keys=(), accuracy: int = 1
     """(keys, prob, value): exact, linearly interpolated quantiles.
 
     ``percentile`` would hold all distinct values of a group in the memory of one task. Here a
-    mergeable sketch first brackets every wanted rank; the values below the bracket are reduced to a
-    count on the map side, those above are not shuffled, and only the bracket (about 8/``accuracy``
-    of the rows) is sorted. Groups of at most ``accuracy`` rows are simply kept whole.
+    mergeable sketch first brackets every wanted rank and meets every row where it lies; the values
+    below the bracket are reduced to a count on the map side, those above are not shuffled, and only
+    the bracket (about 8/``accuracy`` of the rows) is sorted. In a group of at most ``accuracy`` rows the bracket holds them all.
     """
     keys = list(keys)
     margin = 4.0 / accuracy
@@ -45,8 +45,7 @@ def exact_quantiles(df: DataFrame, value: str, probs, keys=(), accuracy: int = 1
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx("_v", marks, accuracy).alias("marks"),
     )
-    counted = data.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    joined, stat = attach(counted, sketch, keys)
+    joined, stat = attach(data, sketch, keys)
     n, found = stat("n"), stat("marks")
 
     def wanted(i: int, p: float) -> Column:
@@ -61,12 +60,11 @@ def exact_quantiles(df: DataFrame, value: str, probs, keys=(), accuracy: int = 1
     cells = (
         joined.select(
             *keys,
-            "_c",
             F.explode(F.array(*[wanted(i, p) for i, p in enumerate(probs)])).alias("w"),
         )
         .where(F.col("w").isNotNull())
         .groupBy(*keys, F.col("w.prob").alias("prob"), F.col("w.n").alias("n"), F.col("w.cell").alias("cell"))
-        .agg(F.sum("_c").alias("c"))
+        .agg(F.count(F.lit(1)).alias("c"))
     )
     upto = Window.partitionBy(*keys, "prob").orderBy(F.col("cell").asc_nulls_first())
     upto = upto.rowsBetween(Window.unboundedPreceding, 0)

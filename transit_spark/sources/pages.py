@@ -9,15 +9,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transit_spark.functions.text import plain_text, unescape_html
+from transit_spark.functions.text import plain_text, trimmed, unescape_html
 
-ANCHOR = r'(?is)<a\s[^>]*href="[^"]*"[^>]*>.*?</a>'
-HREF = r'(?is)^<a\s[^>]*href="([^"]*)"'
-ICON = r'(?is)<span class="icon"[^>]*>(.*?)</span>'
-TRIP = r'(?is)<div class="routetrip"[^>]*>(.*?)</div>'
+# Tags, class names and the clock pattern of the pages. Values stand in either kind of
+# quotes or in none, attributes in any order, and an element may have several classes.
+_HREF = r"""href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+ANCHOR = rf"(?is)<a\s(?:[^>]*\s)?{_HREF}[^>]*>.*?</a>"
+HREF = rf"(?is)^<a\s(?:[^>]*\s)?{_HREF}"
+
+
+def _of_class(tag: str, name: str) -> str:
+    return rf"""(?is)<{tag}\s(?:[^>]*\s)?class\s*=\s*(?:"(?:[^"]*\s)?{name}(?:\s[^"]*)?"|'(?:[^']*\s)?{name}(?:\s[^']*)?'|{name}(?=[\s>]))[^>]*>(.*?)</{tag}>"""
+
+
+ICON = _of_class("span", "icon")
+TRIP = _of_class("div", "routetrip")
 ITEM = r"(?is)<li[^>]*>(.*?)</li>"
 ROW = r"(?is)<tr[^>]*>.*?</tr>"
-STOP_ROW = r'(?is)<tr class="rowStop"[^>]*>.*?</tr>'
+STOP_ROW = _of_class("tr", "rowStop")
 CELL = r"(?is)<td[^>]*>(.*?)</td>"
 CLOCK = r"\d{2}:\d{2}(-\d{2}:\d{2})?"
 TERMINALS = ("A", "B")
@@ -28,13 +37,14 @@ def _all(text: Column, pattern: str, group: int) -> Column:
 
 
 def _text(c: Column) -> Column:
-    return unescape_html(plain_text(c))
+    """Markup removed, then unescaped, then blanks at both ends removed, the unescaped ones too."""
+    return trimmed(unescape_html(plain_text(c)))
 
 
 def extract_links(pages: DataFrame, site: str = "", key: str = "page_id") -> DataFrame:
     """(page, position, number, name, url) per link; a path is put behind ``site``."""
     links = pages.select(key, F.posexplode(_all(F.col("html"), ANCHOR, 0)).alias("position", "a"))
-    href = unescape_html(F.regexp_extract("a", HREF, 1))
+    href = unescape_html(F.concat(*[F.regexp_extract("a", HREF, group) for group in (1, 2, 3)]))
     titled = F.regexp_extract("a", TRIP, 1)
     return links.select(
         key,

@@ -16,15 +16,22 @@ DAY = "day"
 
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame | None:
-    """CSV with header under the declared schema. The optional weather and events files may be
-    absent (None)."""
-    reader = spark.read.schema(S.RAW[name]).option("header", True)
+    """CSV with header under the declared schema, its columns found by name. Columns that are not
+    declared are left out, a declared one that is missing is an error; ``order`` stands for
+    ``stop_order``. The optional weather and events files may be absent (None)."""
     try:
-        return reader.csv(f"{path}/{name}.csv")
-    except AnalysisException:
-        if name in ("weather", "events"):
+        # The header alone names the columns; text is cast afterwards, so no file is read for its types.
+        raw = spark.read.option("header", True).csv(f"{path}/{name}.csv")
+    except AnalysisException as error:
+        if name in ("weather", "events") and error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    if "order" in raw.columns and "stop_order" not in raw.columns:
+        raw = raw.withColumnRenamed("order", "stop_order")
+    wanted = [part.strip().rsplit(" ", 1) for part in S.RAW[name].split(",")]
+    if missing := [c for c, _ in wanted if c not in raw.columns]:
+        raise ValueError(f"{name}.csv lacks the columns {missing}")
+    return raw.select(*[F.col(f"`{c}`").try_cast(t).alias(c) for c, t in wanted])
 
 
 def write_tables(tables: dict[str, DataFrame], path: str, prefix: str = "", fmt: str = "csv") -> dict[str, int]:
@@ -94,7 +101,10 @@ def save_table(df: DataFrame, name: str, if_exists: str = "append", unique: bool
     if if_exists not in modes:
         raise ValueError(f"unknown if_exists: {if_exists}")
     if if_exists == "append" and _exists(spark, name):
-        return _write(out, lambda w: w.insertInto(name))
+        columns = spark.table(name).columns
+        if set(columns) != set(out.columns):
+            raise ValueError(f"{name} has the columns {columns}, not {out.columns}")
+        return _write(out.select(*columns), lambda w: w.insertInto(name))
 
     def create(writer):
         writer = writer.mode(modes[if_exists]).format("parquet")
@@ -130,9 +140,9 @@ def recent(df: DataFrame, hours: int = 24, route: str | None = None, as_of: str
     """Rows of the last ``hours`` before ``as_of`` (default: now), newest first."""
     end = F.localtimestamp() if as_of is None else (F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of)
     start = end - F.make_dt_interval(F.lit(0), F.lit(hours), F.lit(0), F.lit(0))
-    df = df.where(F.col("time") >= start)
+    df = df.where(F.col("time").between(start, end))
     if DAY in df.columns:
-        df = df.where(F.col(DAY) >= start.cast("date"))
+        df = df.where(F.col(DAY).between(start.cast("date"), end.cast("date")))
     if route is not None:
         key = "route_id" if "route_id" in df.columns else "route"
         df = df.where(F.col(key) == route)
@@ -184,27 +194,35 @@ def save_dataset(tables: dict[str, DataFrame], database: str = "default") -> dic
 
 
 def upsert(current: DataFrame, incoming: DataFrame, keys, ts: str) -> DataFrame:
-    """Newest row per key; an incoming row wins a tie."""
+    """Newest row per key; an incoming row wins a tie, and of incoming rows with one time the one with the least values."""
+    rest = [c for c in current.columns if c not in keys and c != ts]
     both = current.withColumn("_new", F.lit(0)).unionByName(incoming.withColumn("_new", F.lit(1)))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(ts).desc(), F.col("_new").desc()))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(ts).desc(), F.col("_new").desc(), *rest))
     return both.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank", "_new")
 
 
 def upsert_table(incoming: DataFrame, name: str, ts: str = "time") -> None:
-    """Upserts into a day-partitioned table, rewriting only the days ``incoming`` touches."""
+    """Upserts into a declared table. Of a day-partitioned one only the days ``incoming`` touches are
+    rewritten; a table without days (routes, stops, events) has no time of its own, so an incoming row
+    replaces a stored one, and it is rewritten as a whole."""
     spark = incoming.sparkSession
     base = name.split(".")[-1]
     fresh = _stored_shape(incoming, base)
+    if base not in S.TIME_PARTITIONED:
+        dated = [d.withColumn("_never", F.lit(None).cast("timestamp_ntz")) for d in (spark.table(name).select(*fresh.columns), fresh)]
+        merged = stage(upsert(*dated, S.STORED_KEYS[base], "_never").select(*fresh.columns))
+        merged.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+        return
     touched = spark.table(name).join(fresh.select(DAY).distinct(), DAY, "left_semi").select(*fresh.columns)
     # Staged first: a table cannot be read and overwritten by one statement.
     merged = stage(upsert(touched, fresh, S.STORED_KEYS[base], ts).select(*fresh.columns))
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        merged.write.mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set(mode, before)
+    # A session of its own, so that the caller's settings stay as they are.
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    if files := merged.inputFiles():
+        columns = own.table(name).columns
+        own.read.schema(merged.schema).parquet(*files).select(*columns).write.insertInto(name, overwrite=True)
+        spark.catalog.refreshTable(name)
 
 
 class StageStats:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transit_spark import config as C
 from transit_spark.functions.temporal import to_time
-from transit_spark.operators.cleaning import clamp_negative, clip, drop_above, drop_outside, in_bounds
+from transit_spark.operators.cleaning import clamp_negative, clip, drop_above, drop_outside, in_bounds, nan_to_null
 from transit_spark.operators.evaluation import error_frame
 from transit_spark.operators.forecast import predict_latest
 from transit_spark.operators.series import tail
@@ -20,12 +19,15 @@ def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", fi
 
 
 def event_time(sdf: DataFrame, col: str = "time") -> DataFrame:
-    """Watermarks need TIMESTAMP; the session zone is UTC, so the digits stay the same."""
+    """Watermarks need TIMESTAMP; only in a UTC session the digits stay the same."""
+    if sdf.sparkSession.conf.get("spark.sql.session.timeZone") != "UTC":
+        raise ValueError("streams need spark.sql.session.timeZone = UTC")
     return sdf.withColumn(col, F.col(col).cast("timestamp"))
 
 
 def stream_clean(sdf: DataFrame) -> DataFrame:
     """The stateless cleaning steps, unchanged from the batch side."""
+    sdf = nan_to_null(sdf)
     if "time" in sdf.columns:
         sdf = to_time(sdf, ["time"])
     sdf = in_bounds(drop_above(clamp_negative(sdf)))
@@ -70,12 +72,13 @@ class LatestScorer:
         self.length, self.keys, self.order = length, list(keys), list(order)
 
     def _previous(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        if batch_id == 0:
-            return None
-        try:
-            return spark.read.parquet(f"{self.state_path}/batch={batch_id - 1}")
-        except AnalysisException:
-            return None
+        """The state the batch before left; if that is missing, history is lost and the query must stop."""
+        return None if batch_id == 0 else spark.read.parquet(f"{self.state_path}/batch={batch_id - 1}")
+
+    def _forget(self, spark: SparkSession, batch_id: int) -> None:
+        """Removes a state that no retry can ask for any more."""
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.state_path}/batch={batch_id}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -85,8 +88,10 @@ class LatestScorer:
         state = fresh if before is None else tail(before.unionByName(fresh), self.keys, self.length, self.order)
         target = f"{self.state_path}/batch={batch_id}"
         state.write.mode("overwrite").parquet(target)
-        scored, _ = predict_latest(self.model, spark.read.parquet(target), self.cols, self.length, self.keys, self.order)
+        touched = spark.read.parquet(target).join(fresh.select(*self.keys).distinct(), self.keys, "left_semi")
+        scored, _ = predict_latest(self.model, touched, self.cols, self.length, self.keys, self.order)
         self.sink(scored, batch_id)
+        self._forget(spark, batch_id - 2)
 
 
 def stream_feedback(predictions: DataFrame, actuals: DataFrame, delay: str = "1 hour", within: str = "1 hour", keys=("route", "stop")) -> DataFrame:
@@ -98,7 +103,8 @@ def stream_feedback(predictions: DataFrame, actuals: DataFrame, delay: str = "1
     seen = event_time(actuals).withWatermark("time", delay)
     made = made.select(*[F.col(k).alias(f"p_{k}") for k in keys], F.col("time").alias("p_time"), "created_at", "predicted")
     seen = seen.select(*keys, "time", F.col("passengers").cast("double").alias("actual"))
-    on = (F.col("p_time") == F.col("time")) & (F.col("created_at") >= F.col("time") - F.expr(f"INTERVAL {within}"))
+    early = F.col("created_at") >= F.col("time") - F.expr(f"INTERVAL {within}")
+    on = (F.col("p_time") == F.col("time")) & early & (F.col("created_at") <= F.col("time"))
     for k in keys:
         on = on & (F.col(f"p_{k}") == F.col(k))
     joined = made.join(seen, on, "inner")
