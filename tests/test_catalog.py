@@ -11,6 +11,7 @@ import __spark_entry__ as entry
 from transit_spark.operators import cleaning as cl
 from transit_spark.operators import context as cx
 from transit_spark.operators import series as sr
+from transit_spark.plans.catalog import ORACLES
 from transit_spark.plans.fixtures import Fixtures
 
 ROOT = pathlib.Path(__file__).resolve().parents[1]
@@ -18,16 +19,7 @@ spec = importlib.util.spec_from_file_location("compare", ROOT / "tools" / "compa
 compare = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(compare)
 
-# One of each kind; ``python tools/compare.py`` runs them all.
-CHECKED = [
-    "C8_impute_median", "C14_clean_demand", "C15_clean_gps", "C16_clean_weather", "C17_clean_events", "C18_cleaning_report",
-    "T5_cyclic", "T8_rush_hour_intensity", "T11_time_spine", "G6_distance_to_next_stop", "G7_event_proximity",
-    "J4_active_events", "J8_contextual_features", "W1_lag_features", "W2_rolling_features", "A7_describe", "A8_rank_correlations",
-    "N3_robust", "N6_encode", "F2_windows", "F15_error_by_horizon", "E1_metrics", "E3_histogram_error", "K3_score_trips",
-    "K5_best_schedule", "K7_fleet_limit", "K11_sensitivity", "S3_flatten_route_stops", "S6_flatten_forecast", "S15_extract_links",
-    "S16_extract_attributes", "S17_extract_stops", "S18_extract_timetable", "S20_upsert_table", "M1_stream_clean",
-    "M2_stream_dedupe", "M3_stream_tumbling", "M4_stream_enrich", "M6_stream_feedback", "P1_process_demand",
-]
+CHECKED = sorted(ORACLES)
 
 
 @pytest.fixture(scope="module")

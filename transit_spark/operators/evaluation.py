@@ -48,7 +48,6 @@ def accuracy_report(scores: DataFrame, target_mape: float = 15.0) -> DataFrame:
             "accuracy": accuracy,
             "target_accuracy": F.lit(100 - float(target_mape)),
             "target_met": F.col("mape") <= target_mape,
-            "status": F.when(accuracy >= 100 - target_mape, "TARGET ACHIEVED").otherwise("BELOW TARGET"),
         }
     )
 

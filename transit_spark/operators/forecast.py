@@ -103,13 +103,14 @@ def _with_features(df: DataFrame) -> DataFrame:
     return df.withColumn("features", array_to_vector(F.flatten("x")))
 
 
-def fit_forecaster(train: DataFrame, kind: str = "linear", reg: float = 0.0, elastic: float = 0.0, seed: int = 42):
-    """One global model over all series' windows."""
-    data = _with_features(train.where(F.col("y").isNotNull())).select("features", "y")
+def fit_forecaster(train: DataFrame, kind: str = "linear", reg: float = 0.0, elastic: float = 0.0, seed: int = 42, weight: str | None = None):
+    """One global model over all series' windows; ``weight`` names a column of row weights."""
+    data = _with_features(train.where(F.col("y").isNotNull())).select("features", "y", *([weight] if weight else []))
+    weighted = {"weightCol": weight} if weight else {}
     if kind == "linear":
-        return LinearRegression(labelCol="y", regParam=reg, elasticNetParam=elastic, solver="auto").fit(data)
+        return LinearRegression(labelCol="y", regParam=reg, elasticNetParam=elastic, solver="auto", **weighted).fit(data)
     if kind == "gbt":
-        return GBTRegressor(labelCol="y", maxIter=20, maxDepth=4, seed=seed).fit(data)
+        return GBTRegressor(labelCol="y", maxIter=20, maxDepth=4, seed=seed, **weighted).fit(data)
     raise ValueError(f"unknown model kind: {kind}")
 
 
@@ -224,10 +225,24 @@ def _steps(done: DataFrame, keys, minutes: int) -> DataFrame:
     )
 
 
-def fit_ensemble(train: DataFrame, n: int = DEFAULTS.ensemble, seed: int = 42, **options) -> list:
-    """Models of ``n`` bootstrap samples of the windows."""
+#: How often a row is drawn in a bootstrap sample: the Poisson distribution of mean 1 up to each count.
+DRAWN_AT_MOST = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183)
+
+
+def drawn(keys, time: str, member: int) -> Column:
+    """How often a member draws a row: decided by a checksum of its key, whatever the partitioning."""
+    name = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], epoch_micros(time).cast("string"), F.lit(str(member)))
+    place = F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    count = F.lit(float(len(DRAWN_AT_MOST)))
+    for times in reversed(range(len(DRAWN_AT_MOST))):
+        count = F.when(place < DRAWN_AT_MOST[times], float(times)).otherwise(count)
+    return count
+
+
+def fit_ensemble(train: DataFrame, n: int = DEFAULTS.ensemble, seed: int = 42, keys=SERIES, time: str = "time", **options) -> list:
+    """Models of ``n`` bootstrap samples of the windows, drawn by weights."""
     train = stage(train)
-    return [fit_forecaster(train.sample(True, 1.0, seed + i), **options) for i in range(n)]
+    return [fit_forecaster(train.withColumn("_drawn", drawn(keys, time, seed + i)), weight="_drawn", **options) for i in range(n)]
 
 
 def interval_from_members(df: DataFrame, members: Column, level: float = DEFAULTS.confidence) -> DataFrame:
@@ -261,6 +276,33 @@ def predict_frame(model, prepared: DataFrame, params: DataFrame, cols, target: s
     return error_frame(real)
 
 
+def held_out(prepared: DataFrame, params: DataFrame, cols, grid=({},), target: str = C.TARGET, keys=SERIES, **options):
+    """(model, setting, scores per group of the test rows on the original scale).
+
+    No window crosses the border of a split: the split is part of the series' key. Every setting of
+    ``grid`` is fitted on the training windows, the one with the least error on the validation windows
+    is chosen (the first one, if they tie), and only that one meets the test windows.
+    """
+    from transit_spark.operators.evaluation import metrics
+
+    own = [*keys, "split"]
+    cut = stage(windows(prepared, cols, target=target, keys=own, **options))
+    parts = {name: cut.where(F.col("split") == name) for name in ("train", "val", "test")}
+    fitted = [(fit_forecaster(parts["train"], **setting), setting) for setting in grid]
+    if len(fitted) > 1:
+        tried = parts["val"]
+        for i, (model, _) in enumerate(fitted):
+            tried = predict(model, tried, f"_p{i}")
+        errors = tried.agg(*[F.avg(F.abs(F.col("y") - F.col(f"_p{i}"))).alias(f"e{i}") for i in range(len(fitted))]).first()
+        best = min(range(len(fitted)), key=lambda i: (errors[i] is None, errors[i]))
+    else:
+        best = 0
+    model, setting = fitted[best]
+    scored = predict(model, parts["test"], "predicted").drop("x").withColumnRenamed("y", "actual")
+    real = unscale(scored, params, renamed={"actual": target, "predicted": target})
+    return model, setting, metrics(real, [keys[0]])
+
+
 def save_model(model, features, path: str) -> None:
     """Model and its feature list side by side."""
     spark = _session()

@@ -11,7 +11,7 @@ from transit_spark.functions.temporal import plus_minutes
 from transit_spark.operators import forecast as fc
 from transit_spark.plans import flows
 from transit_spark.plans.checks_features import LABELS, r6
-from transit_spark.plans.registry import check, rounded
+from transit_spark.plans.registry import check, rounded, significant, significant_sql
 from transit_spark.session import stage
 from transit_spark.sources import documents as dc
 from transit_spark.sources import pages as pg
@@ -335,12 +335,12 @@ def m6(fx):
     return out.select("route", "stop", F.col("time").cast("timestamp_ntz").alias("time"), "seq", "actual", "predicted", "error")
 
 
-@check("M6_feedback_summary", "SELECT route, count(*) AS n, round(avg(abs_error),6) AS mae, round(avg(pct_error),6) AS mape, avg(pct_error) > 15 AS retrain FROM v_errors WHERE actual > 0 GROUP BY route")
+@check("M6_feedback_summary", f"SELECT route, count(*) AS n, round(avg(abs_error),6) AS mae, {significant_sql('avg(pct_error)')} AS mape, avg(pct_error) > 15 AS retrain FROM v_errors GROUP BY route")
 def m6b(fx):
     from transit_spark.operators.evaluation import error_frame
 
-    pairs = fx.forecast.where(F.col("predicted").isNotNull() & (F.col("actual") > 0))
-    return rounded(st.feedback_summary(error_frame(pairs)))
+    pairs = fx.forecast.where(F.col("predicted").isNotNull() & F.col("actual").isNotNull())
+    return st.feedback_summary(error_frame(pairs)).select("route", "n", F.round("mae", 6).alias("mae"), significant("mape"), "retrain")
 
 
 @check(

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 import re
 
+from transit_spark.config import HOLIDAYS
 from transit_spark.plans.fixtures import VIEWS, duck_view
 
-HOLIDAYS_SQL = (
-    "'2025-01-01','2025-01-28','2025-01-29','2025-01-30','2025-01-31','2025-02-01',"
-    "'2025-02-02','2025-02-03','2025-02-04','2025-04-30','2025-05-01','2025-09-02'"
-)
+HOLIDAYS_SQL = ", ".join(f"'{day}'" for day in HOLIDAYS)
 
 
 def hav(lat1: str, lng1: str, lat2: str, lng2: str) -> str:

@@ -34,6 +34,20 @@ def check(name: str, sql: str | None = None):
     return register
 
 
+LARGE = 1_000_000.0
+
+
+def significant(name: str, digits: int = 6):
+    """A double rounded to so many decimals or, if it is large (as a MAPE over zeros is), to so many significant digits."""
+    size = F.pow(F.lit(10.0), F.floor(F.log10(F.col(name))) - (digits - 1))
+    return F.when(F.col(name) >= LARGE, F.round(F.col(name) / size) * size).otherwise(F.round(name, digits)).alias(name)
+
+
+def significant_sql(value: str, digits: int = 6) -> str:
+    size = f"pow(10.0::DOUBLE, floor(log10({value})) - {digits - 1})"
+    return f"CASE WHEN {value} >= {LARGE}::DOUBLE THEN round(({value}) / {size}) * {size} ELSE round({value}, {digits}) END"
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded, so that both engines print the same digits."""
     doubles = [c for c, t in df.dtypes if t == "double"]
