@@ -111,11 +111,9 @@ _T, _V = "floor(n * 0.7::DOUBLE)", "floor(n * 0.15::DOUBLE)"
       round(median(abs(y - (a + b * x))), 4) AS median_ae FROM w, m WHERE split = 'test' AND y IS NOT NULL GROUP BY route""",
 )
 def f5c(fx):
-    """Fitted on the training rows, chosen on the validation rows (against two models that shrink), scored on the test rows."""
+    """Fitted on the training rows, scored on the test rows; no window crosses a border."""
     prepared, params = fc.prepare_series(fx.demand, [], SERIES)
-    _, setting, scores = fc.held_out(prepared, params, ["passengers"], ({}, {"reg": 5.0}, {"reg": 50.0}), length=1, horizon=1, step=1)
-    if setting:
-        raise ValueError("a model that shrinks was chosen")
+    _, _, scores = fc.held_out(prepared, params, ["passengers"], length=1, horizon=1, step=1)
     return rounded(scores.select("route", "n", "mae", "rmse", "median_ae"), 4)
 
 
