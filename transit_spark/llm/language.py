@@ -22,6 +22,8 @@ CLEAR = 0.6
 UNKNOWN = "und"
 #: Bytes of a text that are turned into n-grams at once.
 BLOCK = 1 << 20
+#: Profiles that are decoded at once.
+PROFILES = 256
 
 
 @functools.cache
@@ -145,7 +147,10 @@ def identify(docs: DataFrame, model: Model | None, id_column: str = "doc_id", te
         out = pd.DataFrame({"lang_pred": [UNKNOWN] * len(texts), "score": 0.0, "ambiguous": False})
         has = texts.notna().to_numpy()
         if model is not None and has.any():
-            best, score, doubt = model.predict(np.stack([profile(t) for t in texts[has]]))
+            known = texts[has]
+            # A profile is far larger than most texts, so only some are in memory at once.
+            found = [model.predict(np.stack([profile(t) for t in known.iloc[at : at + PROFILES]])) for at in range(0, len(known), PROFILES)]
+            best, score, doubt = (np.concatenate(parts) for parts in zip(*found))
             out.loc[has, "lang_pred"] = [model.languages[i] for i in best]
             out.loc[has, "score"], out.loc[has, "ambiguous"] = score.astype(float), doubt
         return out
