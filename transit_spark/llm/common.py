@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from transit_spark.session import work_dir
 
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """A fresh folder in the shared place, for results that are read more than once.
 
@@ -23,7 +26,13 @@ class Scratch:
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         target = f"{self.folder}/{name}"
-        df.write.mode("overwrite").parquet(target)
+        conf = self.spark.conf
+        before = conf.get(CLEAN_UP, "false")
+        conf.set(CLEAN_UP, "true")  # what was shuffled for the stage is not needed once it is written
+        try:
+            df.write.mode("overwrite").parquet(target)
+        finally:
+            conf.set(CLEAN_UP, before)
         return self.spark.read.schema(df.schema).parquet(target)
 
     def drop(self, *names: str) -> None:
@@ -77,6 +86,6 @@ def sample_ids(rows: DataFrame, id_column: str, group: str, per_group: int) -> l
 
 
 def rows_with_ids(docs: DataFrame, id_column: str, ids: list) -> DataFrame:
-    """The rows of ``docs`` with one of a bounded list of ids, by a join whose small side Spark measures."""
+    """The rows of ``docs`` with one of a bounded list of ids; by a join whose small side Spark measures."""
     wanted = docs.sparkSession.createDataFrame([(i,) for i in sorted(set(ids))], f"_wanted {dict(docs.dtypes)[id_column]}")
     return docs.join(wanted, docs[id_column] == wanted["_wanted"], "left_semi")
