@@ -86,6 +86,6 @@ def sample_ids(rows: DataFrame, id_column: str, group: str, per_group: int) -> l
 
 
 def rows_with_ids(docs: DataFrame, id_column: str, ids: list) -> DataFrame:
-    """The rows of ``docs`` with one of a bounded list of ids; by a join whose small side Spark measures."""
+    """The rows of ``docs`` with one of a bounded list of ids; the list, being bounded, is broadcast."""
     wanted = docs.sparkSession.createDataFrame([(i,) for i in sorted(set(ids))], f"_wanted {dict(docs.dtypes)[id_column]}")
-    return docs.join(wanted, docs[id_column] == wanted["_wanted"], "left_semi")
+    return docs.join(F.broadcast(wanted), docs[id_column] == F.col("_wanted"), "left_semi")
