@@ -199,3 +199,32 @@ def test_neighbours_odd(spark):
     assert sorted(tuple(r) for r in found) == [(0, 1, 20, 1.0), (0, 2, 3, 0.5), (20, 1, 0, 1.0), (20, 2, 3, 0.5)]
     assert neighbours.nearest_neighbours(vectors_frame(spark, [])).count() == 0
     assert neighbours.nearest_neighbours(vectors_frame(spark, [(1, [1.0, 2.0], 1)])).count() == 0
+
+
+def _recall(rows, found):
+    ids, data = rows["vec_id"].to_numpy(), np.stack(rows["embedding"].to_numpy()).astype(float)
+    asked, hits = ids[ids % 20 == 0], 0
+    for i in asked:
+        best = [v for v in ids[np.argsort(-(data @ data[ids == i][0]), kind="stable")] if v != i][:20]
+        hits += len(set(best) & set(found[found["query_id"] == i]["vec_id"]))
+    assert (found.groupby("query_id").size() == 20).all() and set(found["query_id"]) == set(asked)
+    return hits / 20 / len(asked)
+
+
+@pytest.mark.parametrize("kind", ["short", "one long", "mixed"])
+def test_neighbours_are_found_at_any_length(spark, kind):
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").toPandas()
+    lengths = {"short": np.full(len(rows), 0.03), "one long": np.where(np.arange(len(rows)) == 7, 100.0, 1.0), "mixed": np.random.default_rng(3).lognormal(0, 1, len(rows))}[kind]
+    rows["embedding"] = [np.asarray(v, dtype=float) * x for v, x in zip(rows["embedding"], lengths)]
+    frame = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(rows["vec_id"], rows["embedding"])], "vec_id long, embedding array<double>")
+    assert _recall(rows, neighbours.nearest_neighbours(frame).toPandas()) >= 0.9
+
+
+def test_queries_without_candidates_meet_all_vectors(spark, monkeypatch):
+    data = np.random.default_rng(4).standard_normal((300, 8))
+    rows = pd.DataFrame({"vec_id": range(300), "embedding": list(data)})
+    few = lambda points, queries, nearest, most: neighbours.Hashes(np.random.default_rng(1).standard_normal((neighbours.TABLES, neighbours.HASHES, 9)), np.zeros((neighbours.TABLES, neighbours.HASHES)), most / 50, 1)
+    monkeypatch.setattr(neighbours, "choose", few)
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<double>")
+    assert _recall(rows, neighbours.nearest_neighbours(frame).toPandas()) == 1

@@ -17,6 +17,8 @@ TABLES, HASHES = 3, 4
 #: The hash width and the number of probes are chosen on at most so many vectors and queries, so that
 #: this share of the sample's true neighbours is found.
 SAMPLE, SAMPLE_QUERIES, TARGET, MAX_PROBES = 4000, 100, 0.965, 400
+#: The first width tried, in lengths of the longest vector, and by how much the next one is wider.
+WIDTH, WIDER = 1.2, 1.5
 #: Vectors, or queries, of one bucket that one task compares.
 BLOCK = 4096
 SEED = 11
@@ -24,7 +26,7 @@ SEED = 11
 
 @dataclass
 class Hashes:
-    """Tables of ``HASHES`` functions floor((a x + b) / w) each, with normally distributed (2-stable) a."""
+    """Tables of ``HASHES`` functions floor(a x / w + b) each, with normally distributed (2-stable) a and b from 0 to 1."""
 
     directions: np.ndarray  # tables x hashes x width
     shifts: np.ndarray  # tables x hashes
@@ -33,7 +35,7 @@ class Hashes:
 
     def project(self, points: np.ndarray) -> np.ndarray:
         """Positions in units of the width: points x tables x hashes."""
-        return (np.einsum("nd,thd->nth", points, self.directions) + self.shifts) / self.width
+        return np.einsum("nd,thd->nth", points, self.directions) / self.width + self.shifts
 
     def buckets(self, points: np.ndarray) -> np.ndarray:
         return np.floor(self.project(points)).astype(np.int64)
@@ -74,38 +76,45 @@ def probe_sequence(place: np.ndarray, probes: int) -> np.ndarray:
 def choose(points: np.ndarray, queries: np.ndarray, nearest: int, most: float) -> Hashes:
     """Hashes whose probes find ``TARGET`` of the nearest points of a sample.
 
-    Vectors get one more component so that all have the length ``most``; the largest inner product is
-    then the smallest distance.
+    Vectors get one more component so that all have the length ``most``, to which queries are brought
+    too; the largest inner product is then the smallest distance, and nothing depends on the scale of
+    the data. The narrowest of the widths tried that reaches the target is taken. It is always
+    reached: in a width far above ``most`` all points share one bucket, which is a scan of all of them.
     """
     rng = np.random.default_rng(SEED)
     width = points.shape[1] + 1
     directions, shifts = rng.standard_normal((TABLES, HASHES, width)), rng.random((TABLES, HASHES))
     scores = queries @ points.T
     true = np.argsort(-scores, axis=1, kind="stable")[:, : min(nearest + 1, len(points))]
-    hashes = Hashes(directions, shifts, most * 1.2, MAX_PROBES)
-    own = hashes.buckets(lift(points, most))
-    asked = lift(queries, None)
-    rank = np.full((len(queries), true.shape[1]), MAX_PROBES)
-    for t in range(TABLES):
-        for q, sequence in enumerate(hashes.visits(asked, t)):
-            order = {tuple(b): i for i, b in enumerate(sequence.tolist())}
-            found = [order.get(tuple(own[i, t].tolist()), MAX_PROBES) for i in true[q]]
-            rank[q] = np.minimum(rank[q], found)
-    for probes in range(1, MAX_PROBES + 1):
-        if (rank < probes).mean() >= TARGET:
-            break
-    hashes.probes = probes
-    return hashes
-
-
-def lift(points: np.ndarray, most: float | None) -> np.ndarray:
-    """One more component: what is missing to the length ``most``, or zero for queries, which are brought to length 1."""
+    held, asked = lift(points, most), lift_queries(queries, most)
+    hashes = Hashes(directions, shifts, most * WIDTH, MAX_PROBES)
+    while True:
+        own = hashes.buckets(held)
+        rank = np.full((len(queries), true.shape[1]), MAX_PROBES)
+        for t in range(TABLES):
+            for q, sequence in enumerate(hashes.visits(asked, t)):
+                order = {tuple(b): i for i, b in enumerate(sequence.tolist())}
+                found = [order.get(tuple(own[i, t].tolist()), MAX_PROBES) for i in true[q]]
+                rank[q] = np.minimum(rank[q], found)
+        for probes in range(1, MAX_PROBES + 1):
+            if (rank < probes).mean() >= TARGET:
+                hashes.probes = probes
+                return hashes
+        hashes.width *= WIDER
+
+
+def lift(points: np.ndarray, most: float) -> np.ndarray:
+    """One more component: what is missing to the length ``most``."""
     squares = (points * points).sum(axis=1)
-    if most is None:
-        return np.hstack([points / np.sqrt(squares)[:, None], np.zeros((len(points), 1))])
     return np.hstack([points, np.sqrt(np.maximum(most * most - squares, 0))[:, None]])
 
 
+def lift_queries(queries: np.ndarray, most: float) -> np.ndarray:
+    """Queries brought to the length ``most``, with zero as one more component."""
+    lengths = np.sqrt((queries * queries).sum(axis=1))
+    return np.hstack([queries * (most / lengths)[:, None], np.zeros((len(queries), 1))])
+
+
 def _score(block: pd.DataFrame, nearest: int) -> pd.DataFrame:
     """The best candidates of each query in a block of one bucket."""
     asked, held = block[block["asks"]], block[~block["asks"]]
@@ -133,11 +142,12 @@ def nearest_neighbours(vectors: DataFrame, nearest: int = NEAREST, query_step: i
     the order in which their borders come near, as many as the sample asked for; candidates of all
     tables meet, the best ones are scored again exactly, and copies of a vector (of which never more
     than ``nearest`` + 1, the smallest ids, can be among the nearest) follow in the order of their
-    ids. Buckets are met in blocks of bounded size.
+    ids. Buckets are met in blocks of bounded size. A query whose buckets hold too few candidates
+    meets all distinct vectors instead.
 
     Null, zero and non-finite vectors and those with a null component take no part, nor do rows with
     a null id or with another length than the most frequent one; rows that repeat an id are one
-    candidate each. Fewer candidates give fewer rows; other columns are not read; no rows in, none out.
+    candidate each. Fewer other rows give fewer neighbours; other columns are not read; no rows in, none out.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark)
@@ -152,7 +162,7 @@ def nearest_neighbours(vectors: DataFrame, nearest: int = NEAREST, query_step: i
     copies = rows.groupBy("vector").agg(F.min("id").alias("rep"))
     copies = scratch.stage(copies, "distinct")
     squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    most = float(copies.agg(F.sqrt(F.max(squares))).first()[0])
+    most, distinct = copies.agg(F.sqrt(F.max(squares)), F.count("*")).first()
     sample = copies.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("vector").toPandas()["vector"]
     sample = np.stack(sample.to_numpy())
     hashes = choose(sample, sample[:SAMPLE_QUERIES], nearest, most)
@@ -163,7 +173,7 @@ def nearest_neighbours(vectors: DataFrame, nearest: int = NEAREST, query_step: i
         return pd.DataFrame({"id": batch["rep"], "vector": batch["vector"], "buckets": [[b.tolist() for b in o] for o in own]})
 
     def probe(batch: pd.DataFrame) -> pd.DataFrame:
-        asked = lift(np.stack(batch["vector"].to_numpy()), None)
+        asked = lift_queries(np.stack(batch["vector"].to_numpy()), most)
         visits = [held.value.visits(asked, t) for t in range(TABLES)]
         return batch.assign(buckets=[[v[i].tolist() for v in visits] for i in range(len(batch))])
 
@@ -174,6 +184,28 @@ def nearest_neighbours(vectors: DataFrame, nearest: int = NEAREST, query_step: i
     asks = asks.select("id", "vector", F.posexplode("buckets").alias("table", "bucket")).select("id", "vector", "table", F.explode("bucket").alias("bucket"))
     key = F.xxhash64("table", "bucket").alias("key")
     places, asks = scratch.stage(places.select("id", "vector", key), "places"), scratch.stage(asks.select("id", "vector", key), "asks")
+    found = scratch.stage(_best(_meet(places, asks, nearest), nearest), "found")
+    # A query is short if it has fewer candidates than it may need: the nearest ones and perhaps itself.
+    enough = found.groupBy(F.col("query_id").alias("id")).agg(F.count("*").alias("n")).where(F.col("n") >= min(nearest + 1, distinct))
+    short = scratch.stage(asking.join(enough, "id", "left_anti"), "short")
+    if not short.isEmpty():
+        every = F.lit(0).cast("long").alias("key")
+        scanned = _meet(copies.select(F.col("rep").alias("id"), "vector", every), short.select("id", "vector", every), nearest)
+        rest = found.join(short.select(F.col("id").alias("query_id")).distinct(), "query_id", "left_anti")
+        found = scratch.stage(rest.unionByName(_best(scanned, nearest)), "found-all")
+    # Copies: the ids behind a distinct vector, of which the first nearest + 1 are enough for any query.
+    shared = copies.join(rows, "vector").select("rep", F.col("id").alias("vec_id"), F.row_number().over(_order("rep", "id")).alias("turn"))
+    expanded = found.select("query_id", "rep").join(shared.where(F.col("turn") <= nearest + 1), "rep").where("query_id <> vec_id")
+    exact = expanded.join(asking.select(F.col("id").alias("query_id"), F.col("vector").alias("asked")), "query_id")
+    exact = exact.join(copies.select("rep", "vector"), "rep")
+    product = F.aggregate(F.zip_with("asked", "vector", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    return _best(exact.select("query_id", "vec_id", product.alias("score")), nearest, "vec_id", extra=0).select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"
+    )
+
+
+def _meet(places: DataFrame, asks: DataFrame, nearest: int) -> DataFrame:
+    """The best score of each query with the vectors of the same ``key``, in blocks of about ``BLOCK`` of either side."""
     sizes = places.groupBy("key").agg(F.count("*").alias("held")).join(asks.groupBy("key").agg(F.count("*").alias("asked")), "key")
     parts = sizes.select("key", F.ceil(F.col("held") / BLOCK).alias("held_parts"), F.ceil(F.col("asked") / BLOCK).alias("asked_parts"))
     salt = F.xxhash64("id", F.lit(3))
@@ -185,16 +217,7 @@ def nearest_neighbours(vectors: DataFrame, nearest: int = NEAREST, query_step: i
         for side, own, other in ((places, "held", "asked"), (asks, "asked", "held"))
     ]
     scored = both[0].union(both[1]).groupBy("key", "held", "asked").applyInPandas(lambda b: _score(b, nearest), "query_id long, rep long, score double")
-    found = scratch.stage(_best(scored.groupBy("query_id", "rep").agg(F.max("score").alias("score")), nearest), "found")
-    # Copies: the ids behind a distinct vector, of which the first nearest + 1 are enough for any query.
-    shared = copies.join(rows, "vector").select("rep", F.col("id").alias("vec_id"), F.row_number().over(_order("rep", "id")).alias("turn"))
-    expanded = found.select("query_id", "rep").join(shared.where(F.col("turn") <= nearest + 1), "rep").where("query_id <> vec_id")
-    exact = expanded.join(asking.select(F.col("id").alias("query_id"), F.col("vector").alias("asked")), "query_id")
-    exact = exact.join(copies.select("rep", "vector"), "rep")
-    product = F.aggregate(F.zip_with("asked", "vector", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    return _best(exact.select("query_id", "vec_id", product.alias("score")), nearest, "vec_id", extra=0).select(
-        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"
-    )
+    return scored.groupBy("query_id", "rep").agg(F.max("score").alias("score"))
 
 
 def _order(key: str, *by):
