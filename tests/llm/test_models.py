@@ -173,6 +173,19 @@ def test_stages_take_odd_rows(spark, odd_documents, no_documents):
             assert stage(spark, frame, DIR).count() >= 0, name
 
 
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    words = [f"{a}{b}" for a in "bcdfghklm" for b in "aeiou"]
+    texts = [" ".join(np.random.default_rng(n).choice(words, 60)) for n in range(8)]
+    rows = [
+        (None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]),  # unrelated texts without id
+        (5, texts[3]), (5, texts[4]), (5, texts[5]),  # one id, three texts
+        (1, texts[5]), (None, texts[3]), (7, texts[6]), (9, texts[6]), (9, texts[7]), (9, texts[7]),
+    ]
+    found = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), DIR).collect()
+    want = [(None, 0), (None, 1), (None, 2), (5, 3), (5, 4), (1, 5), (7, 6), (9, 7)]
+    assert sorted((r["text"], r["doc_id"]) for r in found) == sorted((texts[n], i) for i, n in want)
+
+
 def test_registered():
     import __spark_entry__ as entry
 

@@ -140,6 +140,32 @@ def links(marks: DataFrame, scratch: Scratch, radius: int = RADIUS) -> DataFrame
     return groups.mapInPandas(connect, "a long, b long")
 
 
+def _parts(points: DataFrame, scratch: Scratch, radius: int) -> DataFrame:
+    """The distinct fingerprints ``mark`` of ``points`` with the smallest one, ``part``, that links lead to."""
+    edges = scratch.stage(links(points.select("mark"), scratch, radius).distinct(), "links")
+    nodes = components(edges, scratch)
+    parts = points.join(nodes, points["mark"] == nodes["node"], "left").select(*points.columns, F.coalesce("component", "mark").alias("part"))
+    return scratch.stage(parts, "parts")
+
+
+def one_per_group(docs: DataFrame, id_column: str = "doc_id", text: str = "text", radius: int = RADIUS, words: int = WORDS) -> DataFrame:
+    """One row of ``docs`` for each group of near-duplicates: one with the smallest id, null ids last.
+
+    The group decides, not the id: rows that share an id, or have none, stay if their groups differ.
+    Of rows of a group that share its smallest id the one with the smallest fingerprint stays, then
+    the smallest row. Rows of one fingerprint are folded on the map side; no rows in, none out.
+    """
+    scratch = Scratch(docs.sparkSession)
+    mark = F.pandas_udf(lambda texts: pd.Series(np.array([fingerprint(t, words) for t in texts], dtype=np.uint64).view(np.int64)), "long")
+    doc = F.col(f"`{id_column}`")
+    row = F.struct(doc.isNull().alias("no_id"), doc.alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    points = docs.select(mark(F.col(f"`{text}`")).alias("mark"), row.alias("best")).groupBy("mark").agg(F.min("best").alias("best"))
+    points = scratch.stage(points, "points")
+    parts = _parts(points.select("mark", "best.no_id", "best.id"), scratch, radius)
+    first = parts.groupBy("part").agg(F.min(F.struct("no_id", "id", "mark")).alias("first")).select("first.mark")
+    return points.join(first, "mark", "left_semi").select("best.row.*")
+
+
 def near_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text", radius: int = RADIUS, words: int = WORDS) -> DataFrame:
     """Per row of ``docs`` its fingerprint and the smallest id that links of at most ``radius`` bits lead to.
 
@@ -151,10 +177,7 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     scratch = Scratch(docs.sparkSession)
     marked = scratch.stage(fingerprints(docs, id_column, text, words), "marks")
     points = scratch.stage(marked.groupBy("mark").agg(F.min("doc_id").alias("least")), "points")
-    edges = scratch.stage(links(points.select("mark"), scratch, radius).distinct(), "links")
-    nodes = components(edges, scratch)
-    parts = points.join(nodes, points["mark"] == nodes["node"], "left").select("mark", "least", F.coalesce("component", "mark").alias("part"))
-    parts = scratch.stage(parts, "parts")
+    parts = _parts(points, scratch, radius)
     least = parts.groupBy("part").agg(F.min("least").alias("component_id"))
     named = parts.join(least, "part").select("mark", "component_id")
     return marked.join(named, "mark").select(
