@@ -173,6 +173,22 @@ def test_stages_take_odd_rows(spark, odd_documents, no_documents):
             assert stage(spark, frame, DIR).count() >= 0, name
 
 
+def test_unlearnt_languages_go_and_clean_documents_stay(spark, docs):
+    draw = np.random.default_rng(5)
+    letters = [" ".join("".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), draw.integers(2, 11))) for _ in range(200)) for _ in range(20)]
+    strange = [
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.", "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心", "x" * 5000,
+    ]
+    more = spark.createDataFrame([(10**6 + n, t) for n, t in enumerate(strange + letters)], "doc_id long, text string")
+    kept = corpus_pipeline.filter_language(spark, docs.unionByName(more, allowMissingColumns=True), DIR)
+    ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
+    clean = {r["doc_id"] for r in docs.where(r"text RLIKE '\\p{L}'").select("doc_id").collect()}
+    assert len(clean & ids) >= 0.998 * len(clean)
+    assert not {10**6 + n for n in range(len(strange))} & ids
+    assert not {10**6 + len(strange) + n for n in range(len(letters))} & ids
+
+
 def test_one_row_of_each_group_stays_whatever_its_id(spark):
     words = [f"{a}{b}" for a in "bcdfghklm" for b in "aeiou"]
     texts = [" ".join(np.random.default_rng(n).choice(words, 60)) for n in range(8)]

@@ -19,6 +19,9 @@ SAMPLE = 2400
 STEPS, RATE, SHRINK = 150, 4.0, 1e-5
 #: A document is ambiguous if the two nearest codewords are nearer to each other than this share of the score.
 CLEAR = 0.6
+#: An n-gram is usual if this share of the sample's documents of some language have it. A document is foreign if more
+#: of its profile is unusual than ``FOREIGN``, or than ``FAR`` times what the share ``MOST`` of the sample keeps to.
+COMMON, FOREIGN, FAR, MOST = 0.02, 0.1, 2.0, 0.999
 UNKNOWN = "und"
 #: Bytes of a text that are turned into n-grams at once.
 BLOCK = 1 << 20
@@ -71,6 +74,12 @@ class Model:
     weights: np.ndarray  # BUCKETS x bits
     bias: np.ndarray
     trust: np.ndarray  # languages x bits: how well a bit was learnt for a language
+    usual: np.ndarray | None = None  # which buckets of n-grams are usual in some language
+    limit: float = np.inf  # the share of unusual n-grams up to which a text is of a learnt language
+
+    def foreign(self, profiles: np.ndarray) -> np.ndarray:
+        """Whether too much of each profile is unusual in all languages; the codewords tell only learnt ones apart."""
+        return np.zeros(len(profiles), bool) if self.usual is None else (profiles**2)[:, ~self.usual].sum(axis=1) > self.limit
 
     def predict(self, profiles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Language number, score and ambiguity of each profile, by loss-weighted decoding."""
@@ -101,7 +110,19 @@ def fit(profiles: np.ndarray, targets: np.ndarray, languages: list[str]) -> Mode
     right = ((profiles @ weights + bias) * bits > 0).astype(float)
     trust = np.array([right[targets == i].mean(axis=0) for i in range(len(languages))])
     trust = np.maximum(trust, 1e-3)
-    return Model(languages, words, weights, bias, trust / trust.sum(axis=1, keepdims=True))
+    return Model(languages, words, weights, bias, trust / trust.sum(axis=1, keepdims=True), *usual_grams(profiles, targets, len(languages)))
+
+
+def usual_grams(profiles: np.ndarray, targets: np.ndarray, languages: int) -> tuple[np.ndarray, float]:
+    """The usual buckets and the limit of unusual ones. For the limit each document is held against the others, so
+    that a sample too small to tell what is usual rejects nothing."""
+    counts = np.array([(profiles[targets == i] > 0).sum(axis=0) for i in range(languages)])
+    need = np.maximum(1, np.ceil(COMMON * np.bincount(targets, minlength=languages)))[:, None]
+    usual, strange = counts >= need, np.zeros(len(profiles))
+    for i in range(languages):
+        others = np.delete(usual, i, axis=0).any(axis=0) | (counts[i] - 1 >= need[i])
+        strange[targets == i] = (profiles[targets == i] ** 2)[:, ~others].sum(axis=1)
+    return usual.any(axis=0), max(FOREIGN, FAR * float(np.quantile(strange, MOST)))
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
@@ -133,7 +154,8 @@ def identify(docs: DataFrame, model: Model | None, id_column: str = "doc_id", te
 
     A null text, one without any letter, or no model at all gives ``und`` with score 0 and no
     ambiguity. Ids may be null or repeat; a null id counts as not held out. Whole texts are read, in
-    blocks. With ``keep`` the row itself is passed on as the struct ``row``; else other columns are
+    blocks. With ``keep`` the row itself is passed on as the struct ``row``, with ``foreign``: whether
+    the text has too many n-grams that are unusual in all learnt languages; else other columns are
     not read. No rows in, none out.
     """
     value = F.col(f"`{text}`")
@@ -144,20 +166,25 @@ def identify(docs: DataFrame, model: Model | None, id_column: str = "doc_id", te
     rows = rows.withColumn("_text", F.when(F.col("_letters"), F.col("text"))).drop("text", "_letters")
 
     def add(texts: pd.Series) -> pd.DataFrame:
-        out = pd.DataFrame({"lang_pred": [UNKNOWN] * len(texts), "score": 0.0, "ambiguous": False})
+        out = pd.DataFrame({"lang_pred": [UNKNOWN] * len(texts), "score": 0.0, "ambiguous": False, "foreign": False})
         has = texts.notna().to_numpy()
         if model is not None and has.any():
             known = texts[has]
             # A profile is far larger than most texts, so only some are in memory at once.
-            found = [model.predict(np.stack([profile(t) for t in known.iloc[at : at + PROFILES]])) for at in range(0, len(known), PROFILES)]
-            best, score, doubt = (np.concatenate(parts) for parts in zip(*found))
+            found = []
+            for at in range(0, len(known), PROFILES):
+                profiles = np.stack([profile(t) for t in known.iloc[at : at + PROFILES]])
+                found.append((*model.predict(profiles), model.foreign(profiles)))
+            best, score, doubt, foreign = (np.concatenate(parts) for parts in zip(*found))
             out.loc[has, "lang_pred"] = [model.languages[i] for i in best]
             out.loc[has, "score"], out.loc[has, "ambiguous"] = score.astype(float), doubt
+            out.loc[has, "foreign"] = foreign
         return out
 
-    predict = F.pandas_udf(add, "lang_pred string, score double, ambiguous boolean")
+    predict = F.pandas_udf(add, "lang_pred string, score double, ambiguous boolean, foreign boolean")
     rows = rows.withColumn("_found", predict("_text"))
-    return rows.select("doc_id", "held_out", "_found.*", *(["row"] if keep else []))
+    found = ["lang_pred", "score", "ambiguous", *(["foreign"] if keep else [])]
+    return rows.select("doc_id", "held_out", *[f"_found.{c}" for c in found], *(["row"] if keep else []))
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
