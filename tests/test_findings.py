@@ -170,3 +170,14 @@ def test_quantiles_shuffle_the_bracket_only(spark):
     assert not any("Exchange" in line and "_v#" in line for line in plan)
     bracket = next(i for i, line in enumerate(plan) if "Generate explode" in line)
     assert any("Exchange hashpartitioning" in line and "_groupingexpression" in line for line in plan[:bracket])
+
+
+def test_tuning_counts_windows_without_demand(spark, small_dir, monkeypatch):
+    from transit_spark.plans import checks_planning as cp
+    from transit_spark.plans.catalog import QUERIES
+
+    real = cp._route_windows
+    quiet = F.when(F.col("start") % 5 == 0, F.lit(0.0)).otherwise(F.col("y"))
+    monkeypatch.setattr(cp, "_route_windows", lambda fx: (None, real(fx)[1].withColumn("y", quiet)))
+    found = QUERIES["F14_tune"](spark, small_dir).collect()
+    assert len(found) == 3 and all(r["mape"] > 1e6 for r in found)

@@ -276,10 +276,10 @@ def f13c(fx):
 
 @check("F14_tune")
 def f14(fx):
-    """Validation MAPE of three settings over two time-ordered folds."""
+    """Validation MAPE of three settings over two time-ordered folds, all windows."""
     _, w = _route_windows(fx)
     grid = [{"reg": 0.0}, {"reg": 1.0}, {"reg": 1.0, "elastic": 1.0}]
-    return rounded(fc.tune(w.where(F.col("y") > 0), grid, 2), 4)
+    return fc.tune(w, grid, 2).select("setting", "options", significant("mape", 4))
 
 
 @check(
@@ -296,6 +296,19 @@ def f15(fx):
     return rounded(scores.drop("mape"))
 
 
+@check(
+    "F15_mape",
+    " UNION ALL ".join(
+        f"""SELECT {s * 15} AS horizon_minutes, {significant_sql('avg(abs((a - p) / (a + 1e-10)) * 100)')} AS mape
+        FROM (SELECT CAST(total_demand AS DOUBLE) AS p, CAST(lead(total_demand, {s}) OVER (PARTITION BY route ORDER BY time) AS DOUBLE) AS a FROM v_totals) WHERE a IS NOT NULL"""
+        for s in (1, 2, 4)
+    ),
+)
+def f15b(fx):
+    scores = fc.error_by_horizon(su.demand_by_time(fx.demand), "total_demand", (1, 2, 4), ["route"])
+    return scores.select("horizon_minutes", significant("mape"))
+
+
 @check("F16_cluster_routes")
 def f16(fx):
     """Routes grouped by mean hourly demand."""
@@ -325,6 +338,11 @@ def e1b(fx):
     return ev.metrics(fx.forecast, ["route"]).select("route", significant("mape"))
 
 
+@check("E1_mape_overall", f"SELECT {significant_sql('avg(pct_error)')} AS mape FROM v_errors")
+def e1c(fx):
+    return ev.metrics(fx.forecast).select(significant("mape"))
+
+
 @check(
     "E2_accuracy_report",
     f"""SELECT route, -({significant_sql('mape - 100')}) AS accuracy, 85.0::DOUBLE AS target_accuracy, mape <= 15 AS target_met
@@ -408,6 +426,16 @@ def e6(fx):
     return rounded(ev.metrics(labelled, ["is_peak_hour", "is_weekend"]).drop("mape"))
 
 
+@check(
+    "E6_mape",
+    f"""SELECT is_peak_hour, is_weekend, {significant_sql('avg(pct_error)')} AS mape
+    FROM v_errors JOIN (SELECT seq, is_peak_hour, is_weekend FROM v_temporal) USING (seq) GROUP BY ALL""",
+)
+def e6c(fx):
+    labelled = temporal_features(fx.forecast)
+    return ev.metrics(labelled, ["is_peak_hour", "is_weekend"]).select("is_peak_hour", "is_weekend", significant("mape"))
+
+
 @check("E6_metrics_per_route", _metrics_sql("v_errors", "route"))
 def e6b(fx):
     return rounded(ev.metrics(fx.forecast, ["route"]).drop("mape"))
