@@ -73,17 +73,20 @@ def test_no_rows(no_documents, tmp_path):
     assert counted.collect() == [] and counted.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
 
 
-def test_pieces_add_up(monkeypatch):
-    monkeypatch.setattr(token_counts, "PIECE_CHARS", 5)
-    monkeypatch.setattr(token_counts, "BATCH_CHARS", 50)
+def test_words_and_slices_add_up(monkeypatch):
     draw = random.Random(5)
-    parts = ["the", "THE", " ", "  ", "\n", "\t", "'s", "'ll", "é", "😀", " ", "\x85", "\x1c", "1", "22", "!", "?!", "<|endoftext|>", "<|", "日本語", "\r\n", "　"]
-    texts = ["".join(draw.choices(parts, k=draw.randint(0, 40))) for _ in range(2000)]
-    counter = token_counts.Counter(BYTES)
-    assert counter.byte_level and any(len(counter.cut(t)) > 3 for t in texts)
+    parts = ["the", "THE", " ", "  ", "\n", "\t", "\x0b", "\x0c", "'s", "'ll", "é", "😀", "\x85", "\x1c", "1", "22", "!", "?!", "<|endoftext|>", "<|", "日本語", "\r\n", "\u0301"]
+    wide = ["\xa0", "\u3000", "\u2028"]
+    texts = ["".join(draw.choices(parts + wide * (k % 2), k=draw.randint(0, 40))) for k in range(3000)]
     whole = tokenizers.Tokenizer.from_file(BYTES)
-    assert all("".join(counter.cut(t)) == t for t in texts)
-    assert counter.count(texts) == [len(e.ids) for e in whole.encode_batch(texts, add_special_tokens=False)]
+    expected = [len(e.ids) for e in whole.encode_batch(texts, add_special_tokens=False)]
+    counter = token_counts.Counter(BYTES)
+    assert counter.byte_level and [counter.count(t) for t in texts] == expected
+    for name, value in {"SLICE_CHARS": 5, "BATCH_CHARS": 50, "KEPT_WORDS": 100, "KEPT_LENGTH": 6}.items():
+        monkeypatch.setattr(token_counts, name, value)
+    counter = token_counts.Counter(BYTES)
+    assert [counter.count(t) for t in texts] == expected and len(counter.kept) <= 100
+    assert any(len(list(counter.slices(t))) > 3 for t in texts) and all("".join(counter.slices(t)) == t for t in texts)
     assert not token_counts.Counter(WORDS).byte_level
 
 

@@ -19,10 +19,16 @@ from transit_spark.llm.common import Scratch, table
 LIMIT = 1024
 #: Up to so many digests (of 32 bytes each) to encode are broadcast, so that the texts of hits stay where they are.
 BROADCAST_DIGESTS = 100_000
-#: Characters of texts given to the library at a time, and of a piece of a long text.
-BATCH_CHARS, PIECE_CHARS = 1 << 21, 1 << 16
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
-#: A visible ASCII character before white space: no token of a byte-level vocabulary reaches over that border.
+#: Characters of a slice of a long text, and of texts given to the library at a time.
+SLICE_CHARS, BATCH_CHARS = 1 << 19, 1 << 18
+#: Words whose counts a task keeps; longer ones than KEPT_LENGTH are not kept.
+KEPT_WORDS, KEPT_LENGTH = 300_000, 40
+#: White space and what follows up to the next. No token of a byte-level vocabulary reaches from a visible
+#: character into white space, so counts of words add up; WIDE_SPACE is the white space beyond ASCII.
+WORD = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Where a long text may be cut whatever its white space.
 BORDER = re.compile(r"[!-~](?=[ \n\t])")
 
 
@@ -30,7 +36,7 @@ class Counter:
     """Counts tokens as the library of a vocabulary file does, without begin, end or added special tokens."""
 
     def __init__(self, path: str):
-        self.byte_level = False
+        self.byte_level, self.kept = False, {}
         if path.endswith(".model"):
             import sentencepiece
 
@@ -45,40 +51,52 @@ class Counter:
         self.tokenizer.no_padding()
         self.byte_level = splits_before_blanks(path)
 
-    def count_all(self, texts: list[str]) -> list[int]:
+    def library_counts(self, texts: list[str]) -> list[int]:
+        """The library's own counts, BATCH_CHARS at a time."""
+        counts, held, chars = [], [], 0
+        for text in [*texts, None]:
+            if held and (text is None or chars + len(text) > BATCH_CHARS):
+                counts += self._encode(held)
+                held, chars = [], 0
+            if text is not None:
+                held.append(text)
+                chars += len(text)
+        return counts
+
+    def _encode(self, texts: list[str]) -> list[int]:
         if self.pieces is not None:
             return [len(ids) for ids in self.pieces.encode(texts, num_threads=1)]
         return [len(found.ids) for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def cut(self, text: str) -> list[str]:
-        """A long text in pieces whose counts add up to its own; one piece where the vocabulary has no sure border."""
-        if not self.byte_level or len(text) <= PIECE_CHARS:
-            return [text]
-        pieces, start = [], 0
-        while len(text) - start > PIECE_CHARS and (border := BORDER.search(text, start + PIECE_CHARS)):
-            pieces.append(text[start : border.end()])
+    def slices(self, text: str) -> Iterator[str]:
+        """A long text in parts whose counts add up to its own."""
+        start = 0
+        while len(text) - start > SLICE_CHARS and (border := BORDER.search(text, start + SLICE_CHARS)):
+            yield text[start : border.end()]
             start = border.end()
-        return [*pieces, text[start:]]
-
-    def count(self, texts: list[str]) -> list[int]:
-        """Counts of whole texts, BATCH_CHARS given to the library at a time."""
-        counts = [0] * len(texts)
-        held: list[tuple[int, str]] = []
-        chars = 0
-        for row, text in enumerate(texts):
-            for piece in self.cut(text):
-                held.append((row, piece))
-                chars += len(piece)
-                if chars >= BATCH_CHARS:
-                    self._add(held, counts)
-                    held, chars = [], 0
-        self._add(held, counts)
-        return counts
-
-    def _add(self, held: list[tuple[int, str]], counts: list[int]) -> None:
-        if held:
-            for (row, _), n in zip(held, self.count_all([piece for _, piece in held])):
-                counts[row] += n
+        yield text[start:]
+
+    def count(self, text: str) -> int:
+        """Tokens of a whole text; a byte-level vocabulary meets each distinct word once while it is kept."""
+        if not self.byte_level:
+            return self.library_counts([text])[0]
+        total = 0
+        for part in self.slices(text):
+            if WIDE_SPACE.search(part):
+                total += self.library_counts([part])[0]
+                continue
+            words = WORD.findall(part)
+            kept = self.kept
+            if new := [w for w in set(words) if w not in kept]:
+                if len(kept) + len(new) > KEPT_WORDS:
+                    kept = self.kept = {}
+                    new = list(set(words))
+                kept.update(zip(new, self.library_counts(new)))
+            total += sum(map(kept.__getitem__, words))
+            for word in new:
+                if len(word) > KEPT_LENGTH:
+                    del kept[word]
+        return total
 
 
 def splits_before_blanks(path: str) -> bool:
@@ -159,7 +177,7 @@ def update_cache(
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"tokenizer": version, "digest": batch["digest"], "n_tokens": counter(path).count(batch["text"].tolist())})
+            yield pd.DataFrame({"tokenizer": version, "digest": batch["digest"], "n_tokens": [counter(path).count(text) for text in batch["text"]]})
 
     texts.mapInPandas(encode, CACHE_SCHEMA).write.mode("append").partitionBy("tokenizer").parquet(cache)
     scratch.drop("missing")
