@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,10 +18,12 @@ from transit_spark.llm.common import Scratch, table
 MIN_DOCS, RANKS, SCALE, SMOOTHING = 3, 200, 1_000_000_000, 1
 #: Terms a task counts before it passes them on, and bytes of a text whose words are taken at a time.
 HELD_TERMS, SLICE = 300_000, 1 << 22
-#: Up to so many colliding digests are broadcast; more are joined.
-BROADCAST_COLLISIONS = 100_000
+#: Up to so many keys (of 8 bytes) whose texts are wanted are broadcast; more are joined.
+BROADCAST_KEYS = 100_000
 #: Every byte that is no ASCII letter and no part of a wider character becomes a blank; A-Z become a-z.
 FOLD = bytes((b | 32 if 0x41 <= b <= 0x5A else b) if 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
+#: Stands between the language and the term of a label; no term holds it.
+BETWEEN = "\0"
 
 
 def slices(data: bytes) -> Iterator[list[bytes]]:
@@ -33,33 +38,63 @@ def slices(data: bytes) -> Iterator[list[bytes]]:
     yield data[start:].split()
 
 
-def term_rows(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """(lang, source, term, n, docs): occurrences and documents of each term, summed within parts of a task.
+def named_groups(docs: DataFrame, lang: str, source: str, scratch: Scratch) -> tuple[DataFrame, Column]:
+    """(gid, lang, source) of every group, and the expression that names a row's group by 64 bits.
 
-    A row with a null term says that the group occurs. Every null is the empty string; a row of ``docs``
-    is a document, also if it is repeated.
+    The seed is the first under which all groups have names of their own.
+    """
+    both = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in (lang, source)]
+    for seed in itertools.count():
+        gid = F.xxhash64(F.lit(seed), *both)
+        groups = scratch.stage(docs.select(gid.alias("gid"), both[0].alias("lang"), both[1].alias("source")).distinct(), f"groups-{seed}")
+        found = groups.agg(F.count("*").alias("all"), F.count_distinct("gid").alias("names")).first()
+        if found["all"] == found["names"]:
+            return groups, gid
+    raise AssertionError
+
+
+def term_rows(docs: DataFrame, gid: Column, text: str, lang: str, digest: Callable[[bytes], int], labelled: bool = False) -> DataFrame:
+    """Rows (gid, key, n, docs) of counts, and rows (key, label) that tell what a key stands for.
+
+    A key is the digest of a language and a term, its lowest bit 0; a label is both in full. Counts are
+    summed within parts of a task and carry no text, unless ``labelled``; each part names each of its
+    keys once. A row of ``docs`` is a document, also if it is repeated.
     """
     rows = docs.select(
-        *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(name) for c, name in ((lang, "lang"), (source, "source"))],
+        gid.alias("gid"), F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("")).alias("lang"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"),
     )
-    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.binary()), ("n", pa.int64()), ("docs", pa.int64())])
-
-    def batch_of(group: tuple[str, str], n: Counter, seen: Counter) -> pa.RecordBatch:
-        terms = [None, *n]
-        counts = [0, *n.values()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([group[0]] * len(terms), pa.string()), pa.array([group[1]] * len(terms), pa.string()), pa.array(terms, pa.binary()), pa.array(counts, pa.int64()), pa.array([0, *[seen[t] for t in n]], pa.int64())],
-            schema=schema,
-        )
+    schema = pa.schema([("gid", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("docs", pa.int64()), ("label", pa.binary())])
+
+    def flush(held: dict[int, tuple[str, Counter, Counter]]) -> Iterator[pa.RecordBatch]:
+        for name in {lang for lang, _, _ in held.values()}:
+            own = [(gid, n, seen) for gid, (lang, n, seen) in held.items() if lang == name]
+            terms = list(set().union(*[n for _, n, _ in own]))
+            head = f"{name}{BETWEEN}".encode()
+            labels = [head + t for t in terms]
+            keys = (np.fromiter(map(digest, labels), np.uint64, len(labels)) << np.uint64(1)).view(np.int64)
+            key_of, label_of = dict(zip(terms, keys.tolist())), dict(zip(terms, labels))
+            for gid, n, seen in own:
+                size = len(n)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(size, gid)), pa.array(np.fromiter(map(key_of.__getitem__, n), np.int64, size)),
+                        pa.array(np.fromiter(n.values(), np.int64, size)), pa.array(np.fromiter(map(seen.__getitem__, n), np.int64, size)),
+                        pa.array([label_of[t] for t in n], pa.binary()) if labelled else pa.nulls(size, pa.binary()),
+                    ],
+                    schema=schema,
+                )
+            if not labelled:
+                none = pa.nulls(len(keys), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, pa.array(keys), none, none, pa.array(labels, pa.binary())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        held: dict[int, tuple[str, Counter, Counter]] = {}
         size = 0
         for batch in batches:
-            langs, sources, texts = batch.column("lang").to_pylist(), batch.column("source").to_pylist(), batch.column("text")
-            for row, group in enumerate(zip(langs, sources)):
-                n, seen = held.setdefault(group, (Counter(), Counter()))
+            texts = batch.column("text")
+            for row, (gid, name) in enumerate(zip(batch.column("gid").to_pylist(), batch.column("lang").to_pylist())):
+                _, n, seen = held.setdefault(gid, (name, Counter(), Counter()))
                 before = len(n)
                 own: set[bytes] = set()
                 for terms in slices(texts[row].as_py().translate(FOLD)):
@@ -68,31 +103,41 @@ def term_rows(docs: DataFrame, text: str = "text", lang: str = "lang", source: s
                 seen.update(own)
                 size += len(n) - before
                 if size > HELD_TERMS:
-                    yield from (batch_of(g, *c) for g, c in held.items())
+                    yield from flush(held)
                     held, size = {}, 0
-        yield from (batch_of(g, *c) for g, c in held.items())
+        yield from flush(held)
+
+    found = rows.mapInArrow(run, "gid long, key long, n long, docs long, label binary")
+    return found.withColumn("label", F.col("label").cast("string"))
 
-    found = rows.mapInArrow(run, "lang string, source string, term binary, n long, docs long")
-    return found.withColumn("term", F.col("term").cast("string"))
 
+def few_broadcast(keys: DataFrame) -> DataFrame:
+    """``keys``, staged, broadcast while there are at most BROADCAST_KEYS of them."""
+    return F.broadcast(keys) if keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else keys
 
-def split_collisions(found: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """``found`` (with ``digest``) with ``split``, and (digest, split, term) for every term.
 
-    The smallest and the largest term of a digest tell whether it stands for several: then, and only
-    then, ``split`` carries the term itself beside the digest; else it is empty.
+def split_collisions(found: DataFrame, recount: Callable[[], DataFrame], scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(gid, key, n, docs) of every part, and (key, label), each key standing for one label.
+
+    The smallest and the largest label of a key tell whether it stands for several. Only then ``recount``
+    reads the texts again, and the labels of such a key get keys of their own, with lowest bit 1: the
+    first seed of a second digest under which they differ is taken.
     """
-    ends = scratch.stage(found.where("term IS NOT NULL").groupBy("digest").agg(F.min("term").alias("term"), F.max("term").alias("last")), "ends")
-    shared = ends.where("term <> last").select("digest")
-    number = shared.count()
-    if not number:
-        return found.withColumn("split", F.lit("")), ends.select("digest", F.lit("").alias("split"), "term")
-    shared = shared.withColumn("_shared", F.lit(True))
-    marked = found.join(F.broadcast(shared) if number <= BROADCAST_COLLISIONS else shared, "digest", "left")
-    marked = marked.withColumn("split", F.when(F.col("_shared"), F.col("term")).otherwise("")).drop("_shared")
-    single = ends.where("term = last").select("digest", F.lit("").alias("split"), "term")
-    several = marked.where("split <> ''").select("digest", "split", F.col("split").alias("term")).distinct()
-    return marked, single.unionByName(several)
+    counts = found.where("gid IS NOT NULL").select("gid", "key", "n", "docs")
+    ends = scratch.stage(found.where("gid IS NULL").groupBy("key").agg(F.min("label").alias("label"), F.max("label").alias("last")), "ends")
+    shared = scratch.stage(ends.where("label <> last").select("key"), "shared")
+    if shared.isEmpty():
+        return counts, ends.select("key", "label")
+    several = scratch.stage(found.where("gid IS NULL").join(few_broadcast(shared), "key", "left_semi").select("key", "label").distinct(), "several")
+    wanted = several.count()
+    for seed in itertools.count():
+        own = several.withColumn("own", F.xxhash64(F.lit(seed), "label").bitwiseOR(F.lit(1).cast("long")))
+        if own.select("own").distinct().count() == wanted:
+            break
+    again = recount().join(few_broadcast(own), ["key", "label"]).select("gid", F.col("own").alias("key"), "n", "docs")
+    single = counts.join(few_broadcast(shared), "key", "left_anti")
+    names = ends.where("label = last").select("key", "label").unionByName(own.select(F.col("own").alias("key"), "label"))
+    return single.unionByName(again), names
 
 
 def share(count: Column, total: Column, terms: Column, scale: int, smoothing: int) -> Column:
@@ -106,21 +151,21 @@ def gap(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def exact_sum(column: Column) -> Column:
-    return F.sum(column.cast("decimal(28,0)"))
+def times(count: Column, value: Column) -> Column:
+    return (count.cast("decimal(18,0)") * value.cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
 def source_divergence(
     docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", min_docs: int = MIN_DOCS, ranks: int = RANKS,
-    scale: int = SCALE, smoothing: int = SMOOTHING, digest: Callable[[Column], Column] = F.xxhash64,
+    scale: int = SCALE, smoothing: int = SMOOTHING, digest: Callable[[bytes], int] = xxhash.xxh64_intdigest,
 ) -> DataFrame:
     """Per group (lang, source): its distance to each other source of the language (part ``pair``), and the
     terms it uses more than its language does, the strongest first, to rank ``ranks`` (part ``term``).
 
-    Counting, the choice of terms and all sums see (lang, source, digest) only; the texts lie in a table
-    beside them and are joined for ties at the last rank and for the result. Two terms of one digest
-    are found by the digest's smallest and largest term and kept apart (``split_collisions``), so the
-    result does not depend on ``digest``. All arithmetic is on integers.
+    Counts, the choice of terms and all sums shuffle names of 64 bits for groups and for terms of a
+    language; labels lie in a table beside them and are joined for ties at the last rank and for the
+    result. Labels of one name are found by its smallest and largest label and get names of their own
+    (``split_collisions``), so the result does not depend on ``digest``. All arithmetic is on integers.
 
     Pairs: terms that only one of two sources has meet the other's share of an unused term, so their sum
     comes from the source's histogram of counts; only terms that both have are joined. Null text, lang
@@ -128,74 +173,71 @@ def source_divergence(
     term); each repeated row counts; extra columns are not read; no rows in, none out. Ties: item in byte order.
     """
     scratch = Scratch(docs.sparkSession)
-    found = term_rows(docs, text, lang, source)
-    found = scratch.stage(found.withColumn("digest", F.when(F.col("term").isNotNull(), digest(F.col("term")))), "found")
-    marked, texts = split_collisions(found, scratch)
-    groups = found.select("lang", "source").distinct()
-    counted = marked.where("term IS NOT NULL").groupBy("lang", "source", "digest", "split").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    counted = scratch.stage(counted, "counted")
-    term = ["lang", "digest", "split"]
-    kept = counted.groupBy(*term).agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n")).where(F.col("docs") >= min_docs).drop("docs")
-    used = scratch.stage(counted.drop("docs").join(kept, term), "used")
-
-    # One row per group: N of the group and of its language, V, and the shares of a term that does not occur.
-    zero = F.lit(0).cast("long")
-    per_lang = scratch.stage(kept.groupBy("lang").agg(F.sum("lang_n").alias("lang_total"), F.count("*").alias("terms")), "languages")
-    per_group = used.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
-    totals = groups.join(per_group, ["lang", "source"], "left").join(per_lang, "lang", "left").select(
-        "lang", "source", *[F.coalesce(c, zero).alias(c) for c in ("total", "own", "lang_total", "terms")]
+    groups, gid = named_groups(docs, lang, source, scratch)
+    found = scratch.stage(term_rows(docs, gid, text, lang, digest), "found")
+    counts, labels = split_collisions(found, lambda: term_rows(docs, gid, text, lang, digest, labelled=True), scratch)
+    # One shuffle by term brings all groups of a term together; a part of a task has one row of it per group.
+    of_term = Window.partitionBy("key")
+    used = counts.repartition("key").groupBy("key", "gid").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    used = used.select(
+        "key", "gid", "n", F.sum("docs").over(of_term).alias("docs"), F.sum("n").over(of_term).alias("lang_n"), (F.min("gid").over(of_term) == F.col("gid")).alias("first")
     )
-    p_of = lambda n, total: share(n, total, F.col("terms"), scale, smoothing)
-    totals = scratch.stage(totals.withColumn("unused", F.when(F.col("terms") > 0, p_of(zero, F.col("total")))), "totals")
-    pairs = _pairs(used, totals, p_of, scratch)
-    terms = _terms(used, totals, texts, p_of, ranks, scratch)
-    return pairs.unionByName(terms)
+    used = scratch.stage(used.where(F.col("docs") >= min_docs).drop("docs"), "used")
+
+    # One row per group: N of the group and of its language, V, and the share of a term that does not occur.
+    first = F.col("first").cast("long")
+    per_group = used.groupBy("gid").agg(F.sum("n").alias("total"), F.count("*").alias("own"), F.sum(first * F.col("lang_n")).alias("lang_total"), F.sum(first).alias("terms"))
+    totals = groups.join(per_group, "gid", "left").na.fill(0, ["total", "own", "lang_total", "terms"])
+    of_lang = totals.groupBy("lang").agg(F.sum("lang_total").alias("lang_total"), F.sum("terms").alias("terms"))
+    totals = totals.drop("lang_total", "terms").join(of_lang, "lang")
+
+    def p_of(n: Column, total: Column) -> Column:
+        return share(n, total, F.col("terms"), scale, smoothing)
+
+    unused = F.when(F.col("terms") > 0, p_of(F.lit(0).cast("long"), F.col("total")))
+    totals = scratch.stage(totals.withColumn("unused", unused), "totals")
+    shares = used.join(totals, "gid").select(
+        "key", "gid", "n", p_of(F.col("n"), F.col("total")).alias("p"), "unused", p_of(F.col("lang_n"), F.col("lang_total")).alias("q")
+    )
+    parts = _pairs(shares, totals).unionByName(_terms(shares, labels, ranks, scratch))
+    return parts.join(groups, "gid").select("lang", "source", "part", "item", "value", "rank")
 
 
-def _pairs(used: DataFrame, totals: DataFrame, p_of: Callable, scratch: Scratch) -> DataFrame:
-    one = totals.select("lang", F.col("source").alias("a"), F.col("total").alias("total_a"), F.col("own").alias("own_a"), F.col("unused").alias("unused_a"), "terms")
-    two = totals.select("lang", F.col("source").alias("b"), F.col("own").alias("own_b"), F.col("unused").alias("unused_b"), F.col("total").alias("total_b"))
+def _pairs(shares: DataFrame, totals: DataFrame) -> DataFrame:
+    """Sums of the gap over all kept terms, per ordered pair of sources of a language."""
+    one = totals.select("lang", F.col("gid").alias("a"), F.col("own").alias("own_a"), F.col("unused").alias("unused_a"), "terms")
+    two = totals.select("lang", F.col("gid").alias("b"), F.col("source").alias("item"), F.col("own").alias("own_b"), F.col("unused").alias("unused_b"))
     both = one.join(two, "lang").where("a <> b")
-    # Terms of a against the share of an unused term in b, and the other way round, by the histogram of counts.
-    bars = scratch.stage(used.groupBy("lang", F.col("source").alias("x"), "n").agg(F.count("*").alias("bar")), "bars")
-    first = both.join(bars.withColumnRenamed("x", "a"), ["lang", "a"]).select(
-        "lang", "a", "b", (F.col("bar").cast("decimal(20,0)") * gap(p_of(F.col("n"), F.col("total_a")), F.col("unused_b"))).alias("value")
-    )
-    second = both.join(bars.withColumnRenamed("x", "b"), ["lang", "b"]).select(
-        "lang", "a", "b", (F.col("bar").cast("decimal(20,0)") * gap(F.col("unused_a"), p_of(F.col("n"), F.col("total_b")))).alias("value")
-    )
-    neither = both.where("terms > 0").select(
-        "lang", "a", "b", ((F.col("terms") - F.col("own_a") - F.col("own_b")).cast("decimal(20,0)") * gap(F.col("unused_a"), F.col("unused_b"))).alias("value")
-    )
-    # Terms that both have: their true gap in place of what the sums above hold for them, one row per pair of counts.
-    left = used.select("lang", "digest", "split", F.col("source").alias("a"), F.col("n").alias("n_a"))
-    right = used.select("lang", "digest", "split", F.col("source").alias("b"), F.col("n").alias("n_b"))
-    shared = left.join(right, ["lang", "digest", "split"]).where("a < b").groupBy("lang", "a", "b", "n_a", "n_b").agg(F.count("*").alias("bar"))
-    shared = scratch.stage(shared, "shared")
-    turned = shared.unionByName(shared.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), F.col("n_b").alias("n_a"), F.col("n_a").alias("n_b"), "bar"))
-    p, q = p_of(F.col("n_a"), F.col("total_a")), p_of(F.col("n_b"), F.col("total_b"))
-    true_gap = gap(p, q) - gap(p, F.col("unused_b")) - gap(F.col("unused_a"), q) + gap(F.col("unused_a"), F.col("unused_b"))
-    mended = turned.join(both, ["lang", "a", "b"]).select("lang", "a", "b", (F.col("bar").cast("decimal(20,0)") * true_gap.cast("decimal(20,0)")).alias("value"))
-    every = both.select("lang", "a", "b", F.lit(0).cast("decimal(38,0)").alias("value"))
-    for part in (first, second, neither, mended):
-        every = every.unionByName(part.withColumn("value", F.col("value").cast("decimal(38,0)")))
-    sums = every.groupBy("lang", "a", "b").agg(exact_sum(F.col("value")).cast("long").alias("value"))
-    order = Window.partitionBy("lang", "a").orderBy(F.col("value").desc(), "b")
-    return sums.select("lang", F.col("a").alias("source"), F.lit("pair").alias("part"), F.col("b").alias("item"), "value", F.row_number().over(order).alias("rank"))
-
-
-def _terms(used: DataFrame, totals: DataFrame, texts: DataFrame, p_of: Callable, ranks: int, scratch: Scratch) -> DataFrame:
-    p, q = p_of(F.col("n"), F.col("total")), p_of(F.col("lang_n"), F.col("lang_total"))
-    # The group's row is met by its terms: totals has one row per group, and a hot group is split by the join.
-    risen = used.join(totals, ["lang", "source"]).where(p > q).select("lang", "source", "digest", "split", gap(p, q).alias("value"))
-    risen = scratch.stage(risen, "risen")
-    place = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.col("value").desc()))
-    least = risen.select("lang", "source", "value").withColumn("place", place).where(F.col("place") <= ranks).groupBy("lang", "source").agg(F.min("value").alias("least"))
+    bars = shares.groupBy("gid", "p").agg(F.count("*").alias("bar"))
+    # Terms of a against the share of an unused term in b, and the other way round; then those that neither has.
+    left = both.join(bars.withColumnRenamed("gid", "a"), "a").select("a", "b", times(F.col("bar"), gap(F.col("p"), F.col("unused_b"))).alias("value"))
+    right = both.join(bars.withColumnRenamed("gid", "b"), "b").select("a", "b", times(F.col("bar"), gap(F.col("unused_a"), F.col("p"))).alias("value"))
+    rest = both.select("a", "b", F.coalesce(times(F.col("terms") - F.col("own_a") - F.col("own_b"), gap(F.col("unused_a"), F.col("unused_b"))), F.lit(0)).cast("decimal(38,0)").alias("value"))
+    # Terms that both have: their true gap in place of what the sums above hold for them.
+    l, r = shares.select("key", "gid", "p", "unused").alias("l"), shares.select("key", "gid", "p", "unused").alias("r")
+    p, q, p0, q0 = F.col("l.p"), F.col("r.p"), F.col("l.unused"), F.col("r.unused")
+    mend = gap(p, q) - gap(p, q0) - gap(p0, q) + gap(p0, q0)
+    back = gap(q, p) - gap(q, p0) - gap(q0, p) + gap(q0, p0)
+    met = l.join(r, F.col("l.key") == F.col("r.key")).where(F.col("l.gid") < F.col("r.gid"))
+    met = met.groupBy(F.col("l.gid").alias("x"), F.col("r.gid").alias("y")).agg(*[F.sum(c.cast("decimal(20,0)")).cast("decimal(38,0)").alias(n) for c, n in ((mend, "mend"), (back, "back"))])
+    met = met.select(F.inline(F.array(F.struct(F.col("x").alias("a"), F.col("y").alias("b"), F.col("mend").alias("value")), F.struct(F.col("y").alias("a"), F.col("x").alias("b"), F.col("back").alias("value")))))
+    sums = left.unionByName(right).unionByName(rest).unionByName(met).groupBy("a", "b").agg(F.sum(F.col("value").cast("decimal(28,0)")).cast("long").alias("value"))
+    named = sums.join(two.select("b", "item"), "b")
+    order = Window.partitionBy("a").orderBy(F.col("value").desc(), "item")
+    return named.select(F.col("a").alias("gid"), F.lit("pair").alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
+
+
+def _terms(shares: DataFrame, labels: DataFrame, ranks: int, scratch: Scratch) -> DataFrame:
+    """The terms a group uses more than its language, to the last rank; texts are joined for them alone."""
+    risen = scratch.stage(shares.where("p > q").select("gid", "key", gap(F.col("p"), F.col("q")).alias("value")), "risen")
+    place = F.row_number().over(Window.partitionBy("gid").orderBy(F.col("value").desc()))
+    least = risen.select("gid", "value").withColumn("place", place).where(F.col("place") <= ranks).groupBy("gid").agg(F.min("value").alias("least"))
     # All terms of the least value that still has a place are candidates: their texts decide who takes it.
-    named = risen.join(least, ["lang", "source"]).where("value >= least").join(texts, ["digest", "split"])
-    order = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "term")
+    near = scratch.stage(risen.join(least, "gid").where("value >= least").drop("least"), "near")
+    named = labels.join(few_broadcast(near), "key").withColumn("item", F.substring_index("label", BETWEEN, -1))
+    order = Window.partitionBy("gid").orderBy(F.col("value").desc(), "item")
     last = named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= ranks)
-    return last.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank")
+    return last.select("gid", F.lit("term").alias("part"), "item", "value", "rank")
 
 
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
