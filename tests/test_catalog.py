@@ -3,6 +3,7 @@
 import datetime as dt
 import importlib.util
 import pathlib
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ import __spark_entry__ as entry
 from transit_spark.operators import cleaning as cl
 from transit_spark.operators import context as cx
 from transit_spark.operators import series as sr
+from transit_spark.plans import catalog
 from transit_spark.plans.catalog import ORACLES
 from transit_spark.plans.fixtures import Fixtures
 
@@ -40,6 +42,14 @@ def test_entry_and_names(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_entry_without_the_optional_subpackage(monkeypatch):
+    """With its folder gone, the library's own queries stay and nothing of the subpackage is asked for."""
+    for name in [m for m in sys.modules if m.startswith("transit_spark.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "transit_spark.llm", None)
+    assert set(entry.queries()) == set(catalog.QUERIES) and set(entry.oracle_sql()) == set(catalog.ORACLES)
+
+
 def plan(df):
     return df._jdf.queryExecution().toString()
 

@@ -139,9 +139,7 @@ def test_scaler_errors(spark):
     assert nm.load_params(spark, "/tmp/run-nothing-here") is None
 
 
-@pytest.mark.parametrize("inline", [1000, 1])
-def test_label_codes_unseen_and_missing(spark, monkeypatch, inline):
-    monkeypatch.setattr(nm, "MAX_INLINE_CLASSES", inline)  # 1: the join is used
+def test_label_codes_unseen_and_missing(spark):
     fitted = nm.fit_labels(spark.createDataFrame([("b",), ("a",), (None,), ("z",)], "c string"), ["c"])
     df = spark.createDataFrame([("z", 1), ("b", 2), (None, 3), ("new", 4)], "c string, i int")
     got = {r["i"]: r["c"] for r in nm.encode(df, fitted).collect()}
