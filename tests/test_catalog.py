@@ -100,20 +100,3 @@ def test_hot_event_interval_does_not_multiply_rows(spark):
     rows = spark.range(5_000).select("id", F.lit(start + dt.timedelta(hours=5)).cast("timestamp_ntz").alias("time"))
     got = cx.join_active_events(rows, events).agg(F.count("*").alias("n"), F.min("nearby_events").alias("lo"), F.max("event_impact_factor").alias("hi")).first()
     assert tuple(got) == (5_000, 20_000, 19.999)
-
-
-def test_latest_scorer_over_batches(spark, tmp_path, small_dir):
-    """State kept over several batches equals the batch result over all rows."""
-    from transit_spark.operators.forecast import fit_forecaster, predict_latest, windows
-    from transit_spark.streaming.jobs import LatestScorer
-
-    demand = Fixtures(spark, small_dir).demand.select("route", "stop", "time", "seq", "passengers").cache()
-    model = fit_forecaster(windows(demand, ["passengers"], 3, 1, 1))
-    seen = {}
-    scorer = LatestScorer(model, ["passengers"], str(tmp_path / "state"), lambda df, b: seen.__setitem__(b, df.collect()), length=3, order=("time", "seq"))
-    scorer(demand.where(F.col("time") < F.lit("2024-01-12").cast("timestamp_ntz")), 0)
-    scorer(demand.where(F.col("time") >= F.lit("2024-01-12").cast("timestamp_ntz")), 1)
-    scorer(demand.where(F.col("time") >= F.lit("2024-01-12").cast("timestamp_ntz")), 1)  # a repeated batch
-    want, _ = predict_latest(model, demand, ["passengers"], 3, order=("time", "seq"))
-    assert sorted(map(tuple, seen[1])) == sorted(map(tuple, want.collect()))
-    demand.unpersist()

@@ -44,21 +44,6 @@ def test_nan_is_missing_on_the_stream_too(spark):
     assert cl.drop_outside(rows, "latitude", 1.0, 90.0).count() == 2
 
 
-def test_lost_stream_state_is_an_error(spark, tmp_path):
-    scorer = jobs.LatestScorer(None, [], str(tmp_path / "state"), None)
-    assert scorer._previous(spark, 0) is None
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        scorer._previous(spark, 3).count()
-
-
-def test_old_stream_state_is_removed(spark, tmp_path):
-    scorer = jobs.LatestScorer(None, [], str(tmp_path), None)
-    spark.range(1).write.parquet(str(tmp_path / "batch=4"))
-    scorer._forget(spark, 4)
-    scorer._forget(spark, -1)
-    assert not (tmp_path / "batch=4").exists()
-
-
 @pytest.mark.parametrize("latitude", [0.0, 21.0, 60.0, -75.0, 89.99])
 def test_every_stop_within_reach_is_found(spark, latitude):
     when = dt.datetime(2024, 1, 1, 12)

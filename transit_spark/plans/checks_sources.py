@@ -11,6 +11,7 @@ from transit_spark.functions.temporal import plus_minutes
 from transit_spark.operators import forecast as fc
 from transit_spark.plans import flows
 from transit_spark.plans.checks_features import LABELS, r6
+from transit_spark.plans.checks_planning import GLOBAL_LINE
 from transit_spark.plans.registry import check, rounded, significant, significant_sql
 from transit_spark.session import stage
 from transit_spark.sources import documents as dc
@@ -305,20 +306,53 @@ def m4(fx):
     return rounded(st.run_once(enriched, fx.fresh_dir()).select("seq", "route", "stop", "stop_order", "latitude"))
 
 
+VALID_SQL = """SELECT seq, route, stop, time, CASE WHEN passengers < 0 THEN 0 ELSE passengers END AS passengers FROM v_demand_raw
+    WHERE coalesce(boarding_count <= 200, true) AND coalesce(alighting_count <= 200, true) AND passengers <= 200 AND boarding_count IS NOT NULL AND alighting_count IS NOT NULL"""
+
+
+def _latest(fx, model, length: int):
+    stream = st.stream_clean(fx.stream("demand_raw")).na.drop()
+    out = st.run_once(st.stream_latest(stream, model, ["passengers"], length), fx.fresh_dir())
+    return out.withColumn("time", F.col("time").cast("timestamp_ntz"))
+
+
 @check("M5_stream_latest")
 def m5(fx):
-    """Scores of the last full window per stop, kept over the batches of a stream."""
+    """Scores of the last full window per stop, its rows kept in the state store."""
     w = stage(fc.windows(fx.demand, ["passengers"], 12, 2, 1, ["route", "stop"]))
-    model = fc.fit_forecaster(w)
-    base = fx.fresh_dir()
-    scorer = st.LatestScorer(
-        model, ["passengers"], f"{base}/state",
-        lambda scored, batch: scored.withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{base}/scores/batch={batch}"),
-    )
-    stream = st.stream_clean(fx.stream("demand_raw")).na.drop()
-    query = stream.writeStream.foreachBatch(scorer).option("checkpointLocation", f"{base}/log").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return rounded(fx.spark.read.parquet(f"{base}/scores"), 4)
+    return rounded(_latest(fx, fc.fit_forecaster(w), 12), 4)
+
+
+@check(
+    "M5_stream_latest_line",
+    f"""SELECT route, stop, time, round(a + b * passengers, 4) AS prediction FROM
+      (SELECT * FROM ({VALID_SQL}) QUALIFY row_number() OVER (PARTITION BY route, stop ORDER BY time DESC, seq DESC) = 1), ({GLOBAL_LINE})""",
+)
+def m5b(fx):
+    """The line's score of the last value of each stop, as the stream leaves it."""
+    w = stage(fc.windows(fx.demand, ["passengers"], 1, 1, 1, ["route", "stop"]))
+    return rounded(_latest(fx, fc.fit_forecaster(w), 1), 4)
+
+
+@check(
+    "M5_stream_windows",
+    f"""SELECT route, stop, max(time) AS time, CAST(sum(passengers) AS DOUBLE) AS window_sum, CAST(arg_min(passengers, (time, seq)) AS DOUBLE) AS oldest FROM (
+      SELECT * FROM ({VALID_SQL}) QUALIFY row_number() OVER (PARTITION BY route, stop ORDER BY time DESC, seq DESC) <= 12) GROUP BY ALL HAVING count(*) = 12""",
+)
+def m5c(fx):
+    """The last twelve rows of each stop, out of the state store."""
+    stream = st.event_time(st.stream_clean(fx.stream("demand_raw")).na.drop()).withWatermark("time", "30 minutes")
+    kept = st.run_once(st.keep_latest(stream, ["passengers"], 12), fx.fresh_dir())
+    flat = F.flatten("x")
+    total = F.aggregate(flat, F.lit(0.0), lambda a, v: a + v)
+    return kept.select("route", "stop", F.col("time").cast("timestamp_ntz").alias("time"), total.alias("window_sum"), F.get(flat, F.lit(0)).alias("oldest"))
+
+
+def _forecasts_and_actuals(fx):
+    raw = fx.stream("demand_raw")
+    # One series per row, so that every forecast meets exactly its own actual value.
+    made = raw.select("route", "stop", "seq", "time", plus_minutes("time", -30).alias("created_at"), F.col("boarding_count").cast("double").alias("predicted"))
+    return made, fx.stream("demand_raw").select("route", "stop", "seq", "time", "passengers").where(F.col("passengers").isNotNull())
 
 
 @check(
@@ -327,10 +361,7 @@ def m5(fx):
     FROM v_demand_raw WHERE passengers IS NOT NULL""",
 )
 def m6(fx):
-    raw = fx.stream("demand_raw")
-    # One series per row, so that every forecast meets exactly its own actual value.
-    made = raw.select("route", "stop", "seq", "time", plus_minutes("time", -30).alias("created_at"), F.col("boarding_count").cast("double").alias("predicted"))
-    seen = fx.stream("demand_raw").select("route", "stop", "seq", "time", "passengers").where(F.col("passengers").isNotNull())
+    made, seen = _forecasts_and_actuals(fx)
     out = st.run_once(st.stream_feedback(made, seen, keys=("route", "stop", "seq")), fx.fresh_dir())
     return out.select("route", "stop", F.col("time").cast("timestamp_ntz").alias("time"), "seq", "actual", "predicted", "error")
 
@@ -343,6 +374,22 @@ def m6b(fx):
     return st.feedback_summary(error_frame(pairs)).select("route", "n", F.round("mae", 6).alias("mae"), significant("mape"), "retrain")
 
 
+DRIFT_SQL = """SELECT route, window_start, n, round(mae, 4) AS mae, round(total - least(0, min(total) OVER g), 3) AS drift, total - least(0, min(total) OVER g) > 500 AS retrain FROM (
+      SELECT *, sum(mae - 90) OVER g AS total FROM (
+        SELECT route, date_trunc('day', time) AS window_start, count(*) AS n, avg(abs(passengers - boarding_count))::DOUBLE AS mae FROM v_demand_raw
+        WHERE passengers IS NOT NULL AND date_trunc('day', time) + INTERVAL 1 DAY <= (SELECT max(time) - INTERVAL 1 HOUR FROM v_demand_raw WHERE {upto}) GROUP BY ALL)
+      WINDOW g AS (PARTITION BY route ORDER BY window_start)) WINDOW g AS (PARTITION BY route ORDER BY window_start)"""
+
+
+@check("M6_stream_drift", DRIFT_SQL.format(upto="passengers IS NOT NULL"))
+def m6c(fx):
+    """Daily error of forecasts that met their actual values on the stream, and its cumulative excess."""
+    made, seen = _forecasts_and_actuals(fx)
+    out = st.watch_forecasts(made, seen, fx.fresh_dir(), 85.0, 500.0, 5.0, "1 day", series=("route", "stop", "seq"))
+    out = out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return out.select("route", "window_start", "n", F.round("mae", 4).alias("mae"), F.round("drift", 3).alias("drift"), "retrain")
+
+
 @check(
     "M7_freshness",
     """SELECT count(*) AS n, round(avg(s),6) AS mean_lag, max(s) AS max_lag, round(quantile_cont(s, 0.95),6) AS p95_lag,

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from transit_spark import config as C
 from transit_spark.functions.temporal import to_time
 from transit_spark.operators.cleaning import clamp_negative, clip, drop_above, drop_outside, in_bounds, nan_to_null
 from transit_spark.operators.evaluation import error_frame
-from transit_spark.operators.forecast import predict_latest
-from transit_spark.operators.series import tail
+from transit_spark.operators.forecast import predict
 from transit_spark.operators.summary import exact_quantiles
 
+#: Rows of all series that a task holds while it cuts them to the last of each.
+HELD_ROWS = 200_000
+
 
 def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int = 1000) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).format(fmt).load(path)
@@ -58,40 +64,64 @@ def stream_enrich(sdf: DataFrame, static: DataFrame, on=("route", "stop")) -> Da
     return sdf.join(static, list(on), "left")
 
 
-class LatestScorer:
-    """``foreachBatch`` target: keeps the last ``length`` rows per series and scores full series.
+def keep_latest(sdf: DataFrame, cols, length: int = 12, keys=("route", "stop"), order=("time", "seq"), expire: str = "7 days") -> DataFrame:
+    """(keys, time, x): the last ``length`` rows of each series a batch touches, as soon as there are so many.
 
-    Each batch is first cut to its own last rows per series (limited on the map side), so the state
-    never sees more than two times ``length`` rows of a series. The state is one parquet folder per
-    batch under ``state_path``; a repeated batch starts from its predecessor again, so retries are
-    safe.
+    ``sdf`` is a stream whose first order column carries a watermark; further order columns are whole
+    numbers. The state store holds at most ``length`` rows per series, and only the series a batch
+    touches are read and written. A series without rows for ``expire`` (by the watermark) is forgotten. Each task first
+    cuts its rows to the last ``length`` per series, so a busy series sends few of them to its state.
+    Rows may come late: they are placed by their order.
     """
+    keys, order, cols = list(keys), list(order), list(cols)
+    time, *ties = order
+    marks = [f"_o{i}" for i in range(len(order))]
+    packed = sdf.select(
+        *keys, time, F.unix_micros(time).alias(marks[0]), *[F.col(c).cast("long").alias(m) for c, m in zip(ties, marks[1:])],
+        F.array(*[F.col(c).cast("double") for c in cols]).alias("_x"),
+    )
 
-    def __init__(self, model, cols, state_path: str, sink, length: int = 12, keys=("route", "stop"), order=("time", "seq")):
-        self.model, self.cols, self.state_path, self.sink = model, list(cols), state_path, sink
-        self.length, self.keys, self.order = length, list(keys), list(order)
-
-    def _previous(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """The state the batch before left; if that is missing, history is lost and the query must stop."""
-        return None if batch_id == 0 else spark.read.parquet(f"{self.state_path}/batch={batch_id - 1}")
-
-    def _forget(self, spark: SparkSession, batch_id: int) -> None:
-        """Removes a state that no retry can ask for any more."""
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.state_path}/batch={batch_id}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        needed = list(dict.fromkeys([*self.keys, *self.order, *self.cols]))
-        fresh = tail(batch.select(*needed), self.keys, self.length, self.order)
-        before = self._previous(spark, batch_id)
-        state = fresh if before is None else tail(before.unionByName(fresh), self.keys, self.length, self.order)
-        target = f"{self.state_path}/batch={batch_id}"
-        state.write.mode("overwrite").parquet(target)
-        touched = spark.read.parquet(target).join(fresh.select(*self.keys).distinct(), self.keys, "left_semi")
-        scored, _ = predict_latest(self.model, touched, self.cols, self.length, self.keys, self.order)
-        self.sink(scored, batch_id)
-        self._forget(spark, batch_id - 2)
+    def last_rows(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.sort_values(marks, kind="stable").groupby(keys, dropna=False, sort=False).tail(length)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            held = last_rows(batch if held is None else pd.concat([held, batch], ignore_index=True))
+            if len(held) > HELD_ROWS:
+                yield held
+                held = None
+        if held is not None:
+            yield held
+
+    waits = pd.Timedelta(expire) // pd.Timedelta(milliseconds=1)
+
+    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = list(zip(*state.get)) if state.exists else []
+        for batch in batches:
+            fresh = zip(*[batch[m].tolist() for m in marks], [list(map(float, x)) for x in batch["_x"]])
+            rows = sorted([*rows, *fresh], key=lambda r: r[:-1])[-length:]
+        state.update(tuple(list(column) for column in zip(*rows)))
+        newest = rows[-1][0] // 1000
+        state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + waits)
+        if len(rows) == length:
+            yield pd.DataFrame([(*key, pd.Timestamp(rows[-1][0], unit="us"), [r[-1] for r in rows])], columns=[*keys, time, "x"])
+
+    types = {f.name: f.dataType.simpleString() for f in packed.schema.fields}
+    out = ", ".join(f"`{c}` {types[c]}" for c in [*keys, time]) + ", x array<array<double>>"
+    kept = ", ".join(f"{m} array<bigint>" for m in marks) + ", x array<array<double>>"
+    return packed.mapInPandas(cut, packed.schema).groupBy(*keys).applyInPandasWithState(update, out, kept, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def stream_latest(
+    sdf: DataFrame, model, cols, length: int = 12, keys=("route", "stop"), order=("time", "seq"), delay: str = "30 minutes", expire: str = "7 days",
+) -> DataFrame:
+    """Per batch and touched series the score of its last full window (``keep_latest``)."""
+    timed = event_time(sdf, order[0]).withWatermark(order[0], delay)
+    return predict(model, keep_latest(timed, cols, length, keys, order, expire)).drop("x")
 
 
 def stream_feedback(predictions: DataFrame, actuals: DataFrame, delay: str = "1 hour", within: str = "1 hour", keys=("route", "stop")) -> DataFrame:
@@ -118,6 +148,71 @@ def feedback_summary(errors: DataFrame, target_mape: float = C.ForecastDefaults(
     ).withColumn("retrain", F.col("mape") > target_mape)
 
 
+def error_windows(errors: DataFrame, size: str = "1 hour", keys=("route",)) -> DataFrame:
+    """(keys, window_start, window_end, n, mae, mape) of an error frame, batch or stream.
+
+    On a stream (such as ``stream_feedback``) a window is returned once the watermark has passed it.
+    Errors are summed before the shuffle; pairs with a missing side count nowhere.
+    """
+    known = errors.where(F.col("error").isNotNull())
+    return (
+        known.groupBy(F.window("time", size).alias("w"), *keys)
+        .agg(F.count(F.lit(1)).alias("n"), F.avg("abs_error").alias("mae"), F.avg("pct_error").alias("mape"))
+        .select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "mae", "mape")
+    )
+
+
+def drift(windows: DataFrame, target: float, limit: float, slack: float = 0.0, keys=("route",), measure: str = "mae") -> DataFrame:
+    """``windows`` with ``drift``, the cumulative sum S = max(0, S + measure - target - slack), and ``retrain``: S > ``limit``.
+
+    A single bad window does not raise the flag, a lasting small excess does. Batch form: the sum is
+    its running total less the least total so far, over the windows of a group, of which there is one per span of time.
+    """
+    group = Window.partitionBy(*keys).orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
+    total = windows.withColumn("_total", F.sum(F.col(measure) - (target + slack)).over(group))
+    total = total.withColumn("drift", F.col("_total") - F.least(F.lit(0.0), F.min("_total").over(group)))
+    return total.drop("_total").withColumn("retrain", F.col("drift") > limit)
+
+
+def stream_drift(windows: DataFrame, target: float, limit: float, slack: float = 0.0, keys=("route",), measure: str = "mae") -> DataFrame:
+    """``drift`` on a stream of closed windows; the state of a group is its sum so far.
+
+    Windows of a group must come in the order of time, batch by batch: so they do from ``error_windows``,
+    which closes them along the watermark. Within a batch they are sorted here.
+    """
+    keys = list(keys)
+    columns = windows.columns
+
+    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        total = state.get[0] if state.exists else 0.0
+        rows = pd.concat(list(batches), ignore_index=True).sort_values("window_start")
+        sums = []
+        for value in rows[measure]:
+            total = max(0.0, total + value - target - slack)
+            sums.append(total)
+        state.update((total,))
+        yield rows[columns].assign(drift=sums, retrain=[s > limit for s in sums])
+
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in windows.schema.fields) + ", drift double, retrain boolean"
+    return windows.groupBy(*keys).applyInPandasWithState(update, out, "total double", "append", GroupStateTimeout.NoTimeout)
+
+
+def watch_forecasts(
+    predictions: DataFrame, actuals: DataFrame, path: str, target: float, limit: float, slack: float = 0.0, size: str = "1 hour",
+    delay: str = "1 hour", within: str = "1 hour", series=("route", "stop"), keys=("route",), measure: str = "mae",
+) -> DataFrame:
+    """Forecasts meet their actual values, errors are summed per window, sums raise the retrain flag.
+
+    Two queries in a row, since a state per group may not follow an aggregate in one: the first joins both
+    streams and appends closed windows below ``path``, the second reads them as a stream. Both go on from their logs
+    when called again; each processes what is there.
+    """
+    errors = stream_feedback(predictions, actuals, delay, within, series)
+    windows = run_once(error_windows(errors, size, keys), f"{path}/windows")
+    closed = predictions.sparkSession.readStream.schema(windows.schema).parquet(f"{path}/windows/rows")
+    return run_once(stream_drift(closed, target, limit, slack, keys, measure), f"{path}/drift")
+
+
 def freshness(df: DataFrame, event: str, stored: str, as_of: str) -> DataFrame:
     """Seconds from event to store (mean, p95, max) and age in seconds of the newest event."""
     from transit_spark.functions.temporal import epoch_micros
