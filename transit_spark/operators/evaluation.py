@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transit_spark.operators.series import running_total
+from transit_spark.operators.series import RANGE, ranged, running_total
 from transit_spark.operators.summary import attach, quantile_columns
 
 EPS = 1e-10
@@ -109,22 +109,21 @@ def inverse_normal(p: Column) -> Column:
     )
 
 
-def qq_points(df: DataFrame, col: str, n: int | None = None, cells: int = 1000) -> DataFrame:
-    """(position, value, theoretical): ordered values against normal quantiles.
+def qq_points(df: DataFrame, col: str, n: int | None = None) -> DataFrame:
+    """(position, value, theoretical): ordered values against normal quantiles; ``n`` asks for so many evenly
+    spaced ones (the first one for n = 1).
 
-    Ordering by value alone is cut into ``cells`` ranges of a bounded sketch; equal values are
-    interchangeable, so they are counted first and expanded only for the positions asked for.
+    Ordering by value alone is cut into ranges of like size; equal values are interchangeable, so they
+    are counted first and expanded only for the positions asked for.
     """
+    if n is not None and n < 1:
+        raise ValueError("n must be at least 1")
     values = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(
         F.count(F.lit(1)).alias("c")
     )
-    step = [i / cells for i in range(1, cells)]
-    # One row: the borders of the ranges. They only balance the work, they do not change the result.
-    borders = values.agg(F.percentile_approx("v", step, 10 * cells).alias("b")).first()["b"] or []
-    block = F.size(F.filter(F.lit(borders), lambda b: b <= F.col("v"))) if borders else F.lit(0)
-
+    values = ranged(values, ["v"])
     size = values.agg(F.sum("c").cast("double").alias("n")).scalar()
-    ranked = running_total(values, [], ["v"], "c", block).withColumn("_n", size)
+    ranked = running_total(values, [], ["v"], "c", F.col(RANGE)).withColumn("_n", size)
     count = F.col("_n")
     start, end = F.col("_total") - F.col("c"), F.col("_total") - 1
     if n is None:
@@ -134,12 +133,12 @@ def qq_points(df: DataFrame, col: str, n: int | None = None, cells: int = 1000)
         points = parts.select("_n", F.col("v").alias("value"), F.explode(F.sequence(F.col("from"), upto)).alias("position"))
     else:
         # The i-th of n samples sits at floor(i * (N - 1) / (n - 1)); keep those inside this run.
-        gap = (count - 1) / F.lit(float(n - 1))
+        gap = F.greatest(count - 1, F.lit(1.0)) / F.lit(float(max(n - 1, 1)))
         first = F.greatest(F.ceil(start / gap) - 1, F.lit(0))
         last = F.least(F.floor(end / gap) + 1, F.lit(n - 1))
         sample = F.transform(
             F.sequence(F.least(first, F.lit(n - 1)), last),
-            lambda i: F.when(i == n - 1, count - 1).otherwise(F.floor(i * gap)).cast("long"),
+            lambda i: F.when((i == n - 1) & (i > 0), count - 1).otherwise(F.floor(i * gap)).cast("long"),
         )
         run = F.array_distinct(F.filter(sample, lambda p: (p >= start) & (p <= end)))
         wanted = F.when(count <= n, F.sequence(start, end)).otherwise(run)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from transit_spark.config import NEVER_AUTO_SCALED
-from transit_spark.operators.series import with_positions
+from transit_spark.operators.series import RANGE, ranged, with_positions
 from transit_spark.operators.summary import column_stats, quantile_columns, to_long
 
 METHODS = ("minmax", "standard", "robust")
@@ -106,7 +106,8 @@ def _as_class(c: str):
 def fit_labels(df: DataFrame, cols) -> DataFrame:
     """(column, value, code): code is the rank of the value among the sorted distinct values."""
     classes = df.select(*[_as_class(c).alias(c) for c in cols]).unpivot([], list(cols), "column", "value").distinct()
-    placed = with_positions(classes, ["column"], ["value"], block=F.substring("value", 1, 4))
+    # Ranges of like size, whatever prefix the values share.
+    placed = with_positions(ranged(classes, ["column", "value"]), ["column"], ["value"], block=F.col(RANGE))
     return placed.select("column", "value", (F.col("_pos") - 1).cast("int").alias("code"))
 
 

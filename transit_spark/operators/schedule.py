@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from transit_spark.config import ServiceDefaults
 from transit_spark.functions.temporal import hhmm, minute_of_day, plus_minutes
-from transit_spark.operators.series import running_total
+from transit_spark.operators.series import RANGE, ranged, running_total
 from transit_spark.operators.summary import attach, exact_quantiles
 
 SERVICE = ServiceDefaults()
@@ -152,7 +152,7 @@ def apply_fleet_limit(best: DataFrame, fleet: int | Column = SERVICE.fleet, keys
     """Vehicles handed out in route order. The route that overflows gets what is left, later routes
     get none (and are not returned)."""
     fleet = F.lit(fleet) if isinstance(fleet, int) else fleet
-    total = running_total(best, keys, ["route"], "vehicles", block=F.substring("route", 1, 4))
+    total = running_total(ranged(best, [*keys, "route"]), keys, ["route"], "vehicles", block=F.col(RANGE))
     before = F.col("_total") - F.col("vehicles")
     left = fleet - before
     fits = F.col("_total") <= fleet

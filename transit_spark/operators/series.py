@@ -12,6 +12,9 @@ cut twice instead:
 ``with_neighbours`` carries the last/first known value over block borders, which is what forward
 fill, backward fill and interpolation need.
 
+Where there are no keys to cut by, or blocks could not be bounded, ``ranged`` cuts the whole frame into
+sorted ranges of about equal size, whatever its values are; each range then is a block.
+
 The only windows that still run over a whole series see one row per block, not one per input row.
 """
 
@@ -22,7 +25,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from transit_spark.session import stage
+
 CHUNK_ROWS = 100_000
+RANGE = "_range"
+
+
+def ranged(df: DataFrame, order, ranges: int | None = None) -> DataFrame:
+    """``df`` with ``_range``: the number of its sorted range along ``order``, staged.
+
+    Spark draws the borders from a bounded sample of the order columns, so ranges are of like size under
+    any distribution as long as few rows are equal in all of ``order``. Without ``ranges`` their number
+    follows the size of the data, up to the shuffle partitions of the session. The ranges are written
+    out, so that every later reading, also one after a lost executor, sees the same borders.
+    """
+    sorted_out = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    return stage(sorted_out.withColumn(RANGE, F.spark_partition_id()))
+
+
+def _in_blocks(df: DataFrame, keys, order, block: Column | None) -> tuple[DataFrame, Column | None]:
+    """Without keys and block, the frame is cut into ranges: a day may hold any share of the rows."""
+    return (df, block) if keys or block is not None else (ranged(df, order), F.col(RANGE))
 
 
 def day_block(order) -> Column:
@@ -64,7 +87,8 @@ def with_positions(df: DataFrame, keys, order, block: Column | None = None) -> D
 
     ``order`` must be a total order inside a series; ``block`` must not decrease along it.
     """
-    keys = list(keys)
+    keys, columns = list(keys), df.columns
+    df, block = _in_blocks(df, keys, order, block)
     cut, inner = _cut(df, keys, order, block)
     counts, series = _blocks(cut.groupBy("_g").agg(F.count(F.lit(1)).alias("_rows")), keys)
     run = series.orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
@@ -75,7 +99,7 @@ def with_positions(df: DataFrame, keys, order, block: Column | None = None) -> D
     )
     row = F.row_number().over(Window.partitionBy("_g").orderBy(*inner))
     placed = cut.withColumn("_row", row).join(offsets, "_g", "left")
-    return _restored(placed, df.columns, keys, (F.col("_before") + F.col("_row")).alias("_pos"), "_size")
+    return _restored(placed, columns, keys, (F.col("_before") + F.col("_row")).alias("_pos"), "_size")
 
 
 def running_total(df: DataFrame, keys, order, value: str, block: Column) -> DataFrame:
@@ -119,7 +143,8 @@ def with_neighbours(
 ) -> DataFrame:
     """Adds ``_pos`` and, per column, ``_prev_<c>`` and ``_next_<c>``: ``struct(pos, value)`` of the
     nearest non-null value at or before / at or after the row (``strict``: not the row itself)."""
-    keys = list(keys)
+    keys, columns = list(keys), df.columns
+    df, block = _in_blocks(df, keys, order, block)
     cut, inner = _cut(df, keys, order, block)
     inside = Window.partitionBy("_g")
     rows = cut.withColumn("_row", F.row_number().over(inside.orderBy(*inner)))
@@ -157,7 +182,7 @@ def with_neighbours(
         here = F.expr(f"last({known(c, '_pos')}, true)")
         nearest[f"_prev_{c}"] = F.coalesce(here.over(upto), F.col(f"_carry_prev_{c}"))
         nearest[f"_next_{c}"] = F.coalesce(here.over(onward), F.col(f"_carry_next_{c}"))
-    return _restored(placed.withColumns(nearest), df.columns, keys, "_pos", *nearest)
+    return _restored(placed.withColumns(nearest), columns, keys, "_pos", *nearest)
 
 
 def _filled(df: DataFrame, keys, order, cols, block, value) -> DataFrame:
@@ -268,13 +293,11 @@ def with_position(df: DataFrame, keys, order, name: str = "position", block=None
 def even_sample(df: DataFrame, order, n: int, block: Column | None = None) -> DataFrame:
     """``n`` evenly spaced rows of the ordered frame; all rows when there are at most ``n``.
 
-    Blocks (a minute by default) are only counted; rows are ranked in the at most ``n`` blocks that
+    Blocks (sorted ranges by default) are only counted; rows are ranked in the at most ``n`` blocks that
     hold a sample.
     """
-    if block is None:
-        ts = F.col(order[0])
-        midnight = ts.cast("date").cast("timestamp_ntz")
-        block = midnight + F.make_dt_interval(F.lit(0), F.hour(ts), F.minute(ts), F.lit(0))
+    columns = df.columns
+    df, block = _in_blocks(df, (), order, block)
     cut = df.withColumn("_block", block)
     counts = cut.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows"))
     run = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
@@ -300,4 +323,4 @@ def even_sample(df: DataFrame, order, n: int, block: Column | None = None) -> Da
         "_index", F.col("_start") + row - 1
     )
     chosen = (F.col("_size") <= n) | F.array_contains("_wanted", F.col("_index"))
-    return ranked.where(chosen).select(*df.columns)
+    return ranked.where(chosen).select(*columns)

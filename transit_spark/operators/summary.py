@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from transit_spark.operators.series import RANGE, ranged, running_total
+
 
 def same_keys(left: DataFrame, right: DataFrame, keys) -> Column:
     """Equi-join condition that also matches NULL keys."""
@@ -35,7 +37,9 @@ def exact_quantiles(df: DataFrame, value: str, probs, keys=(), accuracy: int = 1
     ``percentile`` would hold all distinct values of a group in the memory of one task. Here a
     mergeable sketch first brackets every wanted rank and meets every row where it lies; the values
     below the bracket are reduced to a count on the map side, those above are not shuffled, and only
-    the bracket (about 8/``accuracy`` of the rows) is sorted. In a group of at most ``accuracy`` rows the bracket holds them all.
+    the bracket (about 8/``accuracy`` of the rows) is sorted: in ranges of like size, each summed by itself, so
+    that no bracket of any group lies in one task. In a group of at most ``accuracy`` rows the bracket
+    holds them all.
     """
     keys = list(keys)
     margin = 4.0 / accuracy
@@ -66,11 +70,9 @@ def exact_quantiles(df: DataFrame, value: str, probs, keys=(), accuracy: int = 1
         .groupBy(*keys, F.col("w.prob").alias("prob"), F.col("w.n").alias("n"), F.col("w.cell").alias("cell"))
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    upto = Window.partitionBy(*keys, "prob").orderBy(F.col("cell").asc_nulls_first())
-    upto = upto.rowsBetween(Window.unboundedPreceding, 0)
-    ranked = cells.withColumn("top", F.sum("c").over(upto)).withColumn(
-        "rank", F.col("prob") * (F.col("n") - 1)
-    )
+    group = [*keys, "prob", "n"]
+    summed = running_total(ranged(cells, [*group, "cell"]), group, ["cell"], "c", F.col(RANGE))
+    ranked = summed.withColumns({"top": F.col("_total"), "rank": F.col("prob") * (F.col("n") - 1)})
 
     def at(rank: Column) -> Column:
         return F.max(F.when((rank < F.col("top")) & (rank >= F.col("top") - F.col("c")), F.col("cell")))
