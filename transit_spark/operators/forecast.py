@@ -6,19 +6,17 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from transit_spark import config as C
 from transit_spark.functions.temporal import epoch_micros, plus_minutes
 from transit_spark.operators.evaluation import EPS, error_frame, metrics
 from transit_spark.operators.scaling import fit_scaler, scale, unscale
 from transit_spark.operators.series import fill_both, in_chunks, tail, with_positions
+from transit_spark.operators.summary import union_all
 from transit_spark.session import stage
 
 DEFAULTS = C.ForecastDefaults()
@@ -131,40 +129,87 @@ def predict(model, df: DataFrame, name: str = "prediction") -> DataFrame:
     return model.transform(_with_features(df)).drop("features").withColumnRenamed("prediction", name)
 
 
+def moment_rows(train: DataFrame, size: int, keys=(), y: str = "y") -> DataFrame:
+    """(keys, i, row): row i of the matrix of summed products of (window values, 1, y), per key.
+
+    Every window gives one row per value, holding its products with all others; they are summed where
+    they lie, so only ``size + 2`` rows of sums per key and task are shuffled, and the plan has as many sums as the
+    window has values. A window of another size is an error, as its products would belong to other columns.
+    """
+    n = size + 2
+    flat = F.flatten("x")
+    checked = F.when(F.size(flat) == size, flat).otherwise(
+        F.raise_error(F.concat(F.lit(f"a window holds other than {size} values: "), F.size(flat).cast("string")))
+    )
+    rows = train.where(F.col(y).isNotNull()).select(*keys, F.concat(checked, F.array(F.lit(1.0), F.col(y).cast("double"))).alias("v"))
+    long = rows.select(*keys, "v", F.posexplode("v").alias("i", "a"))
+    sums = long.groupBy(*keys, "i").agg(*[F.sum(F.col("a") * F.get("v", F.lit(j))).alias(f"s{j}") for j in range(n)])
+    return sums.select(*keys, "i", F.array(*[f"s{j}" for j in range(n)]).alias("row"))
+
+
+def moments(train: DataFrame, size: int, keys=(), y: str = "y") -> DataFrame:
+    """(keys, m): the whole matrix per key, as an array of its rows; as large as the window, not the data."""
+    rows = moment_rows(train, size, keys, y)
+    packed = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("i", "row"))).alias("m"))
+    return packed.select(*keys, F.transform("m", lambda r: r["row"]).alias("m"))
+
+
+def solve_moments(m: np.ndarray, reg: float = 0.0, elastic: float = 0.0, ridge: float = 0.0, tol: float = 1e-9, rounds: int = 10_000) -> np.ndarray:
+    """Weights (values, then intercept) that minimise the squared error, from the matrix of sums.
+
+    ``reg`` and ``elastic`` penalise as Spark ML does with standardised columns: reg * (elastic * |w| +
+    (1 - elastic) / 2 * w^2) on the scale of the columns' and the target's deviations. ``ridge`` is a plain
+    constant added to the diagonal of the raw sums. Columns without spread get weight 0. The system is solved on
+    standardised columns, by least squares of least norm where it is singular; with ``elastic`` by coordinate
+    descent on the matrix.
+    """
+    m = np.asarray(m, dtype=float)
+    k = len(m) - 2
+    n = m[k, k]
+    mean = m[k, : k] / n
+    y_mean = m[k, k + 1] / n
+    cov = m[:k, :k] / n - np.outer(mean, mean)
+    cross = m[:k, k + 1] / n - mean * y_mean
+    spread = np.sqrt(np.clip(np.diag(cov), 0, None))
+    y_spread = np.sqrt(max(m[k + 1, k + 1] / n - y_mean**2, 0.0))
+    live = spread > 1e-12 * np.maximum(np.abs(mean), 1e-300)
+    weights = np.zeros(k)
+    if live.any() and (ridge or y_spread > 0):
+        s = spread[live]
+        gram, target = cov[np.ix_(live, live)] / np.outer(s, s), cross[live] / s
+        penalty = reg / y_spread if y_spread > 0 else 0.0
+        if penalty and elastic:
+            w = np.zeros(len(s))
+            target = target / y_spread
+            for _ in range(rounds):
+                moved = 0.0
+                for j in range(len(w)):
+                    rest = target[j] - gram[j] @ w + gram[j, j] * w[j]
+                    new = np.sign(rest) * max(abs(rest) - penalty * elastic, 0.0) / (gram[j, j] + penalty * (1 - elastic))
+                    moved, w[j] = max(moved, abs(new - w[j])), new
+                if moved < tol:
+                    break
+            weights[live] = w * y_spread / s
+        else:
+            system = gram + penalty * np.eye(len(s)) + np.diag(ridge / (n * s * s))
+            weights[live] = np.linalg.lstsq(system, target, rcond=1e-12)[0] / s
+    return np.append(weights, y_mean - weights @ mean)
+
+
 def fit_per_route(train: DataFrame, size: int, key: str = "route", ridge: float = 1e-6) -> DataFrame:
     """(key, weights): least squares per route from sums of products.
 
     Only the sums are shuffled (combined on the map side), so a route with most of the rows is no
     heavier than any other; solving a system of ``size + 1`` unknowns per route is what is left.
     """
-    n = size + 1
-    flat = train.where(F.col("y").isNotNull()).select(
-        key, "y", F.concat(F.flatten("x"), F.array(F.lit(1.0))).alias("v")
-    )
-    pairs = [(i, j) for i in range(n) for j in range(i, n)]
-    value = [F.get("v", F.lit(i)) for i in range(n)]
-    sums = flat.groupBy(key).agg(
-        *[F.sum(value[i] * value[j]).alias(f"s_{i}_{j}") for i, j in pairs],
-        *[F.sum(value[i] * F.col("y")).alias(f"b_{i}") for i in range(n)],
-    ).select(
-        key,
-        F.array(*[f"s_{i}_{j}" for i, j in pairs]).alias("s"),
-        F.array(*[f"b_{i}" for i in range(n)]).alias("b"),
-    )
-    upper = np.triu_indices(n)
 
     def solve(batches):
         for batch in batches:
-            found = []
-            for s, b in zip(batch["s"], batch["b"]):
-                a = np.zeros((n, n))
-                a[upper] = s
-                a = a + np.triu(a, 1).T + ridge * np.eye(n)
-                found.append(np.linalg.solve(a, np.asarray(b, dtype=float)).tolist())
+            found = [solve_moments(np.stack(m), ridge=ridge).tolist() for m in batch["m"]]
             yield pd.DataFrame({key: batch[key], "weights": found})
 
-    schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("weights", T.ArrayType(T.DoubleType()))])
-    return sums.mapInPandas(solve, schema)
+    summed = moments(train, size, [key])
+    return summed.mapInPandas(solve, f"`{key}` {dict(summed.dtypes)[key]}, weights array<double>")
 
 
 def predict_per_route(weights: DataFrame, df: DataFrame, key: str = "route") -> DataFrame:
@@ -365,21 +410,33 @@ def baseline(df: DataFrame, kind: str, keys=SERIES, value: str = C.TARGET) -> Da
 def tune(data: DataFrame, grid: list[dict], folds: int = 3) -> DataFrame:
     """Validation MAPE per setting over time-ordered folds, best first.
 
-    ``data`` comes from :func:`windows`. Fold k trains on the first k/(folds+1) of every series and
-    validates on the next part. Fits run one after the other, each of them distributed.
+    ``data`` comes from :func:`windows`; a setting names ``reg`` and ``elastic``. Fold k trains on the first k/(folds+1) of every series and
+    validates on the next part. The windows are read twice, whatever the grid: once for the sums of
+    products of each part, of which those before a fold add up to its training sums, and once to score every row with
+    all models of its fold.
     """
-    spark = data.sparkSession
-    part = F.floor(F.col("start") * (folds + 1) / F.col("series_rows"))
+    for setting in grid:
+        if unknown := set(setting) - {"reg", "elastic"}:
+            raise ValueError(f"settings of linear models are reg and elastic, not {sorted(unknown)}")
+    part = F.floor(F.col("start") * (folds + 1) / F.col("series_rows")).cast("int")
     labelled = stage(data.withColumn("_part", part))
-    results = []
-    for number, options in enumerate(grid):
-        for k in range(1, folds + 1):
-            model = fit_forecaster(labelled.where(F.col("_part") < k), **options)
-            scored = predict(model, labelled.where(F.col("_part") == k))
-            mape = scored.agg(F.avg(F.abs((F.col("y") - F.col("prediction")) / (F.col("y") + EPS)) * 100)).first()[0]
-            results.append((number, str(options), k, mape))
-    table = spark.createDataFrame(results, "setting int, options string, fold int, mape double")
-    return table.groupBy("setting", "options").agg(F.avg("mape").alias("mape")).orderBy("mape", "setting")
+    first = labelled.select(F.size(F.flatten("x")).alias("n")).first()
+    if first is None:
+        raise ValueError("there are no windows to fit")
+    # As many matrices as folds, each as large as a window: the driver adds and solves them.
+    sums = {r["_part"]: np.array(r["m"]) for r in moments(labelled.where(F.col("_part") < folds), first["n"], ["_part"]).collect()}
+    models = []
+    for k in range(1, folds + 1):
+        known = [sums[p] for p in range(k) if p in sums]
+        if known:
+            models += [(k, number, solve_moments(sum(known), **setting).tolist()) for number, setting in enumerate(grid)]
+    spark = data.sparkSession
+    # One short row of weights per fold and setting; rows meet the models of their fold.
+    per_fold = spark.createDataFrame([(k, [(n, w) for f, n, w in models if f == k]) for k in sorted({k for k, _, _ in models})], "_part int, models array<struct<setting: int, weights: array<double>>>")
+    scored = labelled.join(per_fold, "_part").select("_part", "y", F.explode(F.transform("models", lambda m: F.struct(m["setting"].alias("setting"), linear_score(F.col("x"), m["weights"]).alias("p")))).alias("s"))
+    errors = scored.groupBy("_part", "s.setting").agg(F.avg(F.abs((F.col("y") - F.col("s.p")) / (F.col("y") + EPS)) * 100).alias("mape"))
+    names = spark.createDataFrame([(n, str(setting)) for n, setting in enumerate(grid)], "setting int, options string")
+    return errors.groupBy("setting").agg(F.avg("mape").alias("mape")).join(names, "setting").select("setting", "options", "mape").orderBy("mape", "setting")
 
 
 def error_by_horizon(df: DataFrame, value: str, steps=(1, 2, 4), keys=SERIES, order=("time",), minutes: int = 15, predicted: str | None = None):
@@ -404,9 +461,67 @@ def demand_profiles(df: DataFrame, value: str = C.TARGET) -> DataFrame:
     return mean.select("route", *[F.coalesce(F.col(str(h)), F.lit(0.0)).alias(f"h{h}") for h in hours])
 
 
-def cluster_routes(df: DataFrame, k: int = 3, value: str = C.TARGET, seed: int = 42) -> DataFrame:
-    profiles = demand_profiles(df, value)
-    data = VectorAssembler(inputCols=[f"h{h}" for h in range(24)], outputCol="features").transform(profiles)
-    return KMeans(k=k, seed=seed).fit(data).transform(data).select("route", F.col("prediction").alias("cluster"))
+def _gap(a: Column, b: Column) -> Column:
+    """Squared distance of two arrays."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, v: t + v)
 
 
+def _vector(values) -> Column:
+    return F.array(*[F.lit(float(v)) for v in values])
+
+
+def cluster_profiles(profiles: DataFrame, cols, k: int = 3, rounds: int = 10, key: str = "route", digits: int = 9) -> tuple[DataFrame, DataFrame]:
+    """((key, cluster, distance), (cluster, size, inertia, centre)): the same for any partitioning.
+
+    Centres start farthest-first: the profile of the smallest key, then always the one farthest
+    from its nearest centre, the smallest key on ties. ``rounds`` steps move each centre to the mean of its
+    profiles; an emptied cluster keeps its centre, and equal distances go to the lower number. Distances are compared
+    rounded to ``digits``, so that the order of summing decides nothing. Only the centres, ``k`` rows, reach the driver.
+    """
+    if k < 1:
+        raise ValueError("at least one cluster is needed")
+    rows = stage(profiles.select(key, F.array(*[F.col(c).cast("double") for c in cols]).alias("v")))
+    first = rows.agg(F.min_by("v", key).alias("v")).first()["v"]
+    centres = [] if first is None else [first]
+
+    def distance(c) -> Column:
+        return F.round(_gap(F.col("v"), _vector(c)), digits)
+
+    def nearest() -> Column:
+        return F.array_min(F.array(*[F.struct(distance(c).alias("d"), F.lit(i).alias("cluster")) for i, c in enumerate(centres)]))
+
+    while centres and len(centres) < k:
+        far = rows.agg(F.min_by(F.struct(nearest()["d"].alias("d"), "v"), F.struct(-nearest()["d"], F.col(key))).alias("f")).first()["f"]
+        if not far["d"]:
+            break  # there are no more different profiles
+        centres.append(far["v"])
+    for _ in range(rounds):
+        if not centres:
+            break
+        means = rows.groupBy(nearest()["cluster"].alias("cluster")).agg(F.array(*[F.avg(F.get("v", F.lit(j))) for j in range(len(cols))]).alias("v")).collect()
+        moved = {r["cluster"]: r["v"] for r in means}
+        new = [moved.get(i, c) for i, c in enumerate(centres)]
+        if new == centres:
+            break
+        centres = new
+    found = nearest() if centres else F.lit(None).cast("struct<d: double, cluster: int>")
+    assigned = rows.select(key, found["cluster"].alias("cluster"), found["d"].alias("distance"))
+    per_cluster = assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.sum("distance").alias("inertia"))
+    at = profiles.sparkSession.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(centres)], "cluster int, centre array<double>")
+    return assigned, per_cluster.join(at, "cluster")
+
+
+def cluster_routes(df: DataFrame, k: int = 3, value: str = C.TARGET, rounds: int = 10) -> DataFrame:
+    """Routes grouped by their mean demand of each hour."""
+    assigned, _ = cluster_profiles(demand_profiles(df, value), [f"h{h}" for h in range(24)], k, rounds)
+    return assigned.select("route", "cluster")
+
+
+def inertia_by_k(df: DataFrame, most: int = 5, value: str = C.TARGET, rounds: int = 10) -> DataFrame:
+    """(k, clusters, inertia): what is left of the spread with 1 to ``most`` clusters."""
+    profiles = stage(demand_profiles(df, value))
+    parts = []
+    for k in range(1, most + 1):
+        _, per_cluster = cluster_profiles(profiles, [f"h{h}" for h in range(24)], k, rounds)
+        parts.append(per_cluster.agg(F.lit(k).alias("k"), F.count(F.lit(1)).alias("clusters"), F.sum("inertia").alias("inertia")))
+    return union_all(parts)

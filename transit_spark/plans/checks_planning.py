@@ -185,6 +185,24 @@ def f6(fx):
     return rounded(fc.predict_per_route(fc.fit_per_route(w, 8), w).select("route", "time", "y", "prediction"), 4)
 
 
+_NORMAL = "count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, var_pop(x1) AS v11, var_pop(x2) AS v22, covar_pop(x1, x2) AS v12, covar_pop(x1, y) AS c1, covar_pop(x2, y) AS c2"
+TOTAL_TRIPLES = """SELECT route, time, CAST(lag(total_demand) OVER (PARTITION BY route ORDER BY time) AS DOUBLE) AS x1, CAST(total_demand AS DOUBLE) AS x2,
+    CAST(lead(total_demand) OVER (PARTITION BY route ORDER BY time) AS DOUBLE) AS y FROM v_totals"""
+
+
+@check(
+    "F6_route_planes",
+    f"""SELECT route, time, y, round(my + b1 * (x1 - m1) + b2 * (x2 - m2), 4) AS prediction FROM ({TOTAL_TRIPLES}) JOIN (
+      SELECT *, (c1 * v22 - c2 * v12) / (v11 * v22 - v12 * v12) AS b1, (c2 * v11 - c1 * v12) / (v11 * v22 - v12 * v12) AS b2
+      FROM (SELECT route, {_NORMAL} FROM ({TOTAL_TRIPLES}) WHERE x1 IS NOT NULL AND y IS NOT NULL GROUP BY route)) USING (route)
+    WHERE x1 IS NOT NULL AND y IS NOT NULL""",
+)
+def f6c(fx):
+    """A plane per route over windows of two totals; the reference solves the two equations by hand."""
+    _, w = _route_windows(fx, 2)
+    return rounded(fc.predict_per_route(fc.fit_per_route(w, 2, ridge=0.0), w).select("route", "time", "y", "prediction"), 4)
+
+
 @check("F7_recursive_forecast")
 def f7(fx):
     """48 steps ahead for all routes at once from the per-route models."""
@@ -282,6 +300,23 @@ def f14(fx):
     return fc.tune(w, grid, 2).select("setting", "options", significant("mape", 4))
 
 
+@check(
+    "F14_tune_lines",
+    """WITH w AS MATERIALIZED (SELECT x, y, CAST(floor((rn - 1) * 3 / n) AS INT) AS part FROM (SELECT CAST(total_demand AS DOUBLE) AS x, CAST(lead(total_demand) OVER o AS DOUBLE) AS y,
+        row_number() OVER o AS rn, count(*) OVER (PARTITION BY route) AS n FROM v_totals WINDOW o AS (PARTITION BY route ORDER BY time)) WHERE y IS NOT NULL),
+    t AS (SELECT fold, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) / stddev_pop(x) AS c, stddev_pop(x) AS sx, stddev_pop(y) AS sy
+      FROM (SELECT unnest([1, 2]) AS fold) JOIN w ON part < fold GROUP BY fold),
+    m AS (SELECT fold, mx, my, unnest([0, 1, 2]) AS setting, unnest([c, c / (1 + 1.0::DOUBLE / sy), sign(c) * greatest(abs(c) - 1, 0)]) / sx AS b FROM t),
+    e AS (SELECT setting, fold, avg(abs((y - my - b * (x - mx)) / (y + 1e-10::DOUBLE)) * 100) AS mape FROM m JOIN w ON part = fold GROUP BY ALL)
+    SELECT CAST(setting AS INT) AS setting, ["{'reg': 0.0}", "{'reg': 1.0}", "{'reg': 1.0, 'elastic': 1.0}"][setting + 1] AS options, MAPE AS mape FROM (SELECT setting, avg(mape) AS mape FROM e GROUP BY setting)"""
+    .replace('["', "['").replace('", "', "', '").replace('"]', "']").replace("{'", "{''").replace("':", "'':").replace(", 'elastic", ", ''elastic").replace("MAPE AS", significant_sql("mape", 4) + " AS"),
+)
+def f14b(fx):
+    """Three settings for lines over two folds; ridge and soft threshold have a closed form."""
+    _, w = _route_windows(fx, 1)
+    return fc.tune(w, [{"reg": 0.0}, {"reg": 1.0}, {"reg": 1.0, "elastic": 1.0}], 2).select("setting", "options", significant("mape", 4))
+
+
 @check(
     "F15_error_by_horizon",
     " UNION ALL ".join(
@@ -309,12 +344,44 @@ def f15b(fx):
     return scores.select("horizon_minutes", significant("mape"))
 
 
-@check("F16_cluster_routes")
+HOURS = range(24)
+PROFILE_SQL = "SELECT route, [" + ", ".join(f"coalesce(avg(passengers) FILTER (WHERE hour(time) = {h}), 0)" for h in HOURS) + "] AS v FROM v_demand GROUP BY route"
+
+
+def _clusters_sql(k: int, rounds: int = 10) -> str:
+    """Farthest-first centres and mean steps, written out: WITH ... ending in ``done`` (route, cluster, d) for ``k`` clusters."""
+
+    def gap(a: str, b: str) -> str:
+        return "round(" + " + ".join(f"pow({a}.v[{h + 1}] - {b}.v[{h + 1}], 2)" for h in HOURS) + ", 9)"
+
+    parts = [f"p AS MATERIALIZED ({PROFILE_SQL})", "s0 AS MATERIALIZED (SELECT 0 AS cluster, v FROM p ORDER BY route LIMIT 1)"]
+    for i in range(1, k):
+        parts.append(f"s{i} AS MATERIALIZED (SELECT * FROM s{i - 1} UNION ALL (SELECT {i}, any_value(p.v) FROM p, s{i - 1} c GROUP BY p.route ORDER BY min({gap('p', 'c')}) DESC, p.route LIMIT 1))")
+    parts.append(f"c0 AS MATERIALIZED (SELECT * FROM s{k - 1})")
+    near = "SELECT route, arg_min(cluster, ({g}, cluster)) AS cluster, min({g}) AS d FROM p, c{r} c GROUP BY route"
+    for r in range(rounds):
+        parts.append(f"a{r} AS MATERIALIZED ({near.format(g=gap('p', 'c'), r=r)})")
+        means = "[" + ", ".join(f"avg(v[{h + 1}])" for h in HOURS) + "]"
+        parts.append(f"c{r + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN (SELECT cluster, {means} AS v FROM a{r} JOIN p USING (route) GROUP BY cluster) m USING (cluster))")
+    parts.append(f"done AS ({near.format(g=gap('p', 'c'), r=rounds)})")
+    return "WITH " + ", ".join(parts)
+
+
+@check("F16_cluster_routes", f"SELECT * FROM ({_clusters_sql(3)} SELECT route, CAST(cluster AS INT) AS cluster FROM done)")
 def f16(fx):
     """Routes grouped by mean hourly demand."""
     return fc.cluster_routes(fx.demand, 3)
 
 
+@check(
+    "F16_inertia",
+    " UNION ALL ".join(f"SELECT * FROM ({_clusters_sql(k)} SELECT {k} AS k, count(DISTINCT cluster) AS clusters, round(sum(d), 4) AS inertia FROM done)" for k in (1, 2, 3)),
+)
+def f16c(fx):
+    """What one, two and three clusters leave of the spread."""
+    return rounded(fc.inertia_by_k(fx.demand, 3), 4)
+
+
 @check("F16_demand_profiles", "SELECT route, " + ", ".join(f"round(coalesce(avg(passengers) FILTER (WHERE hour(time) = {h}), 0),6) AS h{h}" for h in range(24)) + " FROM v_demand GROUP BY route")
 def f16b(fx):
     return rounded(fc.demand_profiles(fx.demand))
