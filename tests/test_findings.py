@@ -166,3 +166,12 @@ def test_tuning_counts_windows_without_demand(spark, small_dir, monkeypatch):
     monkeypatch.setattr(cp, "_route_windows", lambda fx: (None, real(fx)[1].withColumn("y", quiet)))
     found = QUERIES["F14_tune"](spark, small_dir).collect()
     assert len(found) == 3 and all(r["mape"] > 1e6 for r in found)
+
+
+def test_cleaning_without_a_sequence_fills_all_values(spark):
+    """Columns that broke a tie between repeated rows are still values, and are filled."""
+    at = [dt.datetime(2024, 1, 1, h) for h in range(3)]
+    demand = spark.createDataFrame([("r", "s", at[0], 1, 2), ("r", "s", at[1], None, 3), ("r", "s", at[2], 4, None)], "route string, stop string, time timestamp_ntz, passengers int, boarding_count int")
+    assert [(r["passengers"], r["boarding_count"]) for r in cl.clean_demand(demand).orderBy("time").collect()] == [(1, 2), (1, 3), (4, 3)]
+    weather = spark.createDataFrame([(at[0], 20.0, "Rain"), (at[1], None, None), (at[2], 22.0, "Clear")], "time timestamp_ntz, temperature double, conditions string")
+    assert [(r["temperature"], r["conditions"]) for r in cl.clean_weather(weather).orderBy("time").collect()] == [(20.0, "Rain"), (21.0, "Rain"), (22.0, "Clear")]

@@ -1,6 +1,7 @@
 """Files, tables, documents and pages on small literal inputs."""
 
 import datetime as dt
+import re
 import uuid
 
 import pytest
@@ -108,8 +109,104 @@ def test_predictions_shape(spark):
 
 
 def test_stage_statistics(spark, tmp_path):
+    """A stage's seconds are those of its own write."""
     watch = tb.StageStats()
-    df = watch.watch("one", spark.range(7).select(F.col("id"), F.lit(1).alias("x")))
-    df.write.parquet(str(tmp_path / "one"))
+    slow = spark.range(7, numPartitions=1).select(F.expr("reflect('java.lang.Thread', 'sleep', CAST(200 AS BIGINT))").alias("s"), F.lit(1).alias("x"))
+    tb.write_tables({"slow": slow, "quick": spark.range(3)}, str(tmp_path), fmt="parquet", stats=watch)
     report = watch.report()
-    assert report["one"]["records"] == 7 and report["one"]["columns"] == 2
+    assert (report["slow"]["records"], report["slow"]["columns"], report["quick"]["records"]) == (7, 2, 3)
+    assert report["slow"]["seconds"] > report["quick"]["seconds"] > 0
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    db = f"t_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_path}/db'")
+    tb.create_tables(spark, db)
+    return db
+
+
+def gps_rows(spark, rows):
+    data = [("r", bus, T0 + dt.timedelta(hours=h), 10.5, 106.5, float(v), 0.0) for bus, h, v in rows]
+    return spark.createDataFrame(data, "route string, bus_id string, time timestamp_ntz, latitude double, longitude double, speed double, heading double")
+
+
+def stored_speeds(spark, name):
+    return sorted((r["bus_id"], r["time"], r["speed"]) for r in spark.table(name).collect())
+
+
+def test_keyed_append_adds_only_new_keys(spark, store):
+    name = f"{store}.gps_traces"
+    first = gps_rows(spark, [("a", h, h) for h in range(48)] + [("a", 0, 99)])
+    assert tb.append_new(first, name, ["speed"]) == 48
+    assert tb.append_new(first, name, ["speed"]) == 0  # known by its digest
+    overlapping = gps_rows(spark, [("a", h, 1000 + h) for h in range(40, 60)] + [("b", 3, 5)])
+    assert tb.append_new(overlapping, name) == 13
+    got = {(b, t): v for b, t, v in stored_speeds(spark, name)}
+    assert len(got) == 61 and got["a", T0 + dt.timedelta(hours=45)] == 45.0 and got["a", T0 + dt.timedelta(hours=50)] == 1050.0
+    again = gps_rows(spark, [("a", h, -1) for h in range(60)])  # other rows, no new key
+    assert tb.append_new(again, name) == 0 and len(stored_speeds(spark, name)) == 61
+    assert [r["appended"] for r in spark.table(f"{name}_batches").orderBy("stored_at").collect()] == [48, 13, 0]
+    assert tb.save_table(first.limit(1), name, "replace") == 1  # forgets the batches
+    assert tb.append_new(first, name, ["speed"]) == 47
+
+
+def test_keyed_append_after_a_write_that_broke_off(spark, store, monkeypatch):
+    name = f"{store}.gps_traces"
+    tb.append_new(gps_rows(spark, [("a", h, h) for h in range(5)]), name)
+    before = stored_speeds(spark, name)
+    second = gps_rows(spark, [("a", h, h) for h in range(30)])
+    whole = tb._write
+
+    def killed(df, action):
+        raise RuntimeError("killed")
+
+    def half(df, action):
+        whole(df.where("speed < 12"), action)
+        raise RuntimeError("killed")
+
+    for broken in (killed, half):
+        monkeypatch.setattr(tb, "_write", broken)
+        with pytest.raises(RuntimeError):
+            tb.append_new(second, name)
+        monkeypatch.setattr(tb, "_write", whole)
+        assert stored_speeds(spark, name)[:5] == before
+    assert tb.append_new(second, name) == 18
+    assert [v for _, _, v in stored_speeds(spark, name)] == [float(h) for h in range(30)]
+
+
+def test_keyed_append_without_days_and_with_missing_keys(spark, store):
+    name = f"{store}.events"
+    schema = "event_id string, name string, start_time timestamp_ntz"
+    assert tb.append_new(spark.createDataFrame([("EVT_1", "x", T0), (None, "y", T0), ("EVT_2", "z", T0)], schema), name) == 3
+    assert tb.append_new(spark.createDataFrame([("EVT_2", "other", T0), (None, "q", T0), ("EVT_3", "n", T0)], schema), name) == 1
+    assert sorted((r["event_id"] or "", r["event_name"]) for r in spark.table(name).collect()) == [("", "y"), ("EVT_1", "x"), ("EVT_2", "z"), ("EVT_3", "n")]
+    with pytest.raises(ValueError, match="no declared keys"):
+        tb.append_new(spark.range(1), f"{store}.unknown")
+
+
+def test_key_filter_finds_exactly_the_stored_keys(spark, store, monkeypatch):
+    """Few bits, so that many stored keys hit the filter by chance: they are compared all the same."""
+    monkeypatch.setattr(tb, "KEY_BUCKETS", 1)
+    monkeypatch.setattr(tb, "BITMAP_BITS", 64)
+    monkeypatch.setattr(tb, "SENT_BITMAPS", 0)
+    name = f"{store}.gps_traces"
+    tb.append_new(gps_rows(spark, [(f"b{k}", h, 1) for k in range(40) for h in range(0, 72, 3)]), name)
+    fresh = tb._stored_shape(gps_rows(spark, [(f"b{k}", h, 2) for k in range(30, 50) for h in range(0, 96, 2)]), "gps_traces")
+    got = {(r["bus_id"], r["time"]) for r in tb.known_keys(fresh, name).collect()}
+    assert got == {(f"b{k}", T0 + dt.timedelta(hours=h)) for k in range(30, 40) for h in range(0, 72, 6)}
+
+
+def test_key_filter_reads_only_touched_days(spark, store):
+    name = f"{store}.gps_traces"
+    tb.append_new(gps_rows(spark, [("a", 24 * d, d) for d in range(6)]), name)
+    fresh = tb._stored_shape(gps_rows(spark, [("a", 24 * d, d) for d in (2, 4)]), "gps_traces")
+    text = tb.known_keys(fresh, name)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*day#\d+ (IN|INSET)", text)
+    assert not any("speed" in schema for schema in re.findall(r"ReadSchema: (.*)", text))
+
+
+def test_stamps_and_names(spark, store):
+    tb.save_table(spark.createDataFrame([("r1", 4, 2)], "route string, num_stops int, num_buses int"), f"{store}.routes")
+    row = spark.table(f"{store}.routes").first()
+    assert row["route_id"] == "r1" and row["route_name"] is None and row["created_at"] is not None

@@ -86,12 +86,17 @@ def _tie_break(df: DataFrame, order) -> list[str]:
     return list(order) if order else (["seq"] if "seq" in df.columns else [c for c in df.columns])
 
 
+def _not_filled(df: DataFrame, keys, order) -> list[str]:
+    """Keys, and the columns that only number the rows; values that merely broke a tie are filled."""
+    return [*keys, *(order or ["seq"])]
+
+
 def clean_demand(df: DataFrame, order=None) -> DataFrame:
     """Coerce, dedupe on (route, stop, time), clamp, drop >200, forward fill, drop incomplete."""
-    order = _tie_break(df, order)
-    df = dedupe_first(to_time(nan_to_null(df), ["time"]), C.DEMAND_KEYS, order)
+    kept = _not_filled(df, C.DEMAND_KEYS, order)
+    df = dedupe_first(to_time(nan_to_null(df), ["time"]), C.DEMAND_KEYS, _tie_break(df, order))
     df = drop_above(clamp_negative(df))
-    fill = [c for c in df.columns if c not in (*C.DEMAND_KEYS, *order)]
+    fill = [c for c in df.columns if c not in kept]
     return ffill(df, ["route", "stop"], ["time"], fill).na.drop()
 
 
@@ -108,14 +113,14 @@ def clean_gps(df: DataFrame, order=None) -> DataFrame:
 
 def clean_weather(df: DataFrame, order=None) -> DataFrame:
     """Coerce, dedupe on time, drop bad temperature, repair humidity, interpolate, fill."""
-    order = _tie_break(df, order)
-    df = dedupe_first(to_time(nan_to_null(df), ["time"]), ["time"], order)
+    kept = _not_filled(df, ["time"], order)
+    df = dedupe_first(to_time(nan_to_null(df), ["time"]), ["time"], _tie_break(df, order))
     if "temperature" in df.columns:
         df = drop_outside(df, "temperature", C.MIN_TEMPERATURE_C, C.MAX_TEMPERATURE_C)
     if "humidity" in df.columns:
         df = impute_median(df, "humidity", C.MIN_HUMIDITY, C.MAX_HUMIDITY)
     numeric = _present(df, C.WEATHER_NUMERIC)
-    other = [c for c in df.columns if c not in ("time", *numeric, *order)]
+    other = [c for c in df.columns if c not in (*numeric, *kept)]
     return interpolate_and_fill(df, [], ["time"], numeric, other)
 
 

@@ -257,11 +257,13 @@ def t10(fx):
     "T11_time_spine",
     """SELECT s.route, s.stop, s.time, CAST(coalesce(sum(d.passengers), 0) AS BIGINT) AS passengers
     FROM (SELECT k.route, k.stop, t.time FROM (SELECT DISTINCT route, stop FROM v_demand) k,
-      (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-30 23:45:00', INTERVAL 15 MINUTE)) AS time) t) s
+      (SELECT unnest(generate_series((SELECT min(time) FROM v_demand), (SELECT max(time) FROM v_demand), INTERVAL 15 MINUTE)) AS time) t) s
     LEFT JOIN v_demand d ON d.route = s.route AND d.stop = s.stop AND time_bucket(INTERVAL '15 minutes', d.time) = s.time GROUP BY ALL""",
 )
 def t11(fx):
-    return tm.densify(fx.demand, ["route", "stop"], "2024-01-01 00:00:00", "2024-01-30 23:45:00", "passengers")
+    """From the first to the last slot of the data."""
+    first, last = fx.demand.agg(F.min("time"), F.max("time")).first()
+    return tm.densify(fx.demand, ["route", "stop"], str(first), str(last), "passengers")
 
 
 @check("X1_route_code", "SELECT DISTINCT CAST(c_nationkey AS VARCHAR) AS code, CASE WHEN length(CAST(c_nationkey AS VARCHAR)) < 2 THEN lpad(CAST(c_nationkey AS VARCHAR), 2, '0') ELSE CAST(c_nationkey AS VARCHAR) END AS route_code FROM customer UNION SELECT DISTINCT CAST(c_custkey AS VARCHAR), CASE WHEN length(CAST(c_custkey AS VARCHAR)) < 2 THEN lpad(CAST(c_custkey AS VARCHAR), 2, '0') ELSE CAST(c_custkey AS VARCHAR) END FROM customer")

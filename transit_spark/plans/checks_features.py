@@ -313,12 +313,15 @@ def a12(fx):
 
 @check(
     "A13_variant_summary",
-    """SELECT route_id, direction, variant_id, 2::BIGINT AS stop_count, 3::BIGINT AS point_count
-    FROM v_route_docs WHERE stops_json LIKE '%Name%'""",
+    """SELECT s.route_id, s.direction, s.variant_id, stop_count, coalesce(point_count, 0) AS point_count FROM
+      (SELECT route_id, direction, variant_id, CAST(json_array_length(stops_json) AS BIGINT) AS stop_count FROM v_route_docs WHERE json_array_length(stops_json) > 0) s
+      LEFT JOIN (SELECT route_id, direction, variant_id, CAST(json_array_length(path_json, '$.lat') AS BIGINT) AS point_count FROM v_route_docs WHERE route_id % 3 <> 0) p
+      ON p.route_id = s.route_id AND p.direction = s.direction AND p.variant_id = s.variant_id""",
 )
 def a13(fx):
+    """Paths are missing for every third route."""
     docs = fx.view("route_docs")
-    return su.variant_summary(flatten_route_stops(docs), flatten_route_paths(docs))
+    return su.variant_summary(flatten_route_stops(docs), flatten_route_paths(docs.where(F.col("route_id") % 3 != 0)))
 
 
 SCALED = ["latitude", "longitude", "heading"]
@@ -427,13 +430,17 @@ def n10(fx):
     return rounded(nm.scaler_info(nm.fit_scaler(fx.gps_raw, SCALED)))
 
 
-@check("N11_column_kinds", """SELECT * FROM (VALUES ('bus_id','categorical'),('route','categorical'),('heading','numeric'),('latitude','numeric'),('longitude','numeric'),('seq','numeric'),('speed','numeric')) v("column", kind) WHERE EXISTS (SELECT 1 FROM events)""")
+@check(
+    "N11_fit_all_columns",
+    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", 'numeric' AS kind, round(min({c}), 6) + 0.0 AS low, round(max({c}), 6) + 0.0 AS high, 0::BIGINT AS classes FROM v_gps_raw" for c in ("heading", "latitude", "longitude", "seq", "speed"))
+    + "".join(f" UNION ALL SELECT '{c}', 'categorical', NULL, NULL, count(DISTINCT {c}) FROM v_gps_raw" for c in ("bus_id", "route")),
+)
 def n11(fx):
-    df = fx.gps_raw
-    numeric, texts = nm.numeric_columns(df), nm.categorical_columns(df)
-    long = su.to_long(df, [*numeric, *texts], as_type="string").select("column").distinct()
-    kind = F.when(F.col("column").isin(*numeric), "numeric").otherwise("categorical")
-    return long.withColumn("kind", kind)
+    """Fitted without a list of columns: scalers for the numeric ones but times, codes for the texts."""
+    ranges = nm.fit_scaler(fx.gps_raw).select("column", F.lit("numeric").alias("kind"), F.col("min").alias("low"), F.col("max").alias("high"), F.lit(0).cast("long").alias("classes"))
+    codes = nm.fit_labels(fx.gps_raw, nm.categorical_columns(fx.gps_raw)).groupBy("column").agg(F.count(F.lit(1)).alias("classes"))
+    none = F.lit(None).cast("double")
+    return rounded(ranges.unionByName(codes.select("column", F.lit("categorical").alias("kind"), none.alias("low"), none.alias("high"), "classes")))
 
 
 SITE = "http://transit.example"

@@ -11,7 +11,9 @@ from transit_spark.operators import evaluation as ev
 from transit_spark.operators import forecast as fc
 from transit_spark.operators import schedule as sc
 from transit_spark.operators import summary as su
+from transit_spark.operators.context import join_weather, weather_features
 from transit_spark.operators.scaling import fit_scaler, scale, unscale
+from transit_spark.operators.series import lag_features
 from transit_spark.plans.checks_features import r6
 from transit_spark.plans.flows import candidate_timetables, plan_day
 from transit_spark.plans.registry import check, rounded, significant, significant_sql
@@ -117,6 +119,26 @@ def f5c(fx):
     return rounded(scores.select("route", "n", "mae", "rmse", "median_ae"), 4)
 
 
+@check(
+    "F5_lagged_held_out",
+    f"""WITH p AS (SELECT route, stop, time, passengers, row_number() OVER o AS r, count(*) OVER (PARTITION BY route, stop) AS n,
+        coalesce(lag(passengers) OVER o, passengers) AS before FROM v_demand WINDOW o AS (PARTITION BY route, stop ORDER BY time)),
+    s AS (SELECT *, CASE WHEN r <= {_T} THEN 'train' WHEN r <= {_T} + {_V} THEN 'val' ELSE 'test' END AS split FROM p),
+    w AS (SELECT route, split, CAST(before AS DOUBLE) AS x1, CAST(passengers AS DOUBLE) AS x2, CAST(lead(passengers) OVER (PARTITION BY route, stop, split ORDER BY time) AS DOUBLE) AS y FROM s),
+    m AS (SELECT *, (c1 * v22 - c2 * v12) / (v11 * v22 - v12 * v12) AS b1, (c2 * v11 - c1 * v12) / (v11 * v22 - v12 * v12) AS b2 FROM (SELECT {{normal}} FROM w WHERE split = 'train' AND y IS NOT NULL)),
+    e AS (SELECT route, y - (my + b1 * (x1 - m1) + b2 * (x2 - m2)) AS error FROM w, m WHERE split = 'test' AND y IS NOT NULL)
+    SELECT route, count(*) AS n, round(avg(abs(error)), 4) AS mae, round(sqrt(avg(pow(error, 2))), 4) AS rmse, round(median(abs(error)), 4) AS median_ae FROM e GROUP BY route""".format(
+        normal="count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, var_pop(x1) AS v11, var_pop(x2) AS v22, covar_pop(x1, x2) AS v12, covar_pop(x1, y) AS c1, covar_pop(x2, y) AS c2"
+    ),
+)
+def f5d(fx):
+    """As ``F5_held_out``, from the value before as a lag column beside the value itself."""
+    lagged = lag_features(fx.demand, "passengers", [1], SERIES, ["time"])
+    prepared, params = fc.prepare_series(lagged, ["passengers_lag_1"], SERIES)
+    _, _, scores = fc.held_out(prepared, params, ["passengers_lag_1", "passengers"], length=1, horizon=1, step=1)
+    return rounded(scores.select("route", "n", "mae", "rmse", "median_ae"), 4)
+
+
 @check("F6_route_lines", f"SELECT route, time, y, round(a + b * x, 4) AS prediction FROM ({TOTAL_PAIRS}) JOIN ({ROUTE_LINES}) USING (route) WHERE y IS NOT NULL")
 def f6b(fx):
     """A line per route over the pairs of successive totals."""
@@ -248,10 +270,12 @@ def f9b(fx):
     return full.select(*SERIES, "time", total.alias("window_sum"))
 
 
-@check("F10_error_frame", f"SELECT seq, actual, predicted, error, abs_error, {significant_sql('pct_error')} AS pct_error FROM v_errors")
+@check(
+    "F10_error_frame",
+    f"""SELECT f.seq, f.actual, f.predicted, error, abs_error, {significant_sql('pct_error')} AS pct_error FROM v_forecast f LEFT JOIN v_errors e ON e.seq = f.seq""",
+)
 def f10(fx):
-    pairs = fx.forecast.where(F.col("predicted").isNotNull() & F.col("actual").isNotNull())
-    return ev.error_frame(pairs).select("seq", "actual", "predicted", "error", "abs_error", significant("pct_error"))
+    return ev.error_frame(fx.forecast).select("seq", "actual", "predicted", "error", "abs_error", significant("pct_error"))
 
 
 @check("F11_unscale_target", "SELECT seq, CAST(passengers AS DOUBLE) AS passengers, CAST(passengers AS DOUBLE) AS predicted FROM v_demand")
@@ -428,13 +452,13 @@ def _histogram_sql(col: str) -> str:
 
 @check("E3_histogram_error", _histogram_sql("error"))
 def e3(fx):
-    errors = ev.error_frame(fx.forecast.where(F.col("predicted").isNotNull()))
+    errors = ev.error_frame(fx.forecast)
     return rounded(ev.histogram(errors, "error"))
 
 
 @check("E3_histogram_abs_error", _histogram_sql("abs_error"))
 def e3b(fx):
-    errors = ev.error_frame(fx.forecast.where(F.col("predicted").isNotNull()))
+    errors = ev.error_frame(fx.forecast)
     return rounded(ev.histogram(errors, "abs_error"))
 
 
@@ -468,7 +492,7 @@ def _inverse_normal_sql(p: str) -> str:
 )
 def e5(fx):
     """Ordered errors against normal quantiles, all points."""
-    errors = ev.error_frame(fx.forecast.where(F.col("predicted").isNotNull()))
+    errors = ev.error_frame(fx.forecast)
     return rounded(ev.qq_points(errors, "error"))
 
 
@@ -478,7 +502,7 @@ def e5(fx):
     WHERE p IN (SELECT CASE WHEN i = 199 THEN (SELECT count(*) FROM v_errors) - 1 ELSE CAST(floor(i * (((SELECT count(*) FROM v_errors) - 1) / 199.0::DOUBLE)) AS BIGINT) END FROM range(0, 200) t(i))""",
 )
 def e5b(fx):
-    errors = ev.error_frame(fx.forecast.where(F.col("predicted").isNotNull()))
+    errors = ev.error_frame(fx.forecast)
     return ev.qq_points(errors, "error", 200).select("position", "value")
 
 
@@ -493,6 +517,28 @@ def e6(fx):
     return rounded(ev.metrics(labelled, ["is_peak_hour", "is_weekend"]).drop("mape"))
 
 
+STRATA_SQL = """(SELECT e.*, CAST(month(e.time) AS INT) AS month, CAST(coalesce(w.rain_mm > 0, false) AS INT) AS is_raining,
+      CASE WHEN w.temperature > 0 AND w.temperature <= 25 THEN 'cool' WHEN w.temperature > 25 AND w.temperature <= 30 THEN 'comfortable'
+           WHEN w.temperature > 30 AND w.temperature <= 35 THEN 'hot' WHEN w.temperature > 35 AND w.temperature <= 50 THEN 'very_hot' END AS temp_category
+    FROM v_errors e LEFT JOIN v_weather w ON time_bucket(INTERVAL '15 minutes', w.time) = time_bucket(INTERVAL '15 minutes', e.time))"""
+
+
+def _strata(fx):
+    return temporal_features(weather_features(join_weather(fx.forecast, fx.weather)))
+
+
+@check("E6_weather_strata", _metrics_sql(STRATA_SQL, "is_raining, temp_category"))
+def e6c(fx):
+    """Scores per rain and temperature class of the row's weather slot; rows without weather are dry and of no class."""
+    return rounded(ev.metrics(_strata(fx), ["is_raining", "temp_category"]).drop("mape"))
+
+
+@check("E6_month_strata", _metrics_sql(STRATA_SQL, "route, month"))
+def e6d(fx):
+    """Scores per route and month."""
+    return rounded(ev.metrics(_strata(fx), ["route", "month"]).drop("mape"))
+
+
 @check(
     "E6_mape",
     f"""SELECT is_peak_hour, is_weekend, {significant_sql('avg(pct_error)')} AS mape
@@ -682,3 +728,21 @@ def p5b(fx):
     return trips.select("route", "day", "slot", "candidate", "served_passengers", "load_factor")
 
 
+_COMPARED_SQL = """SELECT metric, round(value, 4) AS value FROM (
+      SELECT unnest(['wait_ours','wait_other','load_ours','load_other','wait_improvement_pct','load_improvement_pct','saved_trips']) AS metric,
+        unnest([a.w, b.w, a.l, b.l, (b.w - a.w) / nullif(b.w, 0) * 100, (a.l - b.l) / b.l * 100, CAST(b.n - a.n AS DOUBLE)]) AS value FROM
+      (SELECT count(*) AS n, sum(wait_minutes) / sum(served_passengers) AS w, avg(served_passengers / 50) AS l FROM v_p_trips) a,
+      (SELECT count(*) AS n, sum(wait_minutes) / sum(served_passengers) AS w, avg(served_passengers / 50) AS l FROM v_p_final_loads) b)"""
+
+
+@check("P5_plan_day_lines", _COMPARED_SQL)
+def p5c(fx):
+    """The whole plan from one line per route: forecast, timetable choice, comparison with the fixed timetable."""
+    return rounded(plan_day(fx.demand, length=1, ridge=0.0).comparison, 4)
+
+
+@check("P5_planned_trips_lines", "SELECT route, day, slot, candidate, served_passengers, served_passengers / 50 AS load_factor FROM v_p_trips")
+def p5d(fx):
+    """Trips of the timetables chosen from the lines."""
+    trips = plan_day(fx.demand, length=1, ridge=0.0).schedule
+    return trips.select("route", "day", "slot", "candidate", "served_passengers", "load_factor")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time as clock
 import uuid
 
 from pyspark.sql import functions as F
@@ -117,6 +118,25 @@ def s8b(fx):
     return rounded(fx.spark.table(f"{db}.gps_traces").select("time", "route_id", "bus_id", "speed"))
 
 
+@check(
+    "S8_keyed_append",
+    """WITH first AS (SELECT * FROM v_gps WHERE time < TIMESTAMP '2024-01-20 00:00:00' QUALIFY row_number() OVER (PARTITION BY time, bus_id ORDER BY seq) = 1),
+    later AS (SELECT * FROM v_gps WHERE time >= TIMESTAMP '2024-01-10 00:00:00' QUALIFY row_number() OVER (PARTITION BY time, bus_id ORDER BY seq DESC) = 1)
+    SELECT time, route AS route_id, bus_id, round(speed, 6) AS speed, n1, n2, 0::BIGINT AS n3 FROM (
+      SELECT * FROM first UNION ALL SELECT * FROM later WHERE (time, bus_id) NOT IN (SELECT (time, bus_id) FROM first)),
+      (SELECT count(*) AS n1 FROM first), (SELECT count(*) AS n2 FROM later WHERE (time, bus_id) NOT IN (SELECT (time, bus_id) FROM first))""",
+)
+def s8c(fx):
+    """Two batches that overlap by ten days, the second one twice: stored rows stay, new keys come in once."""
+    db = _database(fx)
+    tb.create_tables(fx.spark, db)
+    first = fx.gps.where(F.col("time") < F.lit("2024-01-20").cast("timestamp_ntz"))
+    later = fx.gps.where(F.col("time") >= F.lit("2024-01-10").cast("timestamp_ntz"))
+    batches = (first, [F.col("seq")]), (later, [F.col("seq").desc()]), (later, [F.col("seq").desc()])
+    added = {f"n{i + 1}": F.lit(tb.append_new(batch, f"{db}.gps_traces", order)).cast("long") for i, (batch, order) in enumerate(batches)}
+    return rounded(fx.spark.table(f"{db}.gps_traces").select("time", "route_id", "bus_id", "speed").withColumns(added))
+
+
 @check(
     "S9_load_table",
     """SELECT time, route_id, bus_id, speed FROM (SELECT time, route AS route_id, bus_id, round(speed,6) AS speed FROM v_gps)
@@ -172,13 +192,16 @@ def s13(fx):
 
 @check(
     "S14_save_dataset",
-    """SELECT 'passenger_demand' AS table_name, route AS route_id, count(*) AS n FROM v_demand GROUP BY route UNION ALL SELECT 'gps_traces', route, count(*) FROM v_gps GROUP BY route
+    """SELECT 'passenger_demand' AS table_name, route AS route_id, count(*) AS n FROM v_demand GROUP BY route
+    UNION ALL SELECT 'gps_traces', route, count(*) FROM (SELECT route FROM v_gps QUALIFY row_number() OVER (PARTITION BY time, bus_id ORDER BY seq) = 1) GROUP BY route
     UNION ALL SELECT 'stops', route, count(*) FROM v_stops GROUP BY route""",
 )
 def s14(fx):
+    """Saved twice: the second time adds nothing."""
     db = _database(fx)
-    tb.create_tables(fx.spark, db)
-    tb.save_dataset({"demand": fx.demand, "gps": fx.gps, "stops": fx.stops}, db)
+    dataset, orders = {"demand": fx.demand, "gps": fx.gps, "stops": fx.stops}, {"gps": ["seq"]}
+    tb.save_dataset(dataset, db, orders)
+    tb.save_dataset(dataset, db, orders)
     parts = [
         fx.spark.table(f"{db}.{t}").groupBy("route_id").agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "route_id", "n")
         for t in ("passenger_demand", "gps_traces", "stops")
@@ -370,8 +393,7 @@ def m6(fx):
 def m6b(fx):
     from transit_spark.operators.evaluation import error_frame
 
-    pairs = fx.forecast.where(F.col("predicted").isNotNull() & F.col("actual").isNotNull())
-    return st.feedback_summary(error_frame(pairs)).select("route", "n", F.round("mae", 6).alias("mae"), significant("mape"), "retrain")
+    return st.feedback_summary(error_frame(fx.forecast)).select("route", "n", F.round("mae", 6).alias("mae"), significant("mape"), "retrain")
 
 
 DRIFT_SQL = """SELECT route, window_start, n, round(mae, 4) AS mae, round(total - least(0, min(total) OVER g), 3) AS drift, total - least(0, min(total) OVER g) > 500 AS retrain FROM (
@@ -466,11 +488,44 @@ def p3(fx):
     return flows.stage_counts(saved).select("stage", "records")
 
 
+@check(
+    "P1_lagged_features",
+    """SELECT seq, hour, lag(passengers, 1) OVER w AS passengers_lag_1, lag(passengers, 3) OVER w AS passengers_lag_3, round(avg(passengers) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS passengers_rolling_mean_3,
+      round(stddev_samp(passengers) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS passengers_rolling_std_3, nearby_events FROM v_context WINDOW w AS (PARTITION BY route, stop ORDER BY time)""",
+)
+def p1c(fx):
+    """The flow with lags and rolling means of the target."""
+    df = flows.process_demand(fx.demand_raw, fx.stops, fx.weather, fx.city, normalize=False, lags=[1, 3], windows=[3]).data
+    return rounded(df.select("seq", "hour", "passengers_lag_1", "passengers_lag_3", "passengers_rolling_mean_3", "passengers_rolling_std_3", "nearby_events"))
+
+
+@check(
+    "P3_process_files",
+    """SELECT 'routes' AS stage, count(DISTINCT route) AS records, 0::BIGINT AS passengers FROM v_stops UNION ALL SELECT 'stops', count(*), 0 FROM v_stops UNION ALL SELECT 'weather', count(*), 0 FROM v_f_weather_temp
+    UNION ALL SELECT 'events', count(*), 0 FROM v_f_city UNION ALL SELECT 'demand', count(*), CAST(sum(passengers) AS BIGINT) FROM v_f_demand UNION ALL SELECT 'gps', count(*), 0 FROM v_f_gps""",
+)
+def p3b(fx):
+    """From CSV files to cleaned and scaled files."""
+    source, path = fx.fresh_dir(), fx.fresh_dir()
+    routes = fx.stops.groupBy("route").agg(F.count(F.lit(1)).cast("int").alias("num_stops")).withColumn("num_buses", F.lit(3))
+    demand = fx.demand_raw.drop("seq").withColumns({c: F.lit(0) for c in ("hour", "day_of_week", "is_weekend", "is_peak_hour")})
+    city = fx.city_raw.withColumn("location", F.lit("centre"))
+    tb.write_tables({"routes": routes, "stops": fx.stops, "demand": demand, "gps": fx.gps_raw.drop("seq"), "weather": fx.weather_raw.drop("seq"), "events": city}, source)
+    tables = flows.process_files(fx.spark, source, path, fmt="parquet").tables
+    saved = {n: fx.spark.read.parquet(f"{path}/processed_{n}.parquet") for n in tables}
+    counted = flows.stage_counts(saved).select("stage", "records")
+    riders = saved["demand"].agg(F.sum("passengers")).first()[0]
+    return counted.withColumn("passengers", F.when(F.col("stage") == "demand", F.lit(riders)).otherwise(F.lit(0)).cast("long"))
+
+
 @check(
     "P4_stage_statistics",
-    """SELECT 'demand' AS stage, (SELECT count(*) FROM v_context) AS records UNION ALL SELECT 'gps', (SELECT count(*) FROM v_gps) UNION ALL SELECT 'weather', (SELECT count(*) FROM v_weather)
-    UNION ALL SELECT 'events', (SELECT count(*) FROM v_city) UNION ALL SELECT 'stops', (SELECT count(*) FROM v_stops) UNION ALL SELECT 'routes', (SELECT count(DISTINCT route) FROM v_stops)""",
+    """SELECT *, true AS timed FROM (SELECT 'demand' AS stage, (SELECT count(*) FROM v_context) AS records UNION ALL SELECT 'gps', (SELECT count(*) FROM v_gps) UNION ALL SELECT 'weather', (SELECT count(*) FROM v_weather)
+    UNION ALL SELECT 'events', (SELECT count(*) FROM v_city) UNION ALL SELECT 'stops', (SELECT count(*) FROM v_stops) UNION ALL SELECT 'routes', (SELECT count(DISTINCT route) FROM v_stops))""",
 )
 def p4(fx):
+    """Rows per stage, and whether each stage's own seconds are positive and all of them fit into the run."""
+    start = clock.monotonic()
     stats = _dataset(fx, path=fx.fresh_dir(), fmt="parquet", normalize=False).stats
-    return fx.spark.createDataFrame([(n, s["records"]) for n, s in stats.items()], "stage string, records bigint")
+    whole = sum(s["seconds"] for s in stats.values()) <= clock.monotonic() - start
+    return fx.spark.createDataFrame([(n, s["records"], whole and s["seconds"] > 0) for n, s in stats.items()], "stage string, records bigint, timed boolean")

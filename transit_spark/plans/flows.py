@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transit_spark import config as C
@@ -18,7 +18,7 @@ from transit_spark.operators.scaling import categorical_columns, encode, fit_lab
 from transit_spark.operators.series import series_features
 from transit_spark.operators.summary import demand_by_time
 from transit_spark.session import stage, stage_all
-from transit_spark.sources.tables import StageStats, save_dataset, write_tables
+from transit_spark.sources.tables import StageStats, read_table, save_dataset, write_tables
 
 IDENTIFIERS = ("time", "route", "stop", *C.DEMAND_COUNTS)
 
@@ -102,36 +102,40 @@ class Dataset:
 
 def process_dataset(
     routes: DataFrame, stops: DataFrame, demand: DataFrame, gps: DataFrame, weather: DataFrame | None = None, events: DataFrame | None = None,
-    normalize: bool = True, path: str | None = None, database: str | None = None, fmt: str = "csv", **options,
+    normalize: bool = True, path: str | None = None, database: str | None = None, fmt: str = "csv", orders: dict | None = None, **options,
 ) -> Dataset:
     """All tables of a dataset; saved as files under ``path`` and as tables in ``database`` if given.
 
-    With ``path`` the cleaned weather and events are written first and read back for the demand
-    step, so they are computed once and survive a lost executor.
+    The cleaned weather and events are staged first, so they are computed once for the demand step
+    and for their own tables and survive a lost executor. ``stats`` has rows, columns and seconds of each table's write, or, without
+    ``path``, nothing.
     """
     watch = StageStats()
-    tables: dict[str, DataFrame] = {"routes": routes, "stops": stops}
+    sides: dict[str, DataFrame] = {}
     if weather is not None:
-        tables["weather"] = clean_weather(weather)
+        sides["weather"] = clean_weather(weather)
     if events is not None:
-        tables["events"] = clean_events(events)
-    if path is not None:
-        spark = demand.sparkSession
-        for name in [n for n in ("weather", "events") if n in tables]:
-            target = f"{path}/stage_{name}"
-            tables[name].write.mode("overwrite").parquet(target)
-            tables[name] = spark.read.parquet(target)
+        sides["events"] = clean_events(events)
+    tables: dict[str, DataFrame] = {"routes": routes, "stops": stops} | stage_all(sides)
     done = process_demand(demand, stops, tables.get("weather"), tables.get("events"), normalize, **options)
     tables["demand"] = done.data
     tables["gps"] = process_gps(gps, normalize).data
     if path is not None:
-        write_tables({n: watch.watch(n, t) for n, t in tables.items()}, path, "processed_", fmt)
-        stats = watch.report()
-    else:
-        stats = {}
+        write_tables(tables, path, "processed_", fmt, watch)
     if database is not None:
-        save_dataset(tables, database)
-    return Dataset(tables, stats)
+        save_dataset(tables, database, orders)
+    return Dataset(tables, watch.report())
+
+
+def process_files(spark: SparkSession, source: str, path: str | None = None, database: str | None = None, **options) -> Dataset:
+    """``process_dataset`` on the CSV files of a folder; weather and events may be absent.
+
+    Files have no sequence column, so of readings with one key the one with the least values counts.
+    """
+    raw = {name: read_table(spark, source, name) for name in ("routes", "stops", "demand", "gps", "weather", "events")}
+    # Time features are computed anew from the cleaned time.
+    demand = raw["demand"].select("route", "stop", "time", *C.DEMAND_COUNTS)
+    return process_dataset(raw["routes"], raw["stops"], demand, raw["gps"], raw["weather"], raw["events"], path=path, database=database, order=(), **options)
 
 
 def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
@@ -162,13 +166,13 @@ class DayPlan:
     comparison: DataFrame
 
 
-def plan_day(demand: DataFrame, length: int = 8, steps: int = 96, per_route: bool = True, fleet: int = sc.SERVICE.fleet) -> DayPlan:
+def plan_day(demand: DataFrame, length: int = 8, steps: int = 96, per_route: bool = True, fleet: int = sc.SERVICE.fleet, ridge: float = 1e-6) -> DayPlan:
     """Forecast each route's total demand, pick timetables and headways, compare with the fixed one."""
     totals = stage(demand_by_time(demand).withColumn("total_demand", F.col("total_demand").cast("double")))
     train = fc.windows(totals, ["total_demand"], length, 1, 1, ["route"])
     latest, _ = fc.latest_windows(totals, ["total_demand"], length, ["route"])
     if per_route:
-        predicted = fc.forecast_per_route(fc.fit_per_route(train, length), latest, steps)
+        predicted = fc.forecast_per_route(fc.fit_per_route(train, length, ridge=ridge), latest, steps)
     else:
         predicted = fc.forecast(fc.fit_forecaster(train), latest, steps)
     predicted = stage(predicted.withColumn("predicted_demand", F.col("predicted_demand").cast("int")))
@@ -185,5 +189,5 @@ def plan_day(demand: DataFrame, length: int = 8, steps: int = 96, per_route: boo
 
 __all__ = [
     "DayPlan", "Dataset", "Processed", "candidate_timetables", "demand_features", "numeric_columns",
-    "plan_day", "process_dataset", "process_demand", "process_gps", "stage_counts",
+    "plan_day", "process_dataset", "process_demand", "process_files", "process_gps", "stage_counts",
 ]

@@ -181,6 +181,40 @@ LIB["v_prep"] = """
       WINDOW b AS (PARTITION BY route, stop ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
              a AS (PARTITION BY route, stop ORDER BY time ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
 
+
+
+def derive(prefix: str, views, changes: dict[str, str]) -> None:
+    """The named views again under ``v_<prefix>_...``, built on one another, with some of their text changed."""
+    for name in views:
+        text = LIB[f"v_{name}"]
+        for old, new in changes.items():
+            text = text.replace(old, new)
+        LIB[f"v_{prefix}_{name}"] = re.sub(rf"\bv_({'|'.join(views)})\b", rf"v_{prefix}_\1", text)
+
+
+# Tables read from files have no sequence: of rows with one key the one with the least values counts.
+derive("f", ("demand_dedup", "demand_valid", "demand_filled", "demand"), {"ORDER BY seq": "ORDER BY boarding_count NULLS FIRST, alighting_count NULLS FIRST, passengers NULLS FIRST"})
+derive("f", ("gps_dedup", "gps_valid", "gps_gaps", "gps_filled", "gps"), {"ORDER BY seq": "ORDER BY latitude NULLS FIRST, longitude NULLS FIRST, speed NULLS FIRST, heading NULLS FIRST"})
+derive("f", ("weather_dedup", "weather_temp"), {"ORDER BY seq": "ORDER BY temperature NULLS FIRST, humidity NULLS FIRST, rain_mm NULLS FIRST, wind_speed NULLS FIRST, conditions NULLS FIRST"})
+derive("f", ("city_dedup", "city"), {"ORDER BY event_id": "ORDER BY CAST(event_id AS VARCHAR)"})
+
+# A day planned from the line of each route: the forecast is the recursion x -> a + b * x.
+LIB["v_lines"] = """
+    SELECT route, regr_intercept(y, x) AS a, regr_slope(y, x) AS b FROM (
+      SELECT route, CAST(total_demand AS DOUBLE) AS x, CAST(lead(total_demand) OVER (PARTITION BY route ORDER BY time) AS DOUBLE) AS y FROM v_totals)
+    WHERE y IS NOT NULL GROUP BY route"""
+LIB["v_p_slot_input"] = """
+    SELECT route, time, CAST(trunc(p) AS INT) AS predicted_demand FROM (
+      WITH RECURSIVE f AS (
+        SELECT route, 0 AS step, max(time) AS time, CAST(arg_max(total_demand, time) AS DOUBLE) AS p FROM v_totals GROUP BY route
+        UNION ALL SELECT f.route, f.step + 1, f.time + INTERVAL 15 MINUTE, a + b * p FROM f JOIN v_lines m ON m.route = f.route WHERE f.step < 96)
+      SELECT * FROM f WHERE step > 0)"""
+derive("p", ("slot_used", "slots", "seen", "loads", "final_loads", "candidate_scores"), {"v_slot_input": "v_p_slot_input"})
+LIB["v_p_trips"] = """
+    SELECT l.route, l.day, l.slot, b.candidate, l.served_passengers, l.wait_minutes FROM (
+      SELECT route, day, candidate FROM v_p_candidate_scores QUALIFY row_number() OVER (PARTITION BY route, day ORDER BY score DESC, candidate) = 1) b
+    JOIN v_p_final_loads l ON l.route = b.route AND l.day = b.day AND l.slot % b.candidate = 0"""
+
 NAMES = re.compile(r"\bv_[a-z_]+\b")
 
 

@@ -18,15 +18,18 @@ RAW = {
         "wind_speed double, conditions string"
     ),
     "events": (
-        "event_id bigint, name string, event_type string, location string, latitude double, "
+        "event_id string, name string, event_type string, location string, latitude double, "
         "longitude double, start_time timestamp_ntz, end_time timestamp_ntz, "
         "expected_attendance int, impact_factor double"
     ),
 }
 
 STORED = {
-    "routes": "route_id string, num_stops int, num_buses int",
-    "stops": "route_id string, stop_id string, stop_order int, latitude double, longitude double",
+    "routes": "route_id string, route_name string, num_stops int, num_buses int, created_at timestamp_ntz",
+    "stops": (
+        "stop_id string, route_id string, stop_name string, stop_order int, latitude double, longitude double, "
+        "created_at timestamp_ntz"
+    ),
     "passenger_demand": (
         "time timestamp_ntz, route_id string, stop_id string, boarding_count int, "
         "alighting_count int, passengers int, hour int, is_peak_hour int, is_weekend int, is_holiday int"
@@ -40,7 +43,7 @@ STORED = {
         "wind_speed double, conditions string"
     ),
     "events": (
-        "event_id bigint, name string, event_type string, location string, latitude double, "
+        "event_id string, event_name string, event_type string, location string, latitude double, "
         "longitude double, start_time timestamp_ntz, end_time timestamp_ntz, "
         "expected_attendance int, impact_factor double"
     ),
@@ -74,7 +77,10 @@ DATASET_TABLES = {
     "events": "events",
 }
 
-STORED_NAMES = {"route": "route_id", "stop": "stop_id", "order": "stop_order"}
+STORED_NAMES = {"route": "route_id", "stop": "stop_id", "order": "stop_order", "name": "event_name"}
+
+#: Written when a row is stored, unless it brings a value.
+STAMPED = ("created_at",)
 
 STOP_DOC = "array<struct<Name: string, Code: string, Lat: double, Lng: double, AddressNo: string, Street: string, Routes: string, Status: string, StopType: string>>"
 VARIANT_DOC = (

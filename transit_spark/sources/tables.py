@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time as clock
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -13,6 +14,10 @@ from transit_spark.operators.series import head
 from transit_spark.session import stage
 
 DAY = "day"
+#: Bits of one of Spark's bitmaps, and bitmaps (of 4 KB) per day in a filter of keys.
+BITMAP_BITS, KEY_BUCKETS = 32_768, 16
+#: Days listed in a scan, and bitmaps (8 MB) sent to all tasks; beyond them both are joined.
+LISTED_DAYS, SENT_BITMAPS = 1000, 2000
 
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame | None:
@@ -34,10 +39,14 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame | None:
     return raw.select(*[F.col(f"`{c}`").try_cast(t).alias(c) for c, t in wanted])
 
 
-def write_tables(tables: dict[str, DataFrame], path: str, prefix: str = "", fmt: str = "csv") -> dict[str, int]:
-    """One directory of part files per table; returns the rows written."""
-    return {name: _write(df, lambda w, n=name: w.mode("overwrite").format(fmt).option("header", True).save(f"{path}/{prefix}{n}.{fmt}"))
-            for name, df in tables.items() if df is not None}
+def write_tables(tables: dict[str, DataFrame], path: str, prefix: str = "", fmt: str = "csv", stats: StageStats | None = None) -> dict[str, int]:
+    """One directory of part files per table; returns the rows written. ``stats`` takes note of each write."""
+    stats = stats or StageStats()
+    return {
+        name: stats.write(name, df, lambda w, n=name: w.mode("overwrite").format(fmt).option("header", True).save(f"{path}/{prefix}{n}.{fmt}"))
+        for name, df in tables.items()
+        if df is not None
+    }
 
 
 def _write(df: DataFrame, action) -> int:
@@ -62,12 +71,13 @@ def create_tables(spark: SparkSession, database: str = "default") -> None:
 
 
 def _stored_shape(df: DataFrame, name: str) -> DataFrame:
-    """Column names, order and types of a declared table; absent columns become NULL."""
+    """Column names, order and types of a declared table; absent columns become NULL, stamps the present."""
     for old, new in S.STORED_NAMES.items():
         if old in df.columns and new not in df.columns:
             df = df.withColumnRenamed(old, new)
     wanted = [part.strip().rsplit(" ", 1) for part in S.STORED[name].split(",")]
-    cols = [(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in wanted]
+    absent = {c: F.localtimestamp() if c in S.STAMPED else F.lit(None) for c, _ in wanted if c not in df.columns}
+    cols = [absent.get(c, F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in wanted]
     if name in S.TIME_PARTITIONED:
         cols.append(F.col("time").cast("date").alias(DAY))
     return df.select(*cols)
@@ -93,6 +103,8 @@ def save_table(df: DataFrame, name: str, if_exists: str = "append", unique: bool
     if unique and declared:
         df = unique_rows(df, base, order)
     out = _stored_shape(df, base) if declared else df
+    if if_exists == "replace" and _exists(spark, f"{name}_batches"):
+        spark.sql(f"DROP TABLE {name}_batches")  # what it lists is gone
     timed = DAY in out.columns and declared and base in S.TIME_PARTITIONED
     if timed:
         # Few files per day, while adaptive execution splits a big day over many tasks.
@@ -184,10 +196,100 @@ def save_predictions(df: DataFrame, version: str, name: str = "predictions", cre
     return save_table(prediction_rows(df, version, created_at), name)
 
 
-def save_dataset(tables: dict[str, DataFrame], database: str = "default") -> dict[str, int]:
-    """Saves each known dataset under its table name, with the stored column names."""
+def _key_bits(rows: DataFrame, keys) -> DataFrame:
+    """``rows`` with ``_bucket`` and ``_bit``: the place of the row's key in a filter of KEY_BUCKETS bitmaps."""
+    place = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(KEY_BUCKETS * BITMAP_BITS))
+    return rows.withColumns({"_bucket": F.floor(place / BITMAP_BITS).cast("int"), "_bit": place % BITMAP_BITS})
+
+
+def _has_bit(bits: Column, bit: Column) -> Column:
+    byte = F.conv(F.hex(F.substring(bits, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    return F.getbit(byte, (bit % 8).cast("int")) == 1
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
+def known_keys(fresh: DataFrame, name: str) -> DataFrame:
+    """The keys of ``fresh`` (in stored shape) that the table holds already.
+
+    Of a day-partitioned table only the days of ``fresh`` are read, and only key columns. A bitmap of
+    the keys of ``fresh`` meets the stored rows where they lie: what misses it is no match and is not
+    shuffled; what hits it is compared by the keys themselves.
+    """
+    base = name.split(".")[-1]
+    keys = list(S.STORED_KEYS[base])
+    days = [DAY] if base in S.TIME_PARTITIONED else []
+    stored = fresh.sparkSession.table(name).select(*keys, *days)
+    if days:
+        touched = [r[0] for r in fresh.select(DAY).distinct().limit(LISTED_DAYS + 1).collect()]
+        # A short list of days prunes folders; more days are met in the join below.
+        if len(touched) <= LISTED_DAYS:
+            stored = stored.where(F.col(DAY).isin([d for d in touched if d is not None]) | F.col(DAY).isNull())
+    filters = stage(_key_bits(fresh, keys).groupBy(*days, "_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits")))
+    filters = filters.withColumnsRenamed({c: f"_f{c}" for c in (*days, "_bucket")})
+    if filters.count() <= SENT_BITMAPS:
+        filters = F.broadcast(filters)
+    near = _key_bits(stored, keys)
+    on = near["_bucket"] == filters["_f_bucket"]
+    for day in days:
+        on = on & near[day].eqNullSafe(filters[f"_f{day}"])
+    hits = near.join(filters, on).where(_has_bit(F.col("_bits"), F.col("_bit"))).select(*keys)
+    wanted = fresh.select(*keys)
+    return wanted.join(hits, _null_safe(wanted, hits, keys), "left_semi")
+
+
+def _digest(df: DataFrame) -> str:
+    """A name for the rows of a batch, free of their order: their number and the sums of two hashes of each."""
+    values = [F.col(f"`{c}`") for c in df.columns if c not in S.STAMPED]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *values).cast("decimal(38,0)")) for seed in (1, 2)]
+    n, *hashes = df.agg(F.count(F.lit(1)), *sums).first()
+    return f"{n}:{hashes[0]}:{hashes[1]}"
+
+
+def _manifest(spark: SparkSession, name: str) -> str:
+    """The table, beside ``name``, of the batches it holds."""
+    manifest = f"{name}_batches"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {manifest} (batch string, rows bigint, appended bigint, stored_at timestamp_ntz) USING parquet")
+    return manifest
+
+
+def append_new(df: DataFrame, name: str, order=None) -> int:
+    """Appends the rows whose keys a declared table does not hold yet; returns how many these are.
+
+    Of rows with one key the first along ``order`` counts. A batch is noted beside the table once its rows are in: the same
+    batch again is known by its digest and not compared at all. A write that breaks off leaves what was stored, and perhaps some of its
+    own rows; the next one adds what is missing. Two writers of one key at a time are not kept apart.
+    """
+    base = name.split(".")[-1]
+    if base not in S.STORED_KEYS:
+        raise ValueError(f"{base} has no declared keys")
+    spark = df.sparkSession
+    # Staged: the batch is read for its digest, its keys and its rows.
+    fresh = stage(_stored_shape(unique_rows(df, base, order), base))
+    batch, manifest = _digest(fresh), _manifest(spark, name)
+    if not spark.table(manifest).where(F.col("batch") == batch).isEmpty():
+        return 0
+    keys = S.STORED_KEYS[base]
+    known = stage(known_keys(fresh, name))
+    missing = fresh.join(known, _null_safe(fresh, known, keys), "left_anti")
+    out = missing.hint("rebalance", F.col(DAY)) if base in S.TIME_PARTITIONED else missing
+    appended = _write(out.select(*spark.table(name).columns), lambda w: w.insertInto(name))
+    note = spark.createDataFrame([(batch, int(batch.split(":")[0]), appended)], "batch string, rows bigint, appended bigint")
+    note.withColumn("stored_at", F.localtimestamp()).write.insertInto(manifest)
+    return appended
+
+
+def save_dataset(tables: dict[str, DataFrame], database: str = "default", orders: dict | None = None) -> dict[str, int]:
+    """Saves each known dataset under its table name, with the stored column names; returns the rows added.
+
+    Keys are enforced against what is stored, so saving a dataset again adds nothing. ``orders``
+    says per dataset which of several rows of one key counts.
+    """
+    create_tables(next(df for df in tables.values() if df is not None).sparkSession, database)
     return {
-        name: save_table(df, f"{database}.{S.DATASET_TABLES[name]}")
+        name: append_new(df, f"{database}.{S.DATASET_TABLES[name]}", (orders or {}).get(name))
         for name, df in tables.items()
         if df is not None and name in S.DATASET_TABLES
     }
@@ -226,19 +328,17 @@ def upsert_table(incoming: DataFrame, name: str, ts: str = "time") -> None:
 
 
 class StageStats:
-    """Rows, columns and seconds per stage, observed while the stage's output is written."""
+    """Rows, columns and seconds per stage, taken while the stage's output is written."""
 
     def __init__(self) -> None:
-        self._stages: dict[str, tuple[Observation, int, float]] = {}
+        self._stages: dict[str, dict] = {}
 
-    def watch(self, name: str, df: DataFrame) -> DataFrame:
-        seen = Observation(name)
-        self._stages[name] = (seen, len(df.columns), clock.monotonic())
-        return df.observe(seen, F.count(F.lit(1)).alias("records"))
+    def write(self, name: str, df: DataFrame, action) -> int:
+        """Runs ``action`` on the writer of ``df``; the stage's seconds are those of this write alone."""
+        start = clock.monotonic()
+        rows = _write(df, action)
+        self._stages[name] = {"records": rows, "columns": len(df.columns), "seconds": clock.monotonic() - start}
+        return rows
 
     def report(self) -> dict[str, dict]:
-        """Call after the watched frames were written."""
-        return {
-            name: {"records": seen.get["records"], "columns": width, "seconds": clock.monotonic() - start}
-            for name, (seen, width, start) in self._stages.items()
-        }
+        return {name: dict(stage) for name, stage in self._stages.items()}

@@ -142,9 +142,9 @@ def stream_feedback(predictions: DataFrame, actuals: DataFrame, delay: str = "1
 
 
 def feedback_summary(errors: DataFrame, target_mape: float = C.ForecastDefaults().target_mape, keys=("route",)) -> DataFrame:
-    """Running error per group and whether the model should be trained again."""
+    """Running error per group and whether the model should be trained again; only pairs with both sides count."""
     return errors.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("abs_error").alias("mae"), F.avg("pct_error").alias("mape")
+        F.count("error").alias("n"), F.avg("abs_error").alias("mae"), F.avg("pct_error").alias("mape")
     ).withColumn("retrain", F.col("mape") > target_mape)
 
 
