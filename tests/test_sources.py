@@ -118,6 +118,49 @@ def test_stage_statistics(spark, tmp_path):
     assert report["slow"]["seconds"] > report["quick"]["seconds"] > 0
 
 
+HTML = """<!-- <div id=x> --><div id="x" class="a b"><div>one<div class="b">two</div></div><br><p>open <p>more
+<a class='c d' title="1 > 0" href="/q?a=1&amp;b=2">l<b>i</b>nk</a></div><div class="b">three<table><tr><td>k<table><tr><td>in</td></tr></table></td><td>v</td></tr></table></div>"""
+
+
+@pytest.mark.parametrize(("selector", "found"), [
+    ("#x", 1), ("#x .b", 1), (".b", 3), ("div.a.b#x", 1), ("div div div", 1), ("#x a.c", 1), ("#x a.e", 0), ("DIV.b", 3), ("td td", 1), ("#y a", 0), ("br", 1), ("p", 2),
+])
+def test_elements_by_container_and_class(spark, selector, found):
+    df = spark.createDataFrame([(1, HTML), (2, None), (3, ""), (4, "no tags < at all")], "page_id int, html string")
+    rows = pg.select_elements(df, selector).collect()
+    assert len(rows) == found and {r["page_id"] for r in rows} <= {1} and [r["position"] for r in rows] == list(range(found))
+
+
+def test_elements_end_where_they_end(spark):
+    df = spark.createDataFrame([(1, HTML)], "page_id int, html string")
+    first = lambda s: pg.select_elements(df, s).first()["element"]
+    assert first("#x").endswith("</a></div>") and first("#x div").count("div>") == 3
+    assert first("#x .b") == '<div class="b">two</div>' and first("br") == "<br>"
+    assert first("tr").endswith("<td>v</td></tr>") and first("td td") == "<td>in</td>"
+    assert first("p").endswith("</table></div>")  # never closed
+    link = pg.extract_links(df, "http://s", selector="#x a.d").first()
+    assert (link["name"], link["url"], link["position"]) == ("link", "http://s/q?a=1&b=2", 0)
+    for wrong in ("", "a > b", "a[href]"):
+        with pytest.raises(ValueError):
+            pg.elements(F.col("html"), wrong)
+
+
+def test_labels_in_cells(spark):
+    html = "<div id=i><table><tr><td>Operator</td><td> A &amp; B </td></tr><tr><td>Distance</td><td><ul><li>Distance: 3 km</li></ul></td></tr></table></div><table><tr><td>Operator</td><td>other</td></tr></table>"
+    df = spark.createDataFrame([(1, html), (2, None)], "page_id int, html string")
+    inside = pg.extract_attributes(df, {"operator": "Operator", "distance": "Distance", "none": "None"}, within="#i").orderBy("page_id").collect()
+    assert [tuple(r) for r in inside] == [(1, "A & B", "3 km", ""), (2, "", "", "")]
+    assert pg.extract_attributes(df, {"operator": "Operator"}).orderBy("page_id").first()["operator"] == "other"
+
+
+def test_direction_of_timetable_rows(spark):
+    row = "<tr><td>{}</td><td>S</td><td>x</td><td>05:00</td></tr>"
+    html = f"<table>{row.format(0)}</table><h3>To North</h3><table>{row.format(1)}{row.format(2)}</table><h3>To <i>South</i></h3>{row.format(3)}<h3>Fares</h3>{row.format(4)}"
+    df = spark.createDataFrame([(1, html)], "page_id int, html string")
+    got = {r["stop_order"]: (r["row"], r["direction"]) for r in pg.extract_timetable(df, direction_word="To").collect()}
+    assert got == {"0": (0, "Unknown"), "1": (1, "To North"), "2": (2, "To North"), "3": (3, "To South"), "4": (4, "Unknown")}
+
+
 @pytest.fixture
 def store(spark, tmp_path):
     db = f"t_{uuid.uuid4().hex}"

@@ -57,5 +57,5 @@ def trimmed(c: Column) -> Column:
 
 
 def plain_text(c: Column) -> Column:
-    """Markup removed, blanks at both ends removed."""
-    return F.regexp_replace(F.regexp_replace(c, "<[^>]*>", ""), r"^\s+|\s+$", "")
+    """Markup removed (a bracket may stand in a quoted value), blanks at both ends removed."""
+    return F.regexp_replace(F.regexp_replace(c, r"""<(?:"[^"]*"|'[^']*'|[^'">])*>|<[^>]*>""", ""), r"^\s+|\s+$", "")

@@ -236,13 +236,54 @@ def s17b(fx):
 
 @check(
     "S18_extract_timetable",
-    """SELECT o_orderkey AS page_id, CAST(unnest([6, 7]) AS INT) AS "row", unnest(['1', '2']) AS stop_order, unnest(['Alpha', 'Beta ' || o_custkey]) AS stop_name,
+    """SELECT o_orderkey AS page_id, CAST(unnest([6, 7]) AS INT) AS "row", 'To South' AS direction, unnest(['1', '2']) AS stop_order, unnest(['Alpha', 'Beta ' || o_custkey]) AS stop_name,
       unnest(['05:' || lpad(CAST(o_custkey % 60 AS VARCHAR), 2, '0') || '-06:35', '06:10']) AS departure_time FROM orders WHERE o_orderstatus <> 'P'""",
 )
 def s18(fx):
     return pg.extract_timetable(fx.view("route_pages"))
 
 
+@check("S18_timetable_by_word", "SELECT o_orderkey AS page_id, unnest(['1', '2']) AS stop_order, 'Unknown' AS direction FROM orders WHERE o_orderstatus <> 'P'")
+def s18b(fx):
+    """The last heading above the times is no heading North."""
+    return pg.extract_timetable(fx.view("route_pages"), direction_word="North").select("page_id", "stop_order", "direction")
+
+
+@check(
+    "S15_select_links",
+    """SELECT o_orderkey AS page_id, CAST(unnest(range(0, n)) AS INT) AS position, unnest(['7', '08'][:n]) AS number, unnest(['North ' || o_custkey, o_orderpriority][:n]) AS name,
+      unnest(['http://transit.example/r/' || o_custkey, 'http://other.example/' || o_orderkey][:n]) AS url FROM (SELECT *, CASE o_orderstatus WHEN 'P' THEN 0 WHEN 'F' THEN 1 ELSE 2 END AS n FROM orders)""",
+)
+def s15b(fx):
+    """Only the buttons of the result box, whatever boxes lie inside and around it."""
+    return pg.extract_links(fx.view("list_pages"), "http://transit.example", selector="#divResult a.cms-button")
+
+
+@check(
+    "S16_table_attributes",
+    """SELECT o_orderkey AS page_id, CASE o_orderstatus WHEN 'P' THEN '' ELSE 'Company ' || o_custkey END AS operator,
+      CASE o_orderstatus WHEN 'P' THEN '' ELSE o_custkey || ' km' END AS distance, CASE o_orderstatus WHEN 'P' THEN '' ELSE o_orderpriority END AS fare FROM orders""",
+)
+def s16b(fx):
+    """Labels in cells and in lists of the information table; a table elsewhere says something else."""
+    return pg.extract_attributes(fx.view("list_pages"), {"operator": "Operator", "distance": "Distance", "fare": "Fare"}, within="#rouInfo table.tbl100")
+
+
+@check(
+    "S3_route_documents",
+    """WITH docs AS (SELECT o_orderkey AS route_id, o_custkey AS variant_id, CASE o_orderkey % 2 WHEN 0 THEN 'outbound' ELSE 'inbound' END AS direction_name, o_orderstatus AS s FROM orders WHERE o_orderstatus <> 'F')
+    SELECT route_id, 2::BIGINT AS variants, direction_name || '_' || variant_id AS variant_key, CASE s WHEN 'P' THEN 0 ELSE 2 END::BIGINT AS stops, CASE s WHEN 'P' THEN 0 ELSE 3 END::BIGINT AS points, CASE s WHEN 'P' THEN NULL ELSE 10.5::DOUBLE END AS second_lat FROM docs
+    UNION ALL SELECT route_id, 2, direction_name || '_' || (variant_id + 1), 0, 0, NULL FROM docs""",
+)
+def s3d(fx):
+    """One document per route, read back variant by variant."""
+    docs = fx.view("route_docs")
+    whole = dc.route_documents(dc.flatten_route_variants(fx.view("variant_docs")), dc.flatten_route_stops(docs), dc.flatten_route_paths(docs))
+    each = whole.select("route_id", F.size("variants").cast("long").alias("variants"), F.explode("stops").alias("variant_key", "s"), "paths")
+    path = F.try_element_at("paths", F.col("variant_key"))
+    return each.select("route_id", "variants", "variant_key", F.size("s").cast("long").alias("stops"), F.size(path).cast("long").alias("points"), F.get(path, F.lit(1))["lat"].alias("second_lat"))
+
+
 @check("S19_usable_documents", "SELECT route_id, direction, variant_id FROM v_route_docs WHERE status = 200 AND trim(stops_json) NOT IN ('', 'null', '[]', '{}')")
 def s19(fx):
     return dc.usable_documents(fx.view("route_docs")).select("route_id", "direction", "variant_id")

@@ -139,6 +139,18 @@ VIEWS = {
             '<tr><td>2</td><td>Beta '||CAST(o_custkey AS {S})||'</td><td>06:10</td><td>07:00</td></tr><tr><td>3</td><td>Gamma</td><td>08:00</td></tr></table>' END AS html
         FROM {orders}""",
     ),
+    "list_pages": (
+        "orders",
+        """SELECT o_orderkey AS page_id, '<html><script>if (a < b) {{ write("<div id=divResult>") }}</script><div class="menu"><a class="cms-button" href="/menu">Menu</a></div>'||
+            CASE o_orderstatus WHEN 'P' THEN '<p>nothing found' ELSE
+            '<div class="wide" id="divResult"><div><img src="x.png"><a class="big cms-button" title="a > b" href="/r/'||CAST(o_custkey AS {S})||'"><span class="icon">7</span><div class="routetrip"> North '||CAST(o_custkey AS {S})||' </div></a></div>'||
+            '<a class="plain" href="/no">no</a><a class="cms-button">no place</a>'||
+            CASE o_orderstatus WHEN 'F' THEN '' ELSE '<div><div><a href=http://other.example/'||CAST(o_orderkey AS {S})||' class=''cms-button''><span class="icon">08</span><div class="routetrip">'||o_orderpriority||'</div></a></div></div>' END||
+            '</div><a class="cms-button" href="/after">After</a><table class="tbl100"><tr><td>Operator</td><td>someone else</td></tr></table>'||
+            '<div id="rouInfo"><div>head</div><table class="a tbl100"><tr><td><b>Operator</b></td><td>Company '||CAST(o_custkey AS {S})||'</td></tr>'||
+            '<tr><td>Facts</td><td><ul><li>Distance: '||CAST(o_custkey AS {S})||' km</li></ul></td><td><ul><li>Fare: '||o_orderpriority||'</li></ul></td></tr></table></div>' END||'</html>' AS html
+        FROM {orders}""",
+    ),
 }
 
 

@@ -69,6 +69,28 @@ def flatten_route_paths(df: DataFrame) -> DataFrame:
     return zipped.select("route_id", "direction", "variant_id", "position", F.col("at.lat").alias("lat"), F.col("at.lng").alias("lng"), "point_count")
 
 
+def route_documents(variants: DataFrame, stops: DataFrame, paths: DataFrame) -> DataFrame:
+    """One row per route: its variants, and per variant key ("outbound_12") the stops and the path.
+
+    The inputs are the flat tables of this module. A variant without stops or path has an empty list; stops and
+    paths of variants that are not listed are left out. Lists are sorted, so repeated runs give equal rows.
+    """
+    listed = variants.select("route_id", F.concat_ws("_", "direction_name", F.col("variant_id").cast("string")).alias("variant_key"), F.struct(*[c for c in variants.columns if c != "route_id"]).alias("variant"))
+    at = ["route_id", "variant_key"]
+    details = [c for c in stops.columns if c not in ("direction", "variant_id", *at)]
+    per_stops = stops.groupBy(*at).agg(F.sort_array(F.collect_list(F.struct(*details))).alias("stops"))
+    keyed = paths.withColumn("variant_key", variant_key("direction", "variant_id"))
+    per_path = keyed.groupBy(*at).agg(F.sort_array(F.collect_list(F.struct("position", "lat", "lng"))).alias("path"))
+    # Every list is as long as one variant's document was.
+    whole = listed.join(per_stops, at, "left").join(per_path, at, "left")
+    none = {c: F.array().cast(t.schema[c].dataType) for c, t in (("stops", per_stops), ("path", per_path))}
+    return whole.groupBy("route_id").agg(
+        F.sort_array(F.collect_list("variant")).alias("variants"),
+        F.map_from_entries(F.array_distinct(F.sort_array(F.collect_list(F.struct("variant_key", F.coalesce("stops", none["stops"]).alias("stops")))))).alias("stops"),
+        F.map_from_entries(F.array_distinct(F.sort_array(F.collect_list(F.struct("variant_key", F.coalesce("path", none["path"]).alias("path")))))).alias("paths"),
+    )
+
+
 def _conditions(w: Column) -> dict[str, Column]:
     first = F.get(w["weather"], F.lit(0))
     return {

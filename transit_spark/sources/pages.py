@@ -1,11 +1,16 @@
-"""Landed HTML pages: links, attribute lists, stop sections, timetables.
+"""Landed HTML pages: elements by container and class, links, attribute lists, stop sections, timetables.
 
-Built-in regular expressions over whole pages; each page is one row, so nothing is shuffled except
-where repeated rows have to be removed.
+Built-in expressions over whole pages; each page is one row, so nothing is shuffled except where
+repeated rows have to be removed. ``elements`` cuts a page into tags and texts and counts the tags of an
+element's own kind to find where it ends, which a regular expression cannot: a div within a div, a table
+within a cell.
 """
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +20,6 @@ from transit_spark.functions.text import plain_text, trimmed, unescape_html
 # quotes or in none, attributes in any order, and an element may have several classes.
 _HREF = r"""href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 ANCHOR = rf"(?is)<a\s(?:[^>]*\s)?{_HREF}[^>]*>.*?</a>"
-HREF = rf"(?is)^<a\s(?:[^>]*\s)?{_HREF}"
 
 
 def _of_class(tag: str, name: str) -> str:
@@ -30,6 +34,14 @@ STOP_ROW = _of_class("tr", "rowStop")
 CELL = r"(?is)<td[^>]*>(.*?)</td>"
 CLOCK = r"\d{2}:\d{2}(-\d{2}:\d{2})?"
 TERMINALS = ("A", "B")
+UNKNOWN_DIRECTION = "Unknown"
+#: Comments, scripts and styles as a whole, tags (a bracket may stand in a quoted value), texts, stray brackets.
+TOKEN = r"""(?is)<!--.*?-->|<(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>|</?[a-z](?:"[^"]*"|'[^']*'|[^'">])*>|[^<]+|<"""
+TAG = r"(?is)^<(/?[a-z][a-z0-9]*)"
+OPENING = r"""(?is)^<[a-z](?:"[^"]*"|'[^']*'|[^'">])*>"""
+#: Elements that never hold anything.
+EMPTY = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+HEADING_OR_ROW = r"(?is)<h3\b[^>]*>.*?</h3\s*>|<tr\b[^>]*>.*?</tr\s*>"
 
 
 def _all(text: Column, pattern: str, group: int) -> Column:
@@ -41,10 +53,89 @@ def _text(c: Column) -> Column:
     return trimmed(unescape_html(plain_text(c)))
 
 
-def extract_links(pages: DataFrame, site: str = "", key: str = "page_id") -> DataFrame:
-    """(page, position, number, name, url) per link; a path is put behind ``site``."""
-    links = pages.select(key, F.posexplode(_all(F.col("html"), ANCHOR, 0)).alias("position", "a"))
-    href = unescape_html(F.concat(*[F.regexp_extract("a", HREF, group) for group in (1, 2, 3)]))
+def _attribute(element: Column, name: str) -> Column:
+    """The value of an attribute of an element's own tag, '' without it."""
+    found = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    tag = F.regexp_extract(element, OPENING, 0)
+    return F.concat(*[F.regexp_extract(tag, found, group) for group in (1, 2, 3)])
+
+
+def _matches(token: Column, step: str) -> Column:
+    """Whether a token opens an element of ``step``: a tag, ``#id`` and ``.class`` in any combination."""
+    parts = re.findall(r"([#.]?)([A-Za-z0-9_-]+)", step)
+    if "".join(kind + name for kind, name in parts) != step or not parts:
+        raise ValueError(f"unknown selector step: {step!r}")
+    checks = [F.lower(F.regexp_extract(token, TAG, 1)) == name.lower() if not kind
+              else _attribute(token, "id") == name if kind == "#"
+              else F.array_contains(F.split(_attribute(token, "class"), r"\s+"), name) for kind, name in parts]
+    opens = F.regexp_extract(token, TAG, 1).rlike("^[A-Za-z]")
+    return reduce(lambda a, b: a & b, checks, opens)
+
+
+def _end_of(tokens: Column, start: Column) -> Column:
+    """Index of the token that closes the element opened at ``start``: tags of its own kind are counted, so what is
+    left open inside does not matter. An element that is never closed reaches to the end of the page."""
+    name = F.lower(F.regexp_extract(F.get(tokens, start), TAG, 1))
+
+    def step(state: Column, i: Column) -> Column:
+        tag = F.lower(F.regexp_extract(F.get(tokens, i), TAG, 1))
+        depth = state["depth"] + F.when(tag == name, 1).when(tag == F.concat(F.lit("/"), name), -1).otherwise(0)
+        return F.when(state["end"].isNotNull(), state).otherwise(F.struct(depth.alias("depth"), F.when(depth == 0, i).alias("end")))
+
+    walk = F.aggregate(
+        F.sequence(start, F.size(tokens) - 1), F.struct(F.lit(0).alias("depth"), F.lit(None).cast("int").alias("end")), step, lambda s: s["end"]
+    )
+    return F.when(name.isin(*EMPTY), start).otherwise(F.coalesce(walk, F.size(tokens) - 1))
+
+
+def _once(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is used in there."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def elements(html: Column, selector: str) -> Column:
+    """The markup of each element that ``selector`` names, in document order, from its tag to its end.
+
+    ``selector`` is a list of steps divided by blanks, each an element inside one of the step before:
+    ``#divResult a.cms-button``. NULL for a page that is NULL.
+    """
+    steps = selector.split()
+    if not steps:
+        raise ValueError("an empty selector")
+
+    def spans_of(tokens: Column, remaining: list[str], outer: Column | None) -> Column:
+        """The texts of the last step's elements, each step looked for inside the spans of the one before."""
+
+        def opened(i: Column) -> Column:
+            hit = _matches(F.get(tokens, i), remaining[0])
+            return hit if outer is None else hit & F.exists(outer, lambda s: (s["start"] < i) & (i <= s["end"]))
+
+        places = F.filter(F.sequence(F.lit(0), F.size(tokens) - 1), opened)
+        spans = F.transform(places, lambda i: F.struct(i.alias("start"), _end_of(tokens, i).alias("end")))
+        if len(remaining) > 1:
+            return _once(spans, lambda found: spans_of(tokens, remaining[1:], found))
+        return F.transform(spans, lambda s: F.array_join(F.slice(tokens, s["start"] + 1, s["end"] - s["start"] + 1), ""))
+
+    def of_page(tokens: Column) -> Column:
+        return F.when(F.size(tokens) > 0, spans_of(tokens, steps, None)).otherwise(F.array().cast("array<string>"))
+
+    return F.when(html.isNotNull(), _once(F.regexp_extract_all(html, F.lit(TOKEN), F.lit(0)), of_page))
+
+
+def select_elements(pages: DataFrame, selector: str, key: str = "page_id", html: str = "html", name: str = "element") -> DataFrame:
+    """(page, position, element) of the elements that ``selector`` names."""
+    return pages.select(key, F.posexplode(elements(F.col(html), selector)).alias("position", name))
+
+
+def extract_links(pages: DataFrame, site: str = "", key: str = "page_id", selector: str | None = None) -> DataFrame:
+    """(page, position, number, name, url) per link; a path is put behind ``site``. ``selector`` takes
+    only the links it names, and those among them that lead somewhere; positions count these."""
+    if selector is None:
+        found = _all(F.col("html"), ANCHOR, 0)
+    else:
+        found = F.filter(elements(F.col("html"), selector), lambda a: _attribute(a, "href") != "")
+    links = pages.select(key, F.posexplode(found).alias("position", "a"))
+    href = unescape_html(_attribute(F.col("a"), "href"))
     titled = F.regexp_extract("a", TRIP, 1)
     return links.select(
         key,
@@ -55,17 +146,22 @@ def extract_links(pages: DataFrame, site: str = "", key: str = "page_id") -> Dat
     )
 
 
-def extract_attributes(pages: DataFrame, labels: dict[str, str], key: str = "page_id") -> DataFrame:
+def extract_attributes(pages: DataFrame, labels: dict[str, str], key: str = "page_id", within: str | None = None) -> DataFrame:
     """One row per page, one column per label: the text behind "Label:" of the last list item that
-    names the label, '' when none does."""
-    items = pages.select(key, F.transform(_all(F.col("html"), ITEM, 1), _text).alias("items"))
+    names the label, else the text of the cell beside the last table cell that names it, '' when
+    neither does. ``within`` (a selector) looks only into such elements; a cell that holds lists is no value."""
+    body = F.col("html") if within is None else F.array_join(elements(F.col("html"), within), "\n")
+    parts = pages.select(key, body.alias("_body"))
+    items = parts.select(key, "_body", F.transform(_all(F.col("_body"), ITEM, 1), _text).alias("items"))
+    cells = F.transform(elements(F.col("_body"), "tr"), lambda row: elements(row, "td"))
 
     def value(label: str) -> Column:
         named = F.filter("items", lambda i: F.contains(i, F.lit(label)))
         text = F.replace(F.try_element_at(named, F.lit(-1)), F.lit(f"{label}:"), F.lit(""))
-        return F.coalesce(F.trim(text), F.lit(""))
+        beside = F.filter("cells", lambda row: (F.size(row) >= 2) & F.contains(_text(F.get(row, F.lit(0))), F.lit(label)) & ~F.get(row, F.lit(1)).rlike("(?i)<li\\b"))
+        return F.coalesce(F.trim(text), _text(F.get(F.try_element_at(beside, F.lit(-1)), F.lit(1))), F.lit(""))
 
-    return items.select(key, *[value(label).alias(name) for name, label in labels.items()])
+    return items.select(key, "items", cells.alias("cells")).select(key, *[value(label).alias(name) for name, label in labels.items()])
 
 
 def extract_stops(pages: DataFrame, skip_terminals: bool = False, direction_word: str | None = None, key: str = "page_id") -> DataFrame:
@@ -91,16 +187,27 @@ def extract_stops(pages: DataFrame, skip_terminals: bool = False, direction_word
     return rows.distinct()
 
 
-def extract_timetable(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """(page, row, stop_order, stop_name, departure_time): first clock text from the third cell on,
-    for table rows of at least four cells."""
-    rows = pages.select(key, F.posexplode(_all(F.col("html"), ROW, 0)).alias("row", "tr"))
-    cells = rows.select(key, "row", F.transform(_all(F.col("tr"), CELL, 1), _text).alias("cells")).where(F.size("cells") >= 4)
+def extract_timetable(pages: DataFrame, key: str = "page_id", direction_word: str = "") -> DataFrame:
+    """(page, row, direction, stop_order, stop_name, departure_time): first clock text from the third cell
+    on, for table rows of at least four cells. ``direction`` is the last heading above the row, if it
+    holds ``direction_word``; rows below another heading, or none, have an unknown one."""
+    marks = pages.select(key, _all(F.col("html"), HEADING_OR_ROW, 0).alias("marks"))
+    heading = "(?i)^<h3"
+
+    def told(mark: Column, i: Column) -> Column:
+        above = F.filter(F.slice(F.col("marks"), F.lit(1), i), lambda m: m.rlike(heading))
+        rows = F.size(F.filter(F.slice(F.col("marks"), F.lit(1), i), lambda m: ~m.rlike(heading)))
+        return F.struct(rows.alias("row"), F.try_element_at(above, F.lit(-1)).alias("heading"), mark.alias("tr"))
+
+    rows = marks.select(key, F.explode(F.filter(F.transform("marks", told), lambda r: ~r["tr"].rlike(heading))).alias("r"))
+    cells = rows.select(key, "r.row", "r.heading", F.transform(_all(F.col("r.tr"), CELL, 1), _text).alias("cells")).where(F.size("cells") >= 4)
     times = F.transform(F.slice(F.col("cells"), F.lit(3), F.size("cells")), lambda c: F.regexp_extract(c, CLOCK, 0))
     first = F.get(F.filter(times, lambda t: t != ""), F.lit(0))
+    title = _text(F.col("heading"))
     return cells.select(
         key,
         "row",
+        F.when(F.contains(title, F.lit(direction_word)), title).otherwise(UNKNOWN_DIRECTION).alias("direction"),
         F.get("cells", F.lit(0)).alias("stop_order"),
         F.get("cells", F.lit(1)).alias("stop_name"),
         first.alias("departure_time"),
