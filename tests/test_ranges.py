@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from transit_spark.operators import cleaning as cl
+from transit_spark.operators import context as cx
 from transit_spark.operators import evaluation as ev
 from transit_spark.operators import scaling as nm
 from transit_spark.operators import schedule as sc
@@ -120,3 +121,37 @@ def test_qq_samples_of_any_number(spark, n):
     assert [(r["position"], r["value"]) for r in ev.qq_points(one, "v", n).collect()] == [(0, 4.0)]
     with pytest.raises(ValueError):
         ev.qq_points(df, "v", 0)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_active_events_equal_a_plain_loop(spark, many_ranges, seed):
+    """Events that touch, nest, repeat, last an instant or end before they start, and times at their borders."""
+    draw = np.random.default_rng(seed)
+    events = []
+    for _ in range(80):
+        start = int(draw.integers(0, 60))
+        events.append((T0 + dt.timedelta(minutes=start), T0 + dt.timedelta(minutes=start + int(draw.choice([0, 1, 5, 40, -2]))), float(draw.integers(10, 20)) / 10))
+    events += [events[0], (None, T0, 9.0), (T0, None, 9.0)]
+    times = [T0 + dt.timedelta(seconds=30 * i) for i in range(-2, 230)] + [None, T0]
+    rows = spark.createDataFrame([(t,) for t in times], "time timestamp_ntz")
+    df = spark.createDataFrame(events, "start_time timestamp_ntz, end_time timestamp_ntz, impact_factor double")
+    got = {r["time"]: (r["active_count"], r["active_impact"]) for r in cx.active_events(rows, df).collect()}
+    want = {}
+    for t in times:
+        if t is not None and (active := [i for s, e, i in events if s is not None and e is not None and s <= t <= e]):
+            want[t] = (len(active), max(active))
+    assert got == want
+    assert cx.active_events(rows, df.limit(0)).collect() == [] and cx.active_events(rows.limit(0), df).collect() == []
+    counts = {r["time"]: (r["active_count"], r["active_impact"]) for r in cx.active_events(rows, df.drop("impact_factor")).collect()}
+    assert counts == {t: (n, None) for t, (n, _) in want.items()}
+
+
+def test_each_time_is_swept_once(spark, many_ranges, monkeypatch):
+    """What is cut into ranges has a row per time and per start and end, whatever the length of events."""
+    sizes = []
+    real = cx.ranged
+    monkeypatch.setattr(cx, "ranged", lambda df, order: sizes.append(df.count()) or real(df, order))
+    events = spark.range(300).select(F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("start_time"), F.timestamp_seconds(F.col("id") * 60 + 30_000_000).cast("timestamp_ntz").alias("end_time"), F.lit(1.5).alias("impact_factor"))
+    rows = spark.range(5_000).select(F.timestamp_seconds(F.col("id") * 7 + 3).cast("timestamp_ntz").alias("time"))
+    found = cx.active_events(rows, events)
+    assert found.count() == 5_000 and sizes[0] <= 5_000 + 600

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from transit_spark.functions.spatial import EARTH_RADIUS_KM, haversine
 from transit_spark.functions.temporal import epoch_micros, floor_time
+from transit_spark.operators.series import RANGE, ranged, running_totals
+from transit_spark.session import stage, stage_all
 
 WEATHER_COLS = ("temperature", "humidity", "rain_mm", "wind_speed", "conditions")
 
@@ -42,13 +44,13 @@ def weather_features(df: DataFrame) -> DataFrame:
     return df.withColumns(new) if new else df
 
 
-def interval_pieces(intervals: DataFrame, start: str, end: str) -> DataFrame:
-    """Cuts each closed interval into aligned pieces, at most two per level.
+def aligned_pieces(spans: DataFrame) -> DataFrame:
+    """Cuts each span ``_s`` <= x < ``_e`` of whole numbers into aligned pieces, at most two per level.
 
-    A piece is (``_level``, ``_node``): the microseconds node*2**level .. (node+1)*2**level - 1. A
-    time lies in the interval exactly when its own node on some level is one of the pieces, so
-    "point in range" becomes a plain equi-join: no range condition, no pairs to filter, and an
-    interval of any length costs a few dozen rows.
+    A piece is (``_level``, ``_node``): the numbers node*2**level .. (node+1)*2**level - 1. A number
+    lies in the span exactly when its own node on some level is one of the pieces, so "number in
+    range" becomes a plain equi-join: no range condition, no pairs to filter, and a span of any
+    length costs a few dozen rows.
     """
     inner = """
         flatten(transform(sequence(0, {top} - 1), k -> array(
@@ -63,17 +65,19 @@ def interval_pieces(intervals: DataFrame, start: str, end: str) -> DataFrame:
                             n -> struct({top} AS level, n AS node))
              ELSE array() END
     """.format(top=TOP_LEVEL)
-    bounds = intervals.withColumns(
-        {"_s": epoch_micros(start), "_e": epoch_micros(end) + 1}
-    ).where(F.col("_s") < F.col("_e"))
     pieces = F.filter(F.concat(F.expr(inner), F.expr(outer)), lambda p: p.isNotNull())
     return (
-        bounds.withColumn("_piece", F.explode(pieces))
+        spans.where(F.col("_s") < F.col("_e")).withColumn("_piece", F.explode(pieces))
         .withColumns({"_level": F.col("_piece.level"), "_node": F.col("_piece.node")})
         .drop("_s", "_e", "_piece")
     )
 
 
+def interval_pieces(intervals: DataFrame, start: str, end: str) -> DataFrame:
+    """The aligned pieces, in microseconds, of each closed interval of time."""
+    return aligned_pieces(intervals.withColumns({"_s": epoch_micros(start), "_e": epoch_micros(end) + 1}))
+
+
 def look_up(times: DataFrame, pieces: DataFrame) -> DataFrame:
     """Each distinct ``time`` with every row of ``pieces`` that holds it."""
     look = (
@@ -89,17 +93,43 @@ def look_up(times: DataFrame, pieces: DataFrame) -> DataFrame:
 def active_events(times: DataFrame, events: DataFrame) -> DataFrame:
     """(time, active_count, active_impact) of each distinct time some event is active at.
 
-    Events sharing a piece are combined on the map side, and each time is looked up once.
+    A sweep over the sorted instants at which events start or have ended, and the times asked for,
+    cut into ranges: the running sum of starts and ends is the number of active events, and the running number of instants
+    names the segment a time lies in. Between two instants nothing changes, so the largest impact belongs
+    to a segment: events are spans of segment numbers, cut into aligned pieces that meet the segments asked for,
+    of which there are never more than instants. Each time is looked up once.
     """
     has_impact = "impact_factor" in events.columns
-    cols = ["start_time", "end_time", *(["impact_factor"] if has_impact else [])]
     impact = F.max("impact_factor") if has_impact else F.max(F.lit(None).cast("double"))
-    per_piece = interval_pieces(events.select(*cols), "start_time", "end_time").groupBy("_level", "_node").agg(
-        F.count(F.lit(1)).alias("n"), impact.alias("impact")
+    spans = (
+        events.select(epoch_micros("start_time").alias("_s"), (epoch_micros("end_time") + 1).alias("_e"), *(["impact_factor"] if has_impact else []))
+        .where(F.col("_s") < F.col("_e"))
+        .groupBy("_s", "_e").agg(F.count(F.lit(1)).alias("n"), impact.alias("impact"))
     )
-    return look_up(times, per_piece).groupBy("time").agg(
-        F.sum("n").alias("active_count"), F.max("impact").alias("active_impact")
+    asked = times.where(F.col("time").isNotNull()).select(F.col("time").cast("timestamp_ntz").alias("time")).distinct()
+    sides = stage_all({"spans": spans, "asked": asked})
+    spans = sides["spans"]
+    none = F.lit(None).cast("timestamp_ntz").alias("time")
+    starts = spans.select(F.col("_s").alias("at"), none, F.col("n").alias("step"), F.lit(1).alias("mark"))
+    ends = spans.select(F.col("_e").alias("at"), none, (-F.col("n")).alias("step"), F.lit(1).alias("mark"))
+    asked = sides["asked"].select(epoch_micros("time").alias("at"), "time", F.lit(0).cast("long").alias("step"), F.lit(0).alias("mark"))
+    # One row per instant: a start or an end at a time takes effect for it.
+    instants = starts.unionByName(ends).unionByName(asked).groupBy("at").agg(F.max("time").alias("time"), F.sum("step").alias("step"), F.max("mark").alias("mark"))
+    swept = running_totals(ranged(instants, ["at"]), [], ["at"], ["step", "mark"], F.col(RANGE))
+    swept = stage(swept.select("at", "time", "mark", F.col("_total_step").alias("active_count"), F.col("_total_mark").alias("segment")))
+    seen = swept.where(F.col("time").isNotNull() & (F.col("active_count") > 0)).select("time", "active_count", "segment")
+    marks = swept.where("mark = 1")
+    numbered = (
+        spans.join(marks.select(F.col("at").alias("_s"), F.col("segment").alias("first")), "_s")
+        .join(marks.select(F.col("at").alias("_e"), F.col("segment").alias("after")), "_e")
+        .groupBy(F.col("first").alias("_s"), F.col("after").alias("_e")).agg(F.max("impact").alias("impact"))
     )
+    pieces = aligned_pieces(numbered).groupBy("_level", "_node").agg(F.max("impact").alias("impact"))
+    # No piece is longer than there are segments.
+    top = marks.agg(F.floor(F.log2(F.count(F.lit(1)) + 1)).cast("int")).scalar()
+    look = seen.select("segment").distinct().withColumn("_level", F.explode(F.sequence(F.lit(0), top))).withColumn("_node", F.expr("shiftright(segment, _level)"))
+    strongest = look.join(pieces, ["_level", "_node"]).groupBy("segment").agg(F.max("impact").alias("active_impact"))
+    return seen.join(strongest, "segment", "left").select("time", "active_count", "active_impact")
 
 
 def join_active_events(

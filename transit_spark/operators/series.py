@@ -102,16 +102,24 @@ def with_positions(df: DataFrame, keys, order, block: Column | None = None) -> D
     return _restored(placed, columns, keys, (F.col("_before") + F.col("_row")).alias("_pos"), "_size")
 
 
-def running_total(df: DataFrame, keys, order, value: str, block: Column) -> DataFrame:
-    """Adds ``_total``: inclusive running sum of ``value`` along ``order``."""
-    keys = list(keys)
+def running_totals(df: DataFrame, keys, order, values, block: Column) -> DataFrame:
+    """Adds ``_total_<value>`` for each of ``values``: its inclusive running sum along ``order``.
+
+    A prefix scan: sums inside each block, and before it the sums of the blocks of its series before.
+    """
+    keys, values = list(keys), list(values)
     cut, inner = _cut(df, keys, order, block)
-    sums, series = _blocks(cut.groupBy("_g").agg(F.sum(value).alias("_sum")), keys)
+    sums, series = _blocks(cut.groupBy("_g").agg(*[F.sum(v).alias(f"_sum_{v}") for v in values]), keys)
     run = series.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("_g", F.coalesce(F.sum("_sum").over(run), F.lit(0)).alias("_before"))
+    offsets = sums.select("_g", *[F.coalesce(F.sum(f"_sum_{v}").over(run), F.lit(0)).alias(f"_before_{v}") for v in values])
     inside = Window.partitionBy("_g").orderBy(*inner).rowsBetween(Window.unboundedPreceding, 0)
-    summed = cut.withColumn("_inner", F.sum(value).over(inside)).join(offsets, "_g", "left")
-    return _restored(summed, df.columns, keys, (F.col("_inner") + F.col("_before")).alias("_total"))
+    summed = cut.withColumns({f"_inner_{v}": F.sum(v).over(inside) for v in values}).join(offsets, "_g", "left")
+    return _restored(summed, df.columns, keys, *[(F.col(f"_inner_{v}") + F.col(f"_before_{v}")).alias(f"_total_{v}") for v in values])
+
+
+def running_total(df: DataFrame, keys, order, value: str, block: Column) -> DataFrame:
+    """Adds ``_total``: inclusive running sum of ``value`` along ``order``."""
+    return running_totals(df, keys, order, [value], block).withColumnRenamed(f"_total_{value}", "_total")
 
 
 def in_chunks(placed: DataFrame, keys, before: int = 0, after: int = 0, size: int = CHUNK_ROWS):
