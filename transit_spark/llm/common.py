@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -42,6 +44,19 @@ class Scratch:
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back() -> None:
+    """Returns what a worker has freed to the system. Workers are used again by later stages, and memory that
+    an allocator keeps for itself there adds up with what their own stage needs."""
+    import gc
+
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other systems than Linux have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -50,6 +65,7 @@ def in_batches(function: Callable[[pd.DataFrame], pd.DataFrame]) -> Callable[[It
     """``function`` over each Arrow batch, for ``mapInPandas``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        give_back()
         for batch in batches:
             yield function(batch)
 

@@ -17,12 +17,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transit_spark.llm.common import Scratch, table, with_offsets
+from transit_spark.llm.common import Scratch, give_back, table, with_offsets
 
 CAPACITY, END_ID = 4096, 1
 #: Lengths over CAPACITY / LARGE_SHARE are large; they are rounded up in GROUPS groups of equal cardinality.
 LARGE_SHARE, GROUPS = 8, 48
-KEPT_LENGTH, KEPT_WORDS = 48, 1_000_000
+KEPT_LENGTH, KEPT_WORDS = 48, 250_000
 PLAIN = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]+)")
 
 
@@ -256,6 +256,7 @@ def pieces_of(docs: DataFrame, path: str, capacity: int, end_id: int | None, id_
     end = b"" if end_id is None else struct.pack("<I", end_id)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        give_back()
         task, seen = TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
             out = []
