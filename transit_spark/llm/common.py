@@ -91,17 +91,45 @@ def with_offsets(rows: DataFrame, block: str, keys: list[str], local: str, out:
     return rows.join(offsets, [*keys, block]).withColumn(out, F.col("_before") + F.col(local)).drop("_before")
 
 
-def sample_ids(rows: DataFrame, id_column: str, group: str, per_group: int) -> list[tuple]:
-    """At most ``per_group`` (id, group) pairs of every group, in the order of the ids' hash, which is free of
-    the partitioning. Each task passes on ``per_group`` rows of a group at most."""
+def sample_ids(rows: DataFrame, id_column: str, group: str, per_group: int, numbers: dict | None = None) -> list[tuple]:
+    """At most ``per_group`` distinct (id, group) pairs of every group, in the order of the ids' hash, which is
+    free of the partitioning. With ``numbers`` each group named there has a number of its own, of at most ``per_group``.
+
+    Only ids whose hash lies under a limit are sorted; the limit follows an estimate of a group's distinct ids
+    and is raised for groups in which too few lie under it, so a task sorts some multiple of ``per_group``
+    ids of a group, whatever its size. Pairs with a null are left out.
+    """
     from pyspark.sql import Window
 
-    order = Window.partitionBy("_group").orderBy(F.xxhash64("_id"), "_id")
+    spark = rows.sparkSession
     ids = rows.select(F.col(id_column).alias("_id"), F.col(group).alias("_group")).where("_id IS NOT NULL AND _group IS NOT NULL")
-    return [tuple(r) for r in ids.withColumn("_turn", F.row_number().over(order)).where(F.col("_turn") <= per_group).select("_id", "_group").collect()]
-
-
-def rows_with_ids(docs: DataFrame, id_column: str, ids: list) -> DataFrame:
-    """The rows of ``docs`` with one of a bounded list of ids; the list, being bounded, is broadcast."""
-    wanted = docs.sparkSession.createDataFrame([(i,) for i in sorted(set(ids))], f"_wanted {dict(docs.dtypes)[id_column]}")
-    return docs.join(F.broadcast(wanted), docs[id_column] == F.col("_wanted"), "left_semi")
+    kinds = dict(ids.dtypes)
+
+    def want(group_value) -> int:
+        return (numbers or {}).get(group_value, per_group)
+
+    # The share of all hashes that are looked at: thrice what is wanted, as far as the estimate goes.
+    open_groups = {r["_group"]: min(1.0, 3 * want(r["_group"]) / max(1, r["n"])) for r in ids.groupBy("_group").agg(F.approx_count_distinct("_id").alias("n")).collect()}
+    out: list[tuple] = []
+    while open_groups:
+        shares = spark.createDataFrame([(g, share, want(g)) for g, share in open_groups.items()], f"_group {kinds['_group']}, _share double, _want int")
+        place = F.xxhash64("_id") / F.lit(2.0**64) + 0.5
+        near = ids.join(F.broadcast(shares), "_group").where((F.col("_share") >= 1) | (place < F.col("_share"))).select("_id", "_group", "_want").distinct()
+        order = Window.partitionBy("_group").orderBy(F.xxhash64("_id"), "_id")
+        found = near.withColumn("_turn", F.row_number().over(order)).where(F.col("_turn") <= F.col("_want")).select("_id", "_group").collect()
+        counts: dict = {}
+        for row in found:
+            counts[row["_group"]] = counts.get(row["_group"], 0) + 1
+        done = {g for g, share in open_groups.items() if share >= 1 or counts.get(g, 0) >= want(g)}
+        out += [(r["_id"], r["_group"]) for r in found if r["_group"] in done]
+        open_groups = {g: min(1.0, 4 * share) for g, share in open_groups.items() if g not in done}
+    return out
+
+
+def rows_of_sample(docs: DataFrame, pairs: list[tuple], group: str | None = None) -> DataFrame:
+    """For each drawn (id, group) pair one row of ``docs`` (``doc_id``, ``text``, perhaps ``group``): of several, the one with the
+    smallest text, reduced on the map side. The list, being bounded, is broadcast; without ``group`` only ids count."""
+    kinds, keys = dict(docs.dtypes), ["doc_id", *([group] if group else [])]
+    wanted = sorted({p[: len(keys)] for p in pairs})
+    listed = docs.sparkSession.createDataFrame(wanted, ", ".join(f"{k} {kinds[k]}" for k in keys))
+    return docs.join(F.broadcast(listed), keys, "left_semi").groupBy(*keys).agg(F.min("text").alias("text"))

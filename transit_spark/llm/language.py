@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transit_spark.llm.common import learnt_rows, rows_with_ids, sample_ids, table
+from transit_spark.llm.common import learnt_rows, rows_of_sample, sample_ids, table
 
 BUCKETS = 4096
 #: The classifiers are fitted on at most so many documents, split evenly over the languages.
@@ -128,7 +128,8 @@ def usual_grams(profiles: np.ndarray, targets: np.ndarray, languages: int) -> tu
 def learn(docs: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
     """Fits on the documents whose crc32(id) mod 3 is not 1 and whose language is known; None if there is none.
 
-    At most ``sample`` documents, spread evenly over the languages, are taken in the order of their ids' hash.
+    At most ``sample`` documents (20 of a language, where these are more), spread evenly over the languages, are taken
+    in the order of their ids' hash. Of rows with the same id and language the one with the smallest text counts.
     """
     known = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in ((id_column, "doc_id"), (text, "text"), (lang, "lang"))])
     known = known.where(learnt_rows("doc_id", 3, 1) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
@@ -142,8 +143,8 @@ def learn(docs: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id", text
             yield pd.DataFrame({"doc_id": batch["doc_id"], "lang": batch["lang"], "profile": [profile(t).tobytes() for t in batch["text"]]})
 
     kind = dict(known.dtypes)["doc_id"]
-    rows = rows_with_ids(known, "doc_id", [i for i, _ in ids]).mapInPandas(profiles, f"doc_id {kind}, lang string, profile binary").toPandas()
-    rows = rows.sort_values(["doc_id", "lang", "profile"]).drop_duplicates()
+    rows = rows_of_sample(known, ids, "lang").mapInPandas(profiles, f"doc_id {kind}, lang string, profile binary").toPandas()
+    rows = rows.sort_values(["doc_id", "lang"])
     data = np.frombuffer(b"".join(rows["profile"]), dtype=np.float32).reshape(len(rows), BUCKETS)
     names = sorted(rows["lang"].unique())
     return fit(data, rows["lang"].map({n: i for i, n in enumerate(names)}).to_numpy(), names)

@@ -11,13 +11,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transit_spark.llm.common import learnt_rows, rows_with_ids, sample_ids, table
+from transit_spark.llm.common import learnt_rows, rows_of_sample, sample_ids, table
 
 #: Words of a passage; hashed pairs of bytes; hidden units; units of the attention.
 PASSAGE, PAIRS, HIDDEN, ATTENTION = 64, 128, 24, 12
-#: The model is fitted on at most so many labelled documents, half of each label as far as they reach,
-#: and on at most so many passages of one of them, spread over its whole length.
-SAMPLE, SAMPLE_PASSAGES = 3000, 64
+#: The model is fitted on at most so many labelled documents, half of each label as far as they reach, with all their passages.
+SAMPLE = 3000
 EPOCHS, BATCH, RATE, SHRINK = 14, 50, 4e-3, 1e-4
 THRESHOLD = 0.3
 #: Passages of a text that are in memory at once.
@@ -99,14 +98,24 @@ class Model:
         return hidden, (np.tanh(hidden @ p["V"]) * _sigmoid(hidden @ p["U"])) @ p["w"]
 
 
+def moments(features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and spread of each feature, read block by block."""
+    n, mean, square = 0, np.zeros(features.shape[1]), np.zeros(features.shape[1])
+    for at in range(0, len(features), BLOCK):
+        block = features[at : at + BLOCK].astype(np.float64)
+        own, away = len(block), block.mean(axis=0) - mean
+        square += ((block - block.mean(axis=0)) ** 2).sum(axis=0) + away**2 * n * own / (n + own)
+        mean, n = mean + away * own / (n + own), n + own
+    return mean.astype(np.float32), (np.sqrt(square / n) + 1e-3).astype(np.float32)
+
+
 def fit(features: np.ndarray, sizes: np.ndarray, labels: np.ndarray, seed: int = 7) -> Model:
     """Gated attention over encoded passages, learnt from the labels of whole documents with Adam.
 
     ``features`` holds the passages of all documents one after the other, ``sizes`` their numbers.
     """
     rng = np.random.default_rng(seed)
-    mean, scale = features.mean(axis=0), features.std(axis=0) + 1e-3
-    data = np.clip((features - mean) / scale, -8, 8)
+    mean, scale = moments(features)
     shape = {"E": (FEATURES, HIDDEN), "e": (HIDDEN,), "V": (HIDDEN, ATTENTION), "U": (HIDDEN, ATTENTION), "w": (ATTENTION,), "c": (HIDDEN,), "b": (1,)}
     p = {k: (rng.standard_normal(s) / np.sqrt(s[0]) if k in "EVUwc" else np.zeros(s)) for k, s in shape.items()}
     first, second = ({k: np.zeros(s) for k, s in shape.items()} for _ in range(2))
@@ -120,7 +129,7 @@ def fit(features: np.ndarray, sizes: np.ndarray, labels: np.ndarray, seed: int =
             rows = np.concatenate([np.arange(starts[i], starts[i] + sizes[i]) for i in mine])
             lengths = sizes[mine]
             begin = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-            x = data[rows]
+            x = np.clip((features[rows].astype(np.float32) - mean) / scale, -8, 8)
             h = np.tanh(x @ p["E"] + p["e"])
             t, s = np.tanh(h @ p["V"]), _sigmoid(h @ p["U"])
             logits = (t * s) @ p["w"]
@@ -146,8 +155,9 @@ def fit(features: np.ndarray, sizes: np.ndarray, labels: np.ndarray, seed: int =
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id", text: str = "text") -> Model | None:
     """Fits on labelled documents whose crc32(id) mod 5 is not 0; None if there is none.
 
-    At most ``sample`` documents, half of each label, in the order of their ids' hash. Of a document
-    with several labels the lowest counts; null labels don't.
+    At most ``sample`` documents, half of each label, in the order of their ids' hash, each with all its passages: the
+    driver holds some 0.75 bytes per byte of their texts. Of a document with several labels the
+    lowest counts; null labels don't. Of rows with the same id the one with the smallest text counts.
     """
     own = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).where(learnt_rows("doc_id", 5, 0))
     marks = labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -157,15 +167,16 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column: s
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            whole = [np.concatenate(list(passages(t))) for t in batch["text"]]
-            kept = [w[np.unique(np.linspace(0, len(w) - 1, SAMPLE_PASSAGES).astype(int))] for w in whole]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n": [len(k) for k in kept], "data": [k.astype(np.float16).tobytes() for k in kept]})
+            for doc_id, value in zip(batch["doc_id"], batch["text"]):
+                for number, block in enumerate(passages(value)):
+                    yield pd.DataFrame({"doc_id": [doc_id], "block": [number], "n": [len(block)], "data": [block.astype(np.float16).tobytes()]})
 
     kind = dict(own.dtypes)["doc_id"]
-    rows = rows_with_ids(own, "doc_id", list(ids)).mapInPandas(encode, f"doc_id {kind}, n int, data binary").toPandas()
-    rows = rows.sort_values(["doc_id", "n", "data"]).drop_duplicates()
-    data = np.frombuffer(b"".join(rows["data"]), dtype=np.float16).reshape(-1, FEATURES).astype(np.float32)
-    return fit(data, rows["n"].to_numpy(), rows["doc_id"].map(ids).to_numpy().astype(int))
+    rows = rows_of_sample(own, list(ids.items())).mapInPandas(encode, f"doc_id {kind}, block int, n int, data binary").toPandas()
+    rows = rows.sort_values(["doc_id", "block"])
+    data = np.frombuffer(b"".join(rows["data"]), dtype=np.float16).reshape(-1, FEATURES)
+    sizes = rows.groupby("doc_id", sort=True)["n"].sum()
+    return fit(data, sizes.to_numpy(), sizes.index.map(ids).to_numpy().astype(int))
 
 
 def rate(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
