@@ -9,11 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transit_spark.llm.common import Scratch, in_batches, table
+from transit_spark.llm.common import Scratch, in_batches, sample_ids, table
 from transit_spark.llm.components import components
 
 SIMILARITY = 0.98
-#: Centres of cells: at most so many for all labels together, one per CELL vectors of a label.
+#: Centres of cells: at most so many for all labels together, one per CELL vectors of a label. A label with
+#: less than two centres' share is one cell and needs none.
 CENTRES, CELL = 1024, 2000
 #: Vectors of a block that meets other blocks in one task.
 BLOCK = 2048
@@ -216,23 +217,24 @@ def near_vectors(vectors: DataFrame, similarity: float = SIMILARITY, id_column:
 
     points = own.mapInPandas(in_batches(normalise), f"space {kind['space']}, vec_id {kind['vec_id']}, copies long, unit array<double>")
     points = scratch.stage(points.select(F.xxhash64("space").alias("space_key"), "vec_id", "copies", "unit"), "points")
-    centres = _centres(points)
-    broadcast = spark.sparkContext.broadcast(centres)
+    broadcast = spark.sparkContext.broadcast(_centres(points))  # CENTRES vectors at most
 
     def settle(batch: pd.DataFrame) -> pd.DataFrame:
         cell, away = np.zeros(len(batch), np.int64), np.zeros(len(batch))
         keys = batch["space_key"].to_numpy()
         for key in np.unique(keys):
-            mine = np.nonzero(keys == key)[0]
-            first, heads = broadcast.value[int(key)]
-            apart = _distance(np.stack(batch["unit"].iloc[mine].to_numpy()), heads)
-            cell[mine], away[mine] = first + apart.argmin(axis=1), apart.min(axis=1)
+            heads = broadcast.value.get(int(key))
+            if heads is not None:
+                mine = np.nonzero(keys == key)[0]
+                apart = _distance(np.stack(batch["unit"].iloc[mine].to_numpy()), heads)
+                cell[mine], away[mine] = apart.argmin(axis=1), apart.min(axis=1)
         return batch.assign(cell=cell, away=away)
 
     settled = points.mapInPandas(in_batches(settle), f"space_key long, vec_id {kind['vec_id']}, copies long, unit array<double>, cell long, away double")
     settled = scratch.stage(settled, "settled")
-    # One number of rows and one radius per centre, of which there are CENTRES at most.
-    cells = {r["cell"]: (r["n"], r["radius"]) for r in settled.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("radius")).collect()}
+    cells = scratch.stage(settled.groupBy("space_key", "cell").agg(F.count("*").alias("n"), F.max("away").alias("radius")), "cells")
+    centred = cells.where(F.col("space_key").isin(list(broadcast.value))) if broadcast.value else cells.limit(0)
+    reach = {(r["space_key"], r["cell"]): r["radius"] for r in centred.collect()}  # a radius per centre
     limit = float(np.sqrt(2 - 2 * similarity)) + 1e-6
 
     def visits(batch: pd.DataFrame) -> pd.DataFrame:
@@ -240,11 +242,13 @@ def near_vectors(vectors: DataFrame, similarity: float = SIMILARITY, id_column:
         out: list[list[int]] = [[] for _ in range(len(batch))]
         keys, cell = batch["space_key"].to_numpy(), batch["cell"].to_numpy()
         for key in np.unique(keys):
+            heads = broadcast.value.get(int(key))
+            if heads is None:
+                continue
             mine = np.nonzero(keys == key)[0]
-            first, heads = broadcast.value[int(key)]
-            radii = np.array([cells.get(first + j, (0, -10.0))[1] for j in range(len(heads))])
+            number = np.arange(len(heads))
+            radii = np.array([reach.get((int(key), j), -10.0) for j in number])
             apart = _distance(np.stack(batch["unit"].iloc[mine].to_numpy()), heads)
-            number = first + np.arange(len(heads))
             go = (apart <= radii + limit) & (number[None] > cell[mine][:, None])
             for i, row in zip(mine, go):
                 out[i] = number[row].tolist()
@@ -252,22 +256,23 @@ def near_vectors(vectors: DataFrame, similarity: float = SIMILARITY, id_column:
 
     columns = f"space_key long, vec_id {kind['vec_id']}, copies long, unit array<double>, cell long, visits array<long>"
     visiting = settled.mapInPandas(in_batches(visits), columns)
-    listed = spark.createDataFrame([(c, -(-n // BLOCK)) for c, (n, _) in cells.items()] or [(0, 1)], "at long, blocks long")
+    # As many rows as cells, which grow with the labels: Spark decides how to join them.
+    listed = cells.select("space_key", F.col("cell").alias("at"), F.ceil(F.col("n") / BLOCK).alias("blocks"))
     block = F.pmod(F.xxhash64("vec_id"), F.col("blocks"))
     own_block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("own_blocks"))
-    sizes = listed.select(F.col("at").alias("cell"), F.col("blocks").alias("own_blocks"))
-    base = visiting.join(F.broadcast(sizes), "cell")  # CENTRES rows at most
-    guests = base.select("cell", "own_blocks", "vec_id", "copies", "unit", F.explode(F.concat(F.array("cell"), "visits")).alias("at"))
-    guests = guests.join(F.broadcast(listed), "at").select(
-        "at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("home_block"),
+    sizes = listed.select("space_key", F.col("at").alias("cell"), F.col("blocks").alias("own_blocks"))
+    base = visiting.join(sizes, ["space_key", "cell"])
+    guests = base.select("space_key", "cell", "own_blocks", "vec_id", "copies", "unit", F.explode(F.concat(F.array("cell"), "visits")).alias("at"))
+    guests = guests.join(listed, ["space_key", "at"]).select(
+        "space_key", "at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("home_block"),
         F.col("cell").alias("from_cell"), own_block.alias("guest_block"),
         F.when(F.col("cell") == F.col("at"), 1).otherwise(2).alias("visit"), "vec_id", "copies", "unit",
     )
     # Guests from one block of one cell meet one block of inhabitants: both sides are of bounded size.
-    meetings = guests.select("at", "home_block", "from_cell", "guest_block").distinct()
-    homes = base.select(F.col("cell").alias("at"), F.pmod(F.xxhash64("vec_id"), F.col("own_blocks")).alias("home_block"), "vec_id", "copies", "unit")
-    homes = homes.join(meetings, ["at", "home_block"]).withColumn("visit", F.lit(0)).select(*guests.columns)
-    met = homes.unionByName(guests).groupBy("at", "home_block", "from_cell", "guest_block")
+    meetings = guests.select("space_key", "at", "home_block", "from_cell", "guest_block").distinct()
+    homes = base.select("space_key", F.col("cell").alias("at"), F.pmod(F.xxhash64("vec_id"), F.col("own_blocks")).alias("home_block"), "vec_id", "copies", "unit")
+    homes = homes.join(meetings, ["space_key", "at", "home_block"]).withColumn("visit", F.lit(0)).select(*guests.columns)
+    met = homes.unionByName(guests).groupBy("space_key", "at", "home_block", "from_cell", "guest_block")
     found = met.applyInPandas(lambda block: _match(block, similarity), "a long, b long, n long")
     found = scratch.stage(found, "found")
     nodes = components(found.where("a <> b").select("a", "b"), scratch)
@@ -280,31 +285,26 @@ def near_vectors(vectors: DataFrame, similarity: float = SIMILARITY, id_column:
     return linked.union(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _centres(points: DataFrame) -> dict[int, tuple[int, np.ndarray]]:
-    """For each space the number of its first cell and its centres: points taken in the order of their hash.
+def _centres(points: DataFrame) -> dict[int, np.ndarray]:
+    """The centres of each space that has several: points taken in the order of their hash.
 
-    ``CENTRES`` at most in all, but one per space at least.
+    ``CENTRES`` at most in all: a space has one per CELL points, or its share of CENTRES if that is less, and
+    no centre where this comes to less than two. Spaces are counted on Spark; those without centres never leave it.
     """
-    from pyspark.sql import Window
-
-    spaces = {r["space_key"]: r["n"] for r in points.groupBy("space_key").agg(F.count("*").alias("n")).collect()}
-    total = sum(spaces.values())
-    want = {k: max(1, min(-(-n // CELL), CENTRES * n // total)) for k, n in spaces.items()}
-    if not want:
+    spaces = points.groupBy("space_key").agg(F.count("*").alias("n"))
+    total = spaces.agg(F.sum("n")).first()[0] or 0
+    share = F.floor(F.lit(float(CENTRES)) * F.col("n") / F.lit(float(max(total, 1))))
+    want = spaces.withColumn("want", F.least(F.ceil(F.col("n") / CELL), share)).where("want >= 2")
+    spaces_wanted = {r["space_key"]: r["want"] for r in want.collect()}  # each takes two centres of CENTRES at least
+    if not spaces_wanted:
         return {}
-    order = Window.partitionBy("space_key").orderBy(F.xxhash64("vec_id"), "vec_id")
-    ids = points.select("space_key", "vec_id").withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= max(want.values()))
-    ids = [(r["space_key"], r["vec_id"]) for r in ids.collect() if r["turn"] <= want[r["space_key"]]]
-    chosen = points.sparkSession.createDataFrame(ids, f"space_key long, vec_id {dict(points.dtypes)['vec_id']}")
+    own = points.where(F.col("space_key").isin(list(spaces_wanted))).select("space_key", "vec_id")
+    drawn = [(key, i) for i, key in sample_ids(own, "vec_id", "space_key", max(spaces_wanted.values()), spaces_wanted)]
+    chosen = points.sparkSession.createDataFrame(drawn, f"space_key long, vec_id {dict(points.dtypes)['vec_id']}")
     found: dict[int, list] = {}
     for row in points.join(F.broadcast(chosen), ["space_key", "vec_id"], "left_semi").select("space_key", "vec_id", "unit").collect():
         found.setdefault(row["space_key"], []).append((row["vec_id"], row["unit"]))
-    out, first = {}, 0
-    for key in sorted(found):
-        heads = np.array([unit for _, unit in sorted(found[key])])
-        out[key] = (first, heads)
-        first += len(heads)
-    return out
+    return {key: np.array([unit for _, unit in sorted(rows)]) for key, rows in found.items()}
 
 
 def op4_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
