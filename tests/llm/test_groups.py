@@ -141,6 +141,24 @@ def test_near_vectors_equal_all_pairs(spark, monkeypatch):
             assert found[i]["kept"] == (want[i] == i)
 
 
+def test_centres_are_bounded_whatever_the_labels(spark, monkeypatch):
+    draw = np.random.default_rng(3)
+    rows = []
+    for i in range(900):
+        label = int(draw.integers(300)) if i % 3 else 1000  # one hot label, many small ones
+        rows.append((i, [float(np.float32(x)) for x in np.eye(6)[draw.integers(6)] + draw.standard_normal(6) * 0.1], label))
+    links, want = near_truth(rows)
+    monkeypatch.setattr(near_vectors, "CENTRES", 8)
+    monkeypatch.setattr(near_vectors, "CELL", 20)
+    monkeypatch.setattr(near_vectors, "BLOCK", 50)
+    taken = []
+    inner = near_vectors._centres
+    monkeypatch.setattr(near_vectors, "_centres", lambda points: taken.append(inner(points)) or taken[-1])
+    found = {r["vec_id"]: r for r in near_vectors.near_vectors(vectors_frame(spark, rows)).collect()}
+    assert 2 <= sum(map(len, taken[0].values())) <= 8
+    assert all(found[i]["n_links"] == links[i] and found[i]["component_id"] == want[i] for i in links) and sum(links.values()) > 100
+
+
 def test_near_vectors_odd(spark):
     rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (2, [1.0, 0.0], 2)]
     found = near_vectors.near_vectors(vectors_frame(spark, rows)).collect()

@@ -68,6 +68,83 @@ def test_attention_runs_over_blocks(monkeypatch):
     assert np.mean((np.array(scores) > 0.5) == (marks == 1)) > 0.95
 
 
+def test_score_equals_the_plain_formula(docs, labels):
+    model = quality.learn(docs, labels)
+    p, text = model.parts, " ".join(r["text"] for r in docs.limit(40).collect() if r["text"])
+    hidden = [np.tanh(np.clip((x - model.mean) / model.scale, -8, 8) @ p["E"] + p["e"]) for x in np.concatenate(list(quality.passages(text)))]
+    gate = [float((np.tanh(h @ p["V"]) / (1 + np.exp(-(h @ p["U"])))) @ p["w"]) for h in hidden]
+    share = np.exp(gate) / np.exp(gate).sum()
+    mean = sum(a * h for a, h in zip(share, hidden))
+    assert len(hidden) > 20 and abs(model.score(text) - 1 / (1 + np.exp(-(mean @ p["c"] + p["b"][0])))) < 1e-6
+
+
+def test_a_step_goes_down_the_numeric_gradient(monkeypatch):
+    rng = np.random.default_rng(2)
+    sizes, marks = np.array([3, 1, 5, 2, 4, 6]), np.array([0, 1, 1, 0, 1, 0])
+    data = rng.standard_normal((sizes.sum(), quality.FEATURES)).astype(np.float32)
+    for name, value in (("EPOCHS", 1), ("BATCH", 6), ("SHRINK", 0.0)):
+        monkeypatch.setattr(quality, name, value)
+    after = quality.fit(data, sizes, marks)
+    monkeypatch.setattr(quality, "RATE", 0.0)
+    before = quality.fit(data, sizes, marks)
+    ends = np.cumsum(sizes)
+
+    def loss() -> float:
+        out = []
+        for end, size, mark in zip(ends, sizes, marks):
+            monkeypatch.setattr(quality, "passages", lambda text, own=data[end - size : end]: iter([own]))
+            s = before.score("any")
+            out.append(-np.log(s if mark else 1 - s))
+        return float(np.mean(out))
+
+    checked = 0
+    for k, own in before.parts.items():
+        for at in rng.choice(own.size, min(own.size, 12), replace=False):
+            spot = np.unravel_index(at, own.shape)
+            kept = own[spot]
+            own[spot] = kept + 1e-4
+            up = loss()
+            own[spot] = kept - 1e-4
+            slope = (up - loss()) / 2e-4
+            own[spot] = kept
+            if abs(slope) > 1e-4:  # a first step of Adam has the gradient's sign
+                assert np.sign(after.parts[k][spot] - kept) == -np.sign(slope), (k, spot)
+                checked += 1
+    assert checked > 30
+
+
+def test_training_reads_all_passages_and_one_row_per_id(spark, monkeypatch):
+    long = "word number of a long text. " * 64 * 150
+    rows = [(1, long), (1, long + " more"), (2, "short one"), (3, None)] + [(4, "copy")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, 1), (4, 0)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda data, sizes, labels: seen.append((data.shape, list(sizes), list(labels))))
+    quality.learn(docs, marks)
+    words = len(long.split())
+    ids = [i for i in (1, 2, 3, 4) if zlib.crc32(str(i).encode()) % 5]
+    sizes = {1: -(-words // quality.PASSAGE), 2: 1, 3: 1, 4: 1}
+    assert 1 in ids and sizes[1] > 500
+    assert seen == [((sum(sizes[i] for i in ids), quality.FEATURES), [sizes[i] for i in ids], [{1: 1, 2: 0, 3: 0, 4: 0}[i] for i in ids])]
+
+
+def test_sample_is_the_smallest_hashes_of_each_group(spark):
+    from pyspark.sql import functions as F
+
+    from transit_spark.llm.common import sample_ids
+
+    rows = spark.range(20000).select("id", F.when(F.col("id") % 9 == 0, "b").when(F.col("id") < 30, "c").otherwise("a").alias("g"))
+    rows = rows.unionByName(spark.range(30000).select(F.lit(7).cast("long").alias("id"), F.lit("a").alias("g")))  # one id with most rows
+    rows = rows.unionByName(spark.createDataFrame([(None, "a"), (1, None)], "id long, g string"))
+    hashes = {}
+    for r in rows.where("id IS NOT NULL AND g IS NOT NULL").distinct().select("id", "g", F.xxhash64("id").alias("h")).collect():
+        hashes.setdefault(r["g"], []).append((r["h"], r["id"]))
+    for n in (1, 40, 1500, 100000):
+        found = sample_ids(rows, "id", "g", n)
+        assert sorted(found) == sorted((i, g) for g, own in hashes.items() for _, i in sorted(own)[:n])
+    assert len(sample_ids(rows, "id", "g", 50, {"a": 2})) == 2 + 50 + len(hashes["c"])
+
+
 def test_quality_odd_rows(odd_documents, no_documents, docs, labels):
     model = quality.learn(docs, labels)
     found = quality.rate(odd_documents, model, keep=True).collect()
@@ -207,4 +284,4 @@ def test_registered():
 
     names = set(entry.queries())
     assert set(catalog.QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in catalog.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in catalog.QUERIES} == {f"op{n}" for n in range(1, 14)}
