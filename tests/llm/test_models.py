@@ -279,6 +279,18 @@ def test_one_row_of_each_group_stays_whatever_its_id(spark):
     assert sorted((r["text"], r["doc_id"]) for r in found) == sorted((texts[n], i) for i, n in want)
 
 
+def test_near_copies_with_a_column_without_order(spark):
+    from pyspark.sql import functions as F
+
+    from transit_spark.llm import simhash
+
+    rows = [(3, "a b c d e f", "x"), (2, "a b c d e f", "y"), (2, "a b c d e f", "z"), (5, "another text that stands alone", "x"), (None, "a b c d e f", "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("tags", F.create_map(F.lit("k"), "source"))
+    found = [simhash.one_per_group(docs.repartition(n)).collect() for n in (1, 4)]
+    assert [sorted(r["doc_id"] for r in f) for f in found] == [[2, 5], [2, 5]]
+    assert len({r["tags"]["k"] for f in found for r in f if r["doc_id"] == 2}) == 1
+
+
 def test_registered():
     import __spark_entry__ as entry
 

@@ -153,13 +153,17 @@ def one_per_group(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
 
     The group decides, not the id: rows that share an id, or have none, stay if their groups differ.
     Of rows of a group that share its smallest id the one with the smallest fingerprint stays, then
-    the smallest row. Rows of one fingerprint are folded on the map side; no rows in, none out.
+    the smallest row, or the row of smallest checksum if a column has a type without order (a map, say).
+    Rows of one fingerprint are folded on the map side; no rows in, none out.
     """
     scratch = Scratch(docs.sparkSession)
     mark = F.pandas_udf(lambda texts: pd.Series(np.array([fingerprint(t, words) for t in texts], dtype=np.uint64).view(np.int64)), "long")
     doc = F.col(f"`{id_column}`")
     row = F.struct(doc.isNull().alias("no_id"), doc.alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    points = docs.select(mark(F.col(f"`{text}`")).alias("mark"), row.alias("best")).groupBy("mark").agg(F.min("best").alias("best"))
+    least = F.min("best")
+    if any(kind in of_column for _, of_column in docs.dtypes for kind in ("map<", "variant")):
+        least = F.min_by("best", F.struct("best.no_id", "best.id", F.md5(F.to_json("best.row"))))
+    points = docs.select(mark(F.col(f"`{text}`")).alias("mark"), row.alias("best")).groupBy("mark").agg(least.alias("best"))
     points = scratch.stage(points, "points")
     parts = _parts(points.select("mark", "best.no_id", "best.id"), scratch, radius)
     first = parts.groupBy("part").agg(F.min(F.struct("no_id", "id", "mark")).alias("first")).select("first.mark")
