@@ -2,12 +2,14 @@
 
 import datetime as dt
 import re
+import time
 import uuid
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from transit_spark.plans.fixtures import Fixtures
 from transit_spark.sources import documents as dc
 from transit_spark.sources import pages as pg
 from transit_spark.sources import tables as tb
@@ -253,3 +255,41 @@ def test_stamps_and_names(spark, store):
     tb.save_table(spark.createDataFrame([("r1", 4, 2)], "route string, num_stops int, num_buses int"), f"{store}.routes")
     row = spark.table(f"{store}.routes").first()
     assert row["route_id"] == "r1" and row["route_name"] is None and row["created_at"] is not None
+
+
+def test_long_tables_take_time_in_proportion(spark):
+    """Each row's end was looked for in all tokens of the page: half a minute for these rows."""
+    rows = "".join(f"<tr><td><b>Label {i}</b></td><td><i>{i}</i></td><td></td></tr>" for i in range(3000))
+    df = spark.createDataFrame([(1, f"<table>{rows}</table>")], "page_id long, html string")
+    begun = time.time()
+    found = pg.extract_attributes(df, {"last": "Label 2999", "none": "None"}).first()
+    assert (found["last"], found["none"]) == ("2999", "")
+    assert time.time() - begun < 10
+
+
+def test_elements_of_odd_pages(spark):
+    """Rows in rows, ends without starts, tags never closed, brackets in quotes, markup in comments and scripts."""
+    html = '</tr><tr id="a"><td>1<table><TR><td title="</tr>">2</td></tr></table></td><!-- </tr> --><td>3<script>"</tr>"</script></tr><tr><td>4'
+    got = lambda s: spark.createDataFrame([(html,)], "html string").select(pg.elements(F.col("html"), s)).first()[0]
+    inner = '<TR><td title="</tr>">2</td></tr>'
+    outer = f'<tr id="a"><td>1<table>{inner}</table></td><!-- </tr> --><td>3<script>"</tr>"</script></tr>'
+    assert got("tr") == [outer, inner, "<tr><td>4"]
+    assert got("#a td") == [f"<td>1<table>{inner}</table></td>", '<td title="</tr>">2</td>', '<td>3<script>"</tr>"</script></tr><tr><td>4']
+    assert got("#a tr") == [inner] and got("script") == [html[html.index("<script>") :]]
+
+
+def test_tags_of_many_attributes(spark):
+    """The pattern of a tag went one call deeper with each attribute."""
+    tag = "<div " + "".join(f'a{i}="" ' for i in range(20_000)) + 'id="x">'
+    df = spark.createDataFrame([(f"{tag}in</div>",)], "html string")
+    assert df.select(pg.elements(F.col("html"), "#x")).first()[0] == [f"{tag}in</div>"]
+
+
+def test_pages_are_dealt_over_all_cores(spark, tmp_path):
+    """One small file is one split, whatever the pages made from it cost."""
+    orders = [(i, i % 7, "P"[: i % 2] or "O", "1-URGENT") for i in range(40)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    for name in ("route_pages", "list_pages"):
+        pages = Fixtures(spark, str(tmp_path)).view(name)
+        assert pages.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        assert sorted(r["page_id"] for r in pages.select("page_id").collect()) == list(range(40))

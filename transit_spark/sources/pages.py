@@ -35,10 +35,10 @@ CELL = r"(?is)<td[^>]*>(.*?)</td>"
 CLOCK = r"\d{2}:\d{2}(-\d{2}:\d{2})?"
 TERMINALS = ("A", "B")
 UNKNOWN_DIRECTION = "Unknown"
-#: Comments, scripts and styles as a whole, tags (a bracket may stand in a quoted value), texts, stray brackets.
-TOKEN = r"""(?is)<!--.*?-->|<(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>|</?[a-z](?:"[^"]*"|'[^']*'|[^'">])*>|[^<]+|<"""
-TAG = r"(?is)^<(/?[a-z][a-z0-9]*)"
-OPENING = r"""(?is)^<[a-z](?:"[^"]*"|'[^']*'|[^'">])*>"""
+#: Comments, scripts and styles as a whole, tags (a bracket may stand in a quoted value; group 1 is the name, with its
+#: slash), texts, stray brackets. Possessive, so long tags take neither steps back nor stack.
+TOKEN = r"""(?is)<!--.*?-->|<(/?[a-z][a-z0-9]*+)(?:(?<=<script|<style)\b[^>]*+>.*?</(?:script|style)\s*+>|(?:"[^"]*+"|'[^']*+'|[^'">]++)*+>)|[^<]++|<"""
+OPENING = r"""(?is)^<[a-z](?:"[^"]*+"|'[^']*+'|[^'">]++)*+>"""
 #: Elements that never hold anything.
 EMPTY = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 HEADING_OR_ROW = r"(?is)<h3\b[^>]*>.*?</h3\s*>|<tr\b[^>]*>.*?</tr\s*>"
@@ -50,47 +50,89 @@ def _all(text: Column, pattern: str, group: int) -> Column:
 
 def _text(c: Column) -> Column:
     """Markup removed, then unescaped, then blanks at both ends removed, the unescaped ones too."""
-    return trimmed(unescape_html(plain_text(c)))
+    plain = ~F.contains(c, F.lit("<")) & ~F.contains(c, F.lit("&"))
+    return F.when(plain, trimmed(c)).otherwise(trimmed(unescape_html(plain_text(c))))
 
 
 def _attribute(element: Column, name: str) -> Column:
     """The value of an attribute of an element's own tag, '' without it."""
-    found = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    tag = F.regexp_extract(element, OPENING, 0)
-    return F.concat(*[F.regexp_extract(tag, found, group) for group in (1, 2, 3)])
+    found = rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    quoted = lambda v: F.startswith(v, F.lit('"')) | F.startswith(v, F.lit("'"))
+    value = F.regexp_extract(F.regexp_extract(element, OPENING, 0), found, 1)
+    return _once(value, lambda v: F.when(quoted(v), F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v))
 
 
-def _matches(token: Column, step: str) -> Column:
-    """Whether a token opens an element of ``step``: a tag, ``#id`` and ``.class`` in any combination."""
+def _once(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is used in there."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _parts(step: str) -> tuple[str | None, list[tuple[str, str]]]:
+    """The tag of a selector's step, if it names one, and its ``#id`` and ``.class`` conditions."""
     parts = re.findall(r"([#.]?)([A-Za-z0-9_-]+)", step)
     if "".join(kind + name for kind, name in parts) != step or not parts:
         raise ValueError(f"unknown selector step: {step!r}")
-    checks = [F.lower(F.regexp_extract(token, TAG, 1)) == name.lower() if not kind
-              else _attribute(token, "id") == name if kind == "#"
-              else F.array_contains(F.split(_attribute(token, "class"), r"\s+"), name) for kind, name in parts]
-    opens = F.regexp_extract(token, TAG, 1).rlike("^[A-Za-z]")
-    return reduce(lambda a, b: a & b, checks, opens)
+    return (parts[0][1].lower() if not parts[0][0] else None), [(kind, name) for kind, name in parts if kind]
 
 
-def _end_of(tokens: Column, start: Column) -> Column:
-    """Index of the token that closes the element opened at ``start``: tags of its own kind are counted, so what is
-    left open inside does not matter. An element that is never closed reaches to the end of the page."""
-    name = F.lower(F.regexp_extract(F.get(tokens, start), TAG, 1))
+def _meets(token: Column, kind: str, name: str) -> Column:
+    """Whether a tag has an id or class; hardly any tag holds the name at all, so that is looked at first."""
+    has = _attribute(token, "id") == name if kind == "#" else F.array_contains(F.split(_attribute(token, "class"), r"\s+"), name)
+    return F.contains(token, F.lit(name)) & has
 
-    def step(state: Column, i: Column) -> Column:
-        tag = F.lower(F.regexp_extract(F.get(tokens, i), TAG, 1))
-        depth = state["depth"] + F.when(tag == name, 1).when(tag == F.concat(F.lit("/"), name), -1).otherwise(0)
-        return F.when(state["end"].isNotNull(), state).otherwise(F.struct(depth.alias("depth"), F.when(depth == 0, i).alias("end")))
 
-    walk = F.aggregate(
-        F.sequence(start, F.size(tokens) - 1), F.struct(F.lit(0).alias("depth"), F.lit(None).cast("int").alias("end")), step, lambda s: s["end"]
-    )
-    return F.when(name.isin(*EMPTY), start).otherwise(F.coalesce(walk, F.size(tokens) - 1))
+def _page(html: Column) -> Column:
+    """The tokens of a page and, beside them, the names of tags in lower case: ``tr``, ``/tr``, '' for what is no tag."""
+    names = F.transform(_all(html, TOKEN, 1), lambda name: F.lower(name))
+    return F.struct(_all(html, TOKEN, 0).alias("tokens"), names.alias("names"))
 
 
-def _once(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, however often it is used in there."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _end_of(names: Column, marks: Column, k: Column, last: Column) -> Column:
+    """Index of the token that closes the element opened at the k-th of ``marks``, the tags of its own kind: what is
+    left open inside does not matter. An element that is never closed reaches to ``last``."""
+    closes = lambda i: F.startswith(F.get(names, i), F.lit("/"))
+
+    def step(depth: Column, i: Column) -> Column:
+        """The depth behind a tag; once it is 0, the place where that was, as a negative number."""
+        return F.when(depth < 0, depth).when(~closes(i), depth + 1).when(depth == 1, -i - 1).otherwise(depth - 1)
+
+    nearest = F.get(marks, k + 1)
+    walk = F.aggregate(F.slice(marks, k + 2, F.size(marks)), F.lit(1), step, lambda depth: F.when(depth < 0, -depth - 1))
+    return F.coalesce(F.when(closes(nearest), nearest), walk, last)
+
+
+def _spans(page: Column, step: str, first: Column, last: Column, outer: Column | None = None) -> Column:
+    """Where the elements of a step start and end among the tokens from ``first`` to ``last``, in document order."""
+    tokens, names = page["tokens"], page["names"]
+    tag, conditions = _parts(step)
+
+    def hit(i: Column) -> Column:
+        checks = [_meets(F.get(tokens, i), kind, name) for kind, name in conditions]
+        inside = [] if outer is None else [F.exists(outer, lambda s: (s["start"] < i) & (i <= s["end"]))]
+        name = F.get(names, i)
+        return reduce(lambda a, b: a & b, checks + inside, name == tag if tag else (name != "") & ~F.startswith(name, F.lit("/")))
+
+    def marks_from(start: Column, name: Column) -> Column:
+        return F.filter(F.sequence(start, last), lambda i: F.get(names, i).isin(name, F.concat(F.lit("/"), name)))
+
+    def span(start: Column, end: Column) -> Column:
+        return F.struct(start.alias("start"), end.alias("end"))
+
+    if tag is None:
+        def alone(i: Column) -> Column:
+            name = F.get(names, i)
+            return span(i, F.when(name.isin(*EMPTY), i).otherwise(_once(marks_from(i, name), lambda marks: _end_of(names, marks, F.lit(0), last))))
+
+        return F.transform(F.filter(F.sequence(first, last), hit), alone)
+    if tag in EMPTY:
+        return F.transform(F.filter(F.sequence(first, last), hit), lambda i: span(i, i))
+    # Tags of one kind are looked for once for all elements of the step.
+    found = lambda marks: F.transform(marks, lambda i, k: F.when(hit(i), span(i, _end_of(names, marks, k, last))))
+    return F.filter(_once(marks_from(first, F.lit(tag)), found), lambda s: s.isNotNull())
+
+
+def _markup(page: Column, span: Column) -> Column:
+    return F.array_join(F.slice(page["tokens"], span["start"] + 1, span["end"] - span["start"] + 1), "")
 
 
 def elements(html: Column, selector: str) -> Column:
@@ -103,23 +145,30 @@ def elements(html: Column, selector: str) -> Column:
     if not steps:
         raise ValueError("an empty selector")
 
-    def spans_of(tokens: Column, remaining: list[str], outer: Column | None) -> Column:
+    def spans_of(page: Column, remaining: list[str], outer: Column | None) -> Column:
         """The texts of the last step's elements, each step looked for inside the spans of the one before."""
+        spans = _spans(page, remaining[0], F.lit(0), F.size(page["names"]) - 1, outer)
+        if len(remaining) > 1:
+            return _once(spans, lambda found: spans_of(page, remaining[1:], found))
+        return F.transform(spans, lambda s: _markup(page, s))
 
-        def opened(i: Column) -> Column:
-            hit = _matches(F.get(tokens, i), remaining[0])
-            return hit if outer is None else hit & F.exists(outer, lambda s: (s["start"] < i) & (i <= s["end"]))
+    def of_page(page: Column) -> Column:
+        return F.when(F.size(page["names"]) > 0, spans_of(page, steps, None)).otherwise(F.array().cast("array<string>"))
 
-        places = F.filter(F.sequence(F.lit(0), F.size(tokens) - 1), opened)
-        spans = F.transform(places, lambda i: F.struct(i.alias("start"), _end_of(tokens, i).alias("end")))
-        if len(remaining) > 1:
-            return _once(spans, lambda found: spans_of(tokens, remaining[1:], found))
-        return F.transform(spans, lambda s: F.array_join(F.slice(tokens, s["start"] + 1, s["end"] - s["start"] + 1), ""))
+    return F.when(html.isNotNull(), _once(_page(html), of_page))
+
+
+def _facts(html: Column) -> Column:
+    """The text of the first cell and the markup of the second, for each table row of two cells or more."""
 
-    def of_page(tokens: Column) -> Column:
-        return F.when(F.size(tokens) > 0, spans_of(tokens, steps, None)).otherwise(F.array().cast("array<string>"))
+    def of_row(page: Column, row: Column) -> Column:
+        cells = F.transform(F.slice(_spans(page, "td", row["start"], row["end"]), 1, 2), lambda s: _markup(page, s))
+        return _once(cells, lambda c: F.when(F.size(c) == 2, F.struct(_text(F.get(c, F.lit(0))).alias("name"), F.get(c, F.lit(1)).alias("value"))))
 
-    return F.when(html.isNotNull(), _once(F.regexp_extract_all(html, F.lit(TOKEN), F.lit(0)), of_page))
+    def of_page(page: Column) -> Column:
+        return F.transform(_spans(page, "tr", F.lit(0), F.size(page["names"]) - 1), lambda row: of_row(page, row))
+
+    return F.when(html != "", F.filter(_once(_page(html), of_page), lambda fact: fact.isNotNull()))
 
 
 def select_elements(pages: DataFrame, selector: str, key: str = "page_id", html: str = "html", name: str = "element") -> DataFrame:
@@ -153,15 +202,20 @@ def extract_attributes(pages: DataFrame, labels: dict[str, str], key: str = "pag
     body = F.col("html") if within is None else F.array_join(elements(F.col("html"), within), "\n")
     parts = pages.select(key, body.alias("_body"))
     items = parts.select(key, "_body", F.transform(_all(F.col("_body"), ITEM, 1), _text).alias("items"))
-    cells = F.transform(elements(F.col("_body"), "tr"), lambda row: elements(row, "td"))
+
+    def named(label: str) -> Column:
+        return F.filter("items", lambda i: F.contains(i, F.lit(label)))
+
+    # Tables are only read where some label stands in no list item.
+    some_missing = reduce(lambda a, b: a | b, [F.size(named(label)) == 0 for label in labels.values()], F.lit(False))
+    found = items.select(key, "items", F.when(some_missing, _facts(F.col("_body"))).alias("facts"))
 
     def value(label: str) -> Column:
-        named = F.filter("items", lambda i: F.contains(i, F.lit(label)))
-        text = F.replace(F.try_element_at(named, F.lit(-1)), F.lit(f"{label}:"), F.lit(""))
-        beside = F.filter("cells", lambda row: (F.size(row) >= 2) & F.contains(_text(F.get(row, F.lit(0))), F.lit(label)) & ~F.get(row, F.lit(1)).rlike("(?i)<li\\b"))
-        return F.coalesce(F.trim(text), _text(F.get(F.try_element_at(beside, F.lit(-1)), F.lit(1))), F.lit(""))
+        text = F.replace(F.try_element_at(named(label), F.lit(-1)), F.lit(f"{label}:"), F.lit(""))
+        beside = F.filter("facts", lambda fact: F.contains(fact["name"], F.lit(label)) & ~fact["value"].rlike("(?i)<li\\b"))
+        return F.coalesce(F.trim(text), _text(F.try_element_at(beside, F.lit(-1))["value"]), F.lit(""))
 
-    return items.select(key, "items", cells.alias("cells")).select(key, *[value(label).alias(name) for name, label in labels.items()])
+    return found.select(key, *[value(label).alias(name) for name, label in labels.items()])
 
 
 def extract_stops(pages: DataFrame, skip_terminals: bool = False, direction_word: str | None = None, key: str = "page_id") -> DataFrame:
