@@ -9,6 +9,7 @@ import pytest
 import tokenizers
 
 from transit_spark.llm import licenses, packing, sharding
+from transit_spark.llm.common import give_back
 
 MIT, APACHE = licenses.TEMPLATES["MIT"][0], licenses.TEMPLATES["Apache-2.0"][0]
 
@@ -82,6 +83,26 @@ def test_word_cache_is_bounded(monkeypatch, library):
         assert np.frombuffer(packed, dtype="<u4").tolist() == want.ids
 
 
+def test_plain_words_are_encoded_together(library, monkeypatch):
+    """A call for each word took most of the time; what is no plain letter still goes its own way."""
+    coder, alone = packing.WordCoder(packing.vocabulary_path()), []
+    monkeypatch.setattr(coder, "_encode", lambda words, encode=coder._encode: (alone.extend(words), encode(words)))
+    texts = ["Écoute ÀÇÑß ÿother. other! l'été ŸES Σας", "plain words only", "é</w> a</w> ª µ ×÷ \u0065\u0301tude"]
+    for text, packed in zip(texts, coder.encode(texts)):
+        assert np.frombuffer(packed, dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert not {"Écoute", "ÀÇÑß", "ÿother", "other", "plain", "words", "only", "é"} & set(alone) and {"l'été", "Σας", "ª"} <= set(alone)
+
+
+def test_workers_let_go_of_what_others_kept():
+    """Kept words stayed in a worker while other operators used it."""
+    path = packing.vocabulary_path()
+    held = packing.coder(path)
+    give_back("packing")
+    assert packing.coder(path) is held
+    give_back()
+    assert packing.coder(path) is not held
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plan_holds_every_piece_and_is_tight(seed):
     draw = random.Random(seed)

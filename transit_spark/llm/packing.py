@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import struct
@@ -17,13 +18,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transit_spark.llm.common import Scratch, give_back, table, with_offsets
+from transit_spark.llm.common import KEPT, Scratch, give_back, table, with_offsets
 
 CAPACITY, END_ID = 4096, 1
 #: Lengths over CAPACITY / LARGE_SHARE are large; they are rounded up in GROUPS groups of equal cardinality.
 LARGE_SHARE, GROUPS = 8, 48
-KEPT_LENGTH, KEPT_WORDS = 48, 1_000_000
-PLAIN = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]+)")
+#: Words that a task keeps, of some 200 bytes each.
+KEPT_LENGTH, KEPT_WORDS = 48, 600_000
+#: Letters that have one form only and one lower case: those of Latin-1, composed.
+LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+LETTERS = re.compile(f"[{LETTER}]+")
+PLAIN = re.compile(rf"([{LETTER}]+)([!-&(-/:-@\[-`{{-~]+)")
 
 
 class WordCoder:
@@ -32,6 +37,8 @@ class WordCoder:
     The vocabulary drops white space and never reaches across it, so texts are cut at ASCII blanks and
     the ids of words are kept; so are the two parts of letters followed by signs, which the
     vocabulary's own pattern always separates (an apostrophe, which it may join, is left alone).
+    Words of plain letters are encoded many at a time: in lower case they need no normalising, and the last id of
+    each is one that ends a word.
     """
 
     def __init__(self, path: str):
@@ -40,10 +47,40 @@ class WordCoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.kept: dict[str, bytes] = {"": b""}
+        self.letters, self.ends = self._for_letters(path)
+
+    def _for_letters(self, path: str) -> tuple:
+        """A tokenizer for lower-case letters between blanks and which of its ids end a word; nothing if the vocabulary is of another kind."""
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        kind = json.loads(self.tokenizer.to_str())
+        steps = [[s["type"] for s in (kind[k] or {}).get(f"{k}s".replace("_", ""), [])] for k in ("normalizer", "pre_tokenizer")]
+        mark = kind["model"].get("end_of_word_suffix")
+        if steps != [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] or not mark or r"|[\p{L}]+|" not in kind["pre_tokenizer"]["pretokenizers"][0]["pattern"].get("Regex", ""):
+            return None, None
+        plain = Tokenizer.from_file(path)
+        plain.normalizer = normalizers.Sequence([])
+        plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        ids = plain.get_vocab()
+        ends = np.zeros(max(ids.values()) + 1, dtype=bool)
+        ends[[i for token, i in ids.items() if token.endswith(mark)]] = True
+        return plain, ends
+
+    def _make_room(self, words: int) -> None:
+        if len(self.kept) + words > KEPT_WORDS:
+            self.kept = {"": b""}
+
+    def _encode_letters(self, words: list[str]) -> None:
+        if self.letters is not None and words:
+            ids = np.array(self.letters.encode_batch_fast([" ".join(words).lower()], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(ends) == len(words):
+                packed = ids.tobytes()
+                self.kept.update(zip(words, [packed[a:b] for a, b in zip([0, *ends], ends)]))
+                return
+        self._encode(words)
 
     def _encode(self, words: list[str]) -> None:
-        if len(self.kept) + len(words) > KEPT_WORDS:
-            self.kept = {"": b""}
         for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
             self.kept[word] = struct.pack(f"<{len(found.ids)}I", *found.ids)
 
@@ -52,19 +89,21 @@ class WordCoder:
         for text in texts:
             words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
             kept = self.kept
-            new = {w for w in words if w not in kept}
+            new = set(words).difference(kept)
             if new:
                 pairs = {w: m.groups() for w in new if "<|" not in w and (m := PLAIN.fullmatch(w))}
-                parts = {p for pair in pairs.values() for p in pair if p not in kept}
-                self._encode(list((new - pairs.keys()) | parts))
+                single = (new - pairs.keys()).union(p for pair in pairs.values() for p in pair if p not in kept)
+                self._make_room(len(single))
+                letters = [w for w in single if LETTERS.fullmatch(w)]
+                self._encode_letters(letters)
+                self._encode(list(single.difference(letters)))
                 kept = self.kept
                 for word, (head, tail) in pairs.items():
                     if head not in kept or tail not in kept:
                         self._encode([head, tail])
-                        kept = self.kept
                     kept[word] = kept[head] + kept[tail]
             try:
-                packed = b"".join([kept[w] for w in words])
+                packed = b"".join(map(kept.__getitem__, words))
             except KeyError:  # the kept words were cleared meanwhile
                 packed = b"".join([struct.pack(f"<{len(f.ids)}I", *f.ids) for f in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)])
             for long in new:
@@ -78,6 +117,9 @@ def coder(path: str) -> WordCoder:
     return WordCoder(path)
 
 
+KEPT["packing"] = coder.cache_clear
+
+
 def vocabulary_path() -> str:
     import public_tokenizers
 
@@ -256,7 +298,7 @@ def pieces_of(docs: DataFrame, path: str, capacity: int, end_id: int | None, id_
     end = b"" if end_id is None else struct.pack("<I", end_id)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        give_back()
+        give_back("packing")
         task, seen = TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
             out = []
