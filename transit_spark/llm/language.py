@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transit_spark.llm.common import learnt_rows, rows_of_sample, sample_ids, table
+from transit_spark.llm.common import give_back, learnt_rows, rows_of_sample, sample_ids, table
 
 BUCKETS = 4096
 #: The classifiers are fitted on at most so many documents, split evenly over the languages.
@@ -139,6 +139,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id", text
     ids = sample_ids(known, "doc_id", "lang", max(20, sample // len(languages)))
 
     def profiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        give_back()
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "lang": batch["lang"], "profile": [profile(t).tobytes() for t in batch["text"]]})
 
@@ -182,7 +183,11 @@ def identify(docs: DataFrame, model: Model | None, id_column: str = "doc_id", te
             out.loc[has, "foreign"] = foreign
         return out
 
-    predict = F.pandas_udf(add, "lang_pred string, score double, ambiguous boolean, foreign boolean")
+    def add_all(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        give_back()
+        yield from map(add, batches)
+
+    predict = F.pandas_udf(add_all, "lang_pred string, score double, ambiguous boolean, foreign boolean")
     rows = rows.withColumn("_found", predict("_text"))
     found = ["lang_pred", "score", "ambiguous", *(["foreign"] if keep else [])]
     return rows.select("doc_id", "held_out", *[f"_found.{c}" for c in found], *(["row"] if keep else []))

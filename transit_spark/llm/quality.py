@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transit_spark.llm.common import learnt_rows, rows_of_sample, sample_ids, table
+from transit_spark.llm.common import give_back, learnt_rows, rows_of_sample, sample_ids, table
 
 #: Words of a passage; hashed pairs of bytes; hidden units; units of the attention.
 PASSAGE, PAIRS, HIDDEN, ATTENTION = 64, 128, 24, 12
@@ -166,6 +166,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column: s
         return None
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        give_back()
         for batch in batches:
             for doc_id, value in zip(batch["doc_id"], batch["text"]):
                 for number, block in enumerate(passages(value)):
@@ -192,8 +193,10 @@ def rate(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text:
         columns.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([0.5 if model is None else model.score(t) for t in texts], dtype=float)
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        give_back()
+        for texts in batches:
+            yield pd.Series([0.5 if model is None else model.score(t) for t in texts], dtype=float)
 
     rows = docs.select(*columns).withColumn("held_out", held_out).withColumn("score", F.pandas_udf(score, "double")("_text"))
     return rows.select("doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), *(["row"] if keep else []))
